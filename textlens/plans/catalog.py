@@ -67,3 +67,61 @@ def q_label_distribution(spark, sf_dir):
 @query("conflicting_texts")
 def q_conflicting_texts(spark, sf_dir):
     return cur.conflicting_texts(T.corpus(spark, sf_dir), conventions=T.CORPUS_CONVENTIONS)
+
+
+# --- metrics ---------------------------------------------------------------
+
+from textlens.operators import metrics as met  # noqa: E402
+from textlens.operators import split as spl  # noqa: E402
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    return met.confusion_matrix(T.scores(spark, sf_dir))
+
+
+@query("classification_report")
+def q_classification_report(spark, sf_dir):
+    return met.classification_report(T.scores(spark, sf_dir))
+
+
+@query("epoch_metrics")
+def q_epoch_metrics(spark, sf_dir):
+    s = T.scores(spark, sf_dir)
+    per_lang = met.present_label_metrics(s, by=["lang"]).withColumnRenamed("lang", "slice")
+    overall = met.present_label_metrics(s).select(F.lit("all").alias("slice"), "*")
+    return per_lang.unionByName(overall)
+
+
+@query("class_weights")
+def q_class_weights(spark, sf_dir):
+    return met.class_weights(curated_corpus(spark, sf_dir))
+
+
+@query("best_epoch")
+def q_best_epoch(spark, sf_dir):
+    return met.best_epoch(T.run_log(spark, sf_dir))
+
+
+# --- grouped split ---------------------------------------------------------
+
+@query("group_label_counts")
+def q_group_label_counts(spark, sf_dir):
+    return spl.group_label_counts(T.split_input(spark, sf_dir), [0, 1, 2])
+
+
+@query("split_targets")
+def q_split_targets(spark, sf_dir):
+    t = spl.split_targets(T.split_input(spark, sf_dir))
+    return t.withColumn("target", F.round("target", 6))
+
+
+@query("grouped_split")
+def q_grouped_split(spark, sf_dir):
+    return spl.grouped_split(T.split_input(spark, sf_dir)).select(
+        "row_id", "dup_group", "label_id", "split")
+
+
+@query("split_summary")
+def q_split_summary(spark, sf_dir):
+    return spl.split_summary(spl.grouped_split(T.split_input(spark, sf_dir)))

@@ -94,3 +94,146 @@ select lower(text) as text_key, count(*) as n_rows, count(distinct sentiment) as
        array_to_string(list_sort(list_distinct(list(sentiment))), ',') as labels
 from long_rows group by lower(text) having count(distinct sentiment) > 1
 """
+
+# --- metrics -------------------------------------------------------------------
+
+_LABELS3 = "(values ('Positive', 0), ('Neutral', 1), ('Negative', 2)) as lab(label, id)"
+_SCORES = f"scores as ({SCORES_SQL})"
+
+_PER_CLASS = f"""
+grid as (select a.label as actual, p.label as predicted from {_LABELS3.replace('lab(', 'a(')}
+         cross join {_LABELS3.replace('lab(', 'p(')}),
+cm as (select g.actual, g.predicted, count(s.doc_id) as n from grid g
+       left join scores s on s.actual = g.actual and s.predicted = g.predicted group by all),
+pc as (select l.label, l.id,
+         (select sum(n) from cm where actual = l.label and predicted = l.label) as tp,
+         (select sum(n) from cm where actual = l.label) as support,
+         (select sum(n) from cm where predicted = l.label) as npred
+       from {_LABELS3.replace('lab(', 'l(')}),
+m as (select label, id, support, npred, tp,
+        case when npred > 0 then tp / npred else 0.0 end as precision,
+        case when support > 0 then tp / support else 0.0 end as recall,
+        case when support + npred > 0 then 2.0 * tp / (support + npred) else 0.0 end as f1
+      from pc)
+"""
+
+ORACLES["confusion_matrix"] = f"with {_SCORES}, {_PER_CLASS} select actual, predicted, n from cm"
+
+ORACLES["classification_report"] = f"""
+with {_SCORES}, {_PER_CLASS},
+tot as (select sum(support) as total, sum(tp) as correct from m)
+select label, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1,
+       cast(support as bigint) as support from m
+union all select 'accuracy', null::double, null::double,
+       round(case when total > 0 then correct / total else 0.0 end, 6), cast(total as bigint) from tot
+union all select 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+       cast((select total from tot) as bigint) from m
+union all select 'weighted avg', round(sum(precision * support) / sum(support), 6),
+       round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+       cast(sum(support) as bigint) from m
+"""
+
+ORACLES["epoch_metrics"] = f"""
+with {_SCORES},
+sl as (select lang as slice, actual, predicted from scores
+       union all select 'all', actual, predicted from scores),
+per as (select s.slice, l.label,
+          count_if(s.actual = l.label and s.predicted = l.label) as tp,
+          count_if(s.actual = l.label) as support, count_if(s.predicted = l.label) as npred
+        from sl s cross join {_LABELS3.replace('lab(', 'l(')} group by all)
+select slice, cast(sum(support) as bigint) as n,
+  round(sum(tp) / sum(support), 6) as accuracy,
+  round(avg(case when support + npred > 0 then 2.0 * tp / (support + npred) end), 6) as macro_f1
+from per group by slice
+"""
+
+ORACLES["class_weights"] = "with " + CURATED_CTE + """,
+c as (select l.id as label_id, l.label, (select count(*) from curated where label_id = l.id) as n
+      from (values ('Positive', 0), ('Neutral', 1), ('Negative', 2)) as l(label, id)),
+w as (select *, 1.0 / (case when n > 0 then n else 1 end) as inv from c)
+select cast(label_id as integer) as label_id, label, cast(n as bigint) as n,
+  round(inv / (select sum(inv) from w) * 3, 6) as inverse_weight,
+  round(case when n > 0 then (select sum(n) from w) / ((select count_if(n > 0) from w) * n) end, 6)
+    as balanced_weight
+from w
+"""
+
+RUN_LOG_DUCK = """
+run_log as (select user_id as run_id,
+  cast(date_diff('day', date '2024-01-01', cast(ts as date)) + 1 as bigint) as epoch,
+  avg(case when event_type <> 'view' then value end) / 100.0 as eval_loss,
+  avg(value - floor(value)) as eval_accuracy,
+  avg(cast(json_extract_string(props, '$.k') as double)) / 100.0 as eval_macro_f1
+  from events group by all)
+"""
+
+ORACLES["best_epoch"] = f"""
+with recursive {RUN_LOG_DUCK},
+ev as (select run_id, epoch, eval_macro_f1 as f1,
+         row_number() over (partition by run_id order by epoch) as i
+       from run_log where eval_loss is not null),
+walk(run_id, i, epoch, best, best_epoch, since, stopped) as (
+  select run_id, i, epoch, f1, epoch, 0, false from ev where i = 1
+  union all
+  select w.run_id, e.i, e.epoch,
+    case when e.f1 > w.best then e.f1 else w.best end,
+    case when e.f1 > w.best then e.epoch else w.best_epoch end,
+    case when e.f1 > w.best then 0 else w.since + 1 end,
+    (case when e.f1 > w.best then 0 else w.since + 1 end) = 3
+  from walk w join ev e on e.run_id = w.run_id and e.i = w.i + 1
+  where not w.stopped)
+select run_id, count(*) as n_evals, arg_max(best_epoch, i) as best_epoch,
+  round(arg_max(best, i), 6) as best_macro_f1, max(case when stopped then epoch end) as stopped_epoch
+from walk group by run_id
+"""
+
+# --- grouped split ---------------------------------------------------------------
+
+_SPLIT = f"split_input as ({SPLIT_INPUT_SQL})"
+
+ORACLES["group_label_counts"] = f"""
+with {_SPLIT} select dup_group, count_if(label_id = 0) as c0, count_if(label_id = 1) as c1,
+  count_if(label_id = 2) as c2 from split_input group by dup_group
+"""
+
+ORACLES["split_targets"] = f"""
+with {_SPLIT} select label_id, count(*) as n_rows, round(count(*) * cast(0.2 as double), 6) as target
+from split_input group by label_id
+"""
+
+SPLIT_WALK = f"""
+recursive {_SPLIT},
+t as (select count_if(label_id = 0) * cast(0.2 as double) as t0, count_if(label_id = 1) * cast(0.2 as double) as t1,
+             count_if(label_id = 2) * cast(0.2 as double) as t2 from split_input),
+g as (select dup_group, count_if(label_id = 0) as c0, count_if(label_id = 1) as c1, count_if(label_id = 2) as c2,
+        row_number() over (order by md5('42:' || cast(dup_group as varchar)), dup_group) as rn
+      from split_input group by dup_group),
+walk(rn, r0, r1, r2, took, dup_group) as (
+  select cast(0 as bigint), cast(0 as bigint), cast(0 as bigint), cast(0 as bigint), false, cast(null as bigint)
+  union all
+  select g.rn,
+    case when w.r0 + g.c0 <= t.t0 and w.r1 + g.c1 <= t.t1 and w.r2 + g.c2 <= t.t2 then w.r0 + g.c0 else w.r0 end,
+    case when w.r0 + g.c0 <= t.t0 and w.r1 + g.c1 <= t.t1 and w.r2 + g.c2 <= t.t2 then w.r1 + g.c1 else w.r1 end,
+    case when w.r0 + g.c0 <= t.t0 and w.r1 + g.c1 <= t.t1 and w.r2 + g.c2 <= t.t2 then w.r2 + g.c2 else w.r2 end,
+    w.r0 + g.c0 <= t.t0 and w.r1 + g.c1 <= t.t1 and w.r2 + g.c2 <= t.t2,
+    g.dup_group
+  from walk w join g on g.rn = w.rn + 1 cross join t),
+split as (select r.row_id, r.dup_group, r.label_id,
+            case when w.took then 'val' else 'train' end as split
+          from split_input r left join walk w on w.dup_group = r.dup_group)
+"""
+
+ORACLES["grouped_split"] = f"with {SPLIT_WALK} select * from split"
+
+ORACLES["split_summary"] = f"""
+with {SPLIT_WALK}
+select count_if(split = 'train') as n_train, count_if(split = 'val') as n_val,
+  round(count_if(split = 'val') / count(*), 6) as achieved,
+  count_if(split = 'val' and label_id = 0) as val_0, count_if(split = 'val' and label_id = 1) as val_1,
+  count_if(split = 'val' and label_id = 2) as val_2,
+  concat_ws(',', case when count_if(label_id = 0) > 0 and count_if(split = 'val' and label_id = 0) = 0 then 'Positive' end,
+                 case when count_if(label_id = 1) > 0 and count_if(split = 'val' and label_id = 1) = 0 then 'Neutral' end,
+                 case when count_if(label_id = 2) > 0 and count_if(split = 'val' and label_id = 2) = 0 then 'Negative' end)
+    as empty_labels
+from split
+"""
