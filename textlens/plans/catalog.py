@@ -125,3 +125,49 @@ def q_grouped_split(spark, sf_dir):
 @query("split_summary")
 def q_split_summary(spark, sf_dir):
     return spl.split_summary(spl.grouped_split(T.split_input(spark, sf_dir)))
+
+
+# --- scoring and audit -----------------------------------------------------
+
+from textlens.operators import audit as aud  # noqa: E402
+from textlens.operators import scoring as sco  # noqa: E402
+
+
+def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a human label (labels table): toxic -> Negative,
+    quality -> Positive, else Neutral."""
+    T.register_tables(spark, sf_dir, ("documents", "labels"))
+    return spark.sql("""
+        select d.doc_id, d.text,
+          case when l.toxic = 1 then 2 when l.quality = 1 then 0 else 1 end as label_id
+        from labels l join documents d on l.doc_id = d.doc_id""")
+
+
+def lexicon_scorer(spark: SparkSession, sf_dir: str) -> sco.LinearScorer:
+    w, b = sco.lexicon_weights(labelled_docs(spark, sf_dir))
+    return sco.LinearScorer(w, b)
+
+
+@query("score_linear")
+def q_score_linear(spark, sf_dir):
+    docs = T.read_table(spark, sf_dir, "documents")
+    out = sco.score(docs, lexicon_scorer(spark, sf_dir), "text", "doc_id")
+    return out.select("doc_id", F.col("label").alias("pred"),
+                      F.round("confidence", 6).alias("confidence"))
+
+
+@query("label_table")
+def q_label_table(spark, sf_dir):
+    docs = T.read_table(spark, sf_dir, "documents")
+    out = sco.label_table(docs, lexicon_scorer(spark, sf_dir), "text", "doc_id")
+    return out.select("doc_id", "lang", "source", "sentiment", "confidence")
+
+
+@query("audit_candidates")
+def q_audit_candidates(spark, sf_dir):
+    # the merged, curated corpus with named labels is what gets audited
+    merged = curated_corpus(spark, sf_dir).select(
+        "row_id", "text", F.col("sentiment").alias("label"), "source_file")
+    reviewed = labelled_docs(spark, sf_dir).select("text")     # an earlier round
+    out = aud.audit_candidates(merged, lexicon_scorer(spark, sf_dir), [reviewed])
+    return out.withColumn("conf", F.round("conf", 6))

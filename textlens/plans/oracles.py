@@ -237,3 +237,69 @@ select count_if(split = 'train') as n_train, count_if(split = 'val') as n_val,
     as empty_labels
 from split
 """
+
+# --- scoring and audit -------------------------------------------------------------
+
+
+def tokens_sql(cleaned: str) -> str:
+    return f"regexp_extract_all(lower({cleaned}), '{WORD_TOKEN_RE}')"
+
+
+MODEL_CTE = f"""
+labelled as (select d.doc_id, d.text,
+    case when l.toxic = 1 then 2 when l.quality = 1 then 0 else 1 end as label_id
+  from labels l join documents d on l.doc_id = d.doc_id),
+lt as (select label_id, unnest(list_distinct({tokens_sql(clean_sql('text'))})) as term from labelled),
+per as (select term, count(*) as n, count_if(label_id = 0) as n0, count_if(label_id = 1) as n1,
+          count_if(label_id = 2) as n2 from lt group by term having count(*) >= 2),
+w as (select term, ln((n0 + 1) / (n + 3)) as w0, ln((n1 + 1) / (n + 3)) as w1,
+        ln((n2 + 1) / (n + 3)) as w2 from per),
+prior as (select count(*) as n, count_if(label_id = 0) as n0, count_if(label_id = 1) as n1,
+            count_if(label_id = 2) as n2 from labelled),
+b as (select ln((n0 + 1) / (n + 3)) as b0, ln((n1 + 1) / (n + 3)) as b1, ln((n2 + 1) / (n + 3)) as b2
+      from prior)
+"""
+
+
+def scored_cte(name: str, src: str, id_col: str, cleaned: str) -> str:
+    """Logits, prediction and confidence for ``src`` rows keyed by ``id_col``."""
+    return f"""
+{name}_t as (select {id_col} as rid, unnest({tokens_sql(cleaned)}) as term from {src}),
+{name}_s as (select rid, sum(w0) as s0, sum(w1) as s1, sum(w2) as s2
+             from {name}_t join w using (term) group by rid),
+{name}_l as (select r.{id_col} as rid, b.b0 + coalesce(s.s0, 0) as l0, b.b1 + coalesce(s.s1, 0) as l1,
+               b.b2 + coalesce(s.s2, 0) as l2
+             from {src} r left join {name}_s s on s.rid = r.{id_col} cross join b),
+{name} as (select rid,
+    case when l0 >= l1 and l0 >= l2 then 'Positive' when l1 >= l2 then 'Neutral' else 'Negative' end as pred,
+    1.0 / (exp(l0 - greatest(l0, l1, l2)) + exp(l1 - greatest(l0, l1, l2)) + exp(l2 - greatest(l0, l1, l2)))
+      as confidence
+  from {name}_l)
+"""
+
+
+ORACLES["score_linear"] = f"""
+with {MODEL_CTE}, {scored_cte('sc', 'documents', 'doc_id', clean_sql("coalesce(text, '')"))}
+select rid as doc_id, pred, round(confidence, 6) as confidence from sc
+"""
+
+ORACLES["label_table"] = f"""
+with {MODEL_CTE}, {scored_cte('sc', 'documents', 'doc_id', clean_sql("coalesce(text, '')"))}
+select d.doc_id, d.lang, d.source, sc.pred as sentiment, round(sc.confidence, 4) as confidence
+from documents d join sc on sc.rid = d.doc_id
+"""
+
+ORACLES["audit_candidates"] = f"""
+with {MODEL_CTE}, {CURATED_CTE.strip()},
+a0 as (select row_id, source_file, {clean_sql('text')} as text,
+         {cap_sql(f"regexp_replace(sentiment, '{EDGE_WS_RE}', '', 'g')")} as label
+       from curated where text is not null and sentiment is not null),
+a1 as (select * from a0 where label in ('Positive', 'Neutral', 'Negative')),
+seen as (select distinct {clean_sql('text')} as text from labelled where text is not null),
+a2 as (select * from a1 where text not in (select text from seen)),
+{scored_cte('sc', 'a2', 'row_id', 'text')}
+select a2.source_file as source, a2.text, a2.label as sentiment, sc.pred, round(sc.confidence, 6) as conf,
+  a2.row_id
+from a2 join sc on sc.rid = a2.row_id
+where sc.pred <> a2.label and sc.confidence >= 0.9
+"""
