@@ -171,3 +171,51 @@ def q_audit_candidates(spark, sf_dir):
     reviewed = labelled_docs(spark, sf_dir).select("text")     # an earlier round
     out = aud.audit_candidates(merged, lexicon_scorer(spark, sf_dir), [reviewed])
     return out.withColumn("conf", F.round("conf", 6))
+
+
+# --- ingest: extraction ----------------------------------------------------
+
+from textlens.functions.jsonpath import iso_text  # noqa: E402
+from textlens.operators import extract as ext  # noqa: E402
+
+
+def extracted_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ext.extract(T.envelopes(spark, sf_dir), keep=("conv_id",))
+
+
+def post_columns(df: DataFrame) -> DataFrame:
+    p = F.col("post")
+    return df.select(
+        "conv_id", "platform", "batch_id", p["platform_post_id"].alias("platform_post_id"),
+        p["author_handle"].alias("author_handle"), p["author_name"].alias("author_name"),
+        p["content"].alias("content"), p["url"].alias("url"),
+        *[p[c].alias(c) for c in ("like_count", "comment_count", "share_count", "view_count")],
+        iso_text(p["published_at"]).alias("published_at"), iso_text(p["crawled_at"]).alias("crawled_at"),
+        F.size(p["comments"]).cast("bigint").alias("n_comments"))
+
+
+def _platform_query(platform: str):
+    def q(spark, sf_dir):
+        ok = ext.valid_posts(extracted_envelopes(spark, sf_dir)).filter(F.col("platform") == platform)
+        return post_columns(ok)
+    return q
+
+
+for _p in ("x", "instagram", "tiktok"):
+    query(f"extract_{_p}")(_platform_query(_p))
+
+
+@query("extract_comments")
+def q_extract_comments(spark, sf_dir):
+    ok = ext.valid_posts(extracted_envelopes(spark, sf_dir))
+    c = ok.select("conv_id", "platform", F.posexplode(F.col("post.comments")).alias("pos", "c"))
+    return c.select("conv_id", "platform", F.col("pos").cast("bigint").alias("pos"),
+                    F.col("c.platform_comment_id").alias("platform_comment_id"),
+                    F.col("c.author_handle").alias("author_handle"), F.col("c.content").alias("content"),
+                    F.col("c.like_count").alias("like_count"),
+                    iso_text(F.col("c.published_at")).alias("published_at"))
+
+
+@query("extract_failures")
+def q_extract_failures(spark, sf_dir):
+    return ext.failures(extracted_envelopes(spark, sf_dir)).select("conv_id", "platform", "batch_id", "error")

@@ -303,3 +303,63 @@ select a2.source_file as source, a2.text, a2.label as sentiment, sc.pred, round(
 from a2 join sc on sc.rid = a2.row_id
 where sc.pred <> a2.label and sc.confidence >= 0.9
 """
+
+# --- ingest: extraction --------------------------------------------------------------
+
+CONV_CTE = """
+t as (select conv_id, turn, text, 1700000000 + conv_id * 3600 + turn * 60 as ts,
+        cast(conv_id as varchar) || '_' || cast(turn as varchar) as id,
+        case when conv_id % 5 = 0 then null else 'user_' || cast(conv_id % 50 as varchar) end as handle,
+        ['x', 'instagram', 'tiktok'][(conv_id % 3) + 1] as platform,
+        row_number() over (partition by conv_id order by turn) - 1 as k,
+        count(*) over (partition by conv_id) - 1 as n_comments
+      from conversations),
+posts as (select * from t where k = 0),
+comments as (select * from t where k > 0)
+"""
+
+
+def iso_duck(ts: str) -> str:
+    return f"strftime(to_timestamp({ts}), '%Y-%m-%dT%H:%M:%S+00:00')"
+
+
+def _post_oracle(platform: str, handle: str, name: str, url: str, like: str, share: str, view: str) -> str:
+    return f"""
+with {CONV_CTE}
+select conv_id, platform, platform || '-' || cast(conv_id % 8 as varchar) as batch_id, id as platform_post_id,
+  {handle} as author_handle, {name} as author_name, coalesce(text, '') as content, {url} as url,
+  cast({like} as bigint) as like_count, cast(0 as bigint) as comment_count, cast({share} as bigint) as share_count,
+  cast({view} as bigint) as view_count, {iso_duck('ts')} as published_at,
+  '2024-01-01T00:00:00+00:00' as crawled_at, cast(n_comments as bigint) as n_comments
+from posts where platform = '{platform}' and conv_id % 17 <> 5
+"""
+
+
+ORACLES["extract_x"] = _post_oracle(
+    "x", "handle", "cast(null as varchar)",
+    "case when handle is not null then 'https://x.com/' || handle || '/status/' || id end",
+    "conv_id % 11", "2 + conv_id % 3", "conv_id * 10")
+ORACLES["extract_instagram"] = _post_oracle(
+    "instagram", "handle", "cast(null as varchar)",
+    "case when conv_id % 4 <> 0 then 'https://www.instagram.com/p/c' || cast(conv_id as varchar) || '/' end",
+    "conv_id % 11", "0", "0")
+ORACLES["extract_tiktok"] = _post_oracle(
+    "tiktok", "handle", "'nn'",
+    "case when handle is not null then 'https://www.tiktok.com/@' || handle || '/video/' || id end",
+    "conv_id % 11", "0", "conv_id * 10")
+
+ORACLES["extract_comments"] = f"""
+with {CONV_CTE}
+select conv_id, platform, cast(k - 1 as bigint) as pos, id as platform_comment_id,
+  case when platform = 'x' then null else handle end as author_handle, coalesce(text, '') as content,
+  cast(0 as bigint) as like_count, {iso_duck('ts')} as published_at
+from comments where conv_id % 17 <> 5
+"""
+
+ORACLES["extract_failures"] = f"""
+with {CONV_CTE}
+select conv_id, platform, platform || '-' || cast(conv_id % 8 as varchar) as batch_id,
+  case platform when 'x' then 'bad:post.legacy.created_at' when 'instagram' then 'bad:post.taken_at'
+    else 'bad:post.createTime' end as error
+from posts where conv_id % 17 = 5
+"""
