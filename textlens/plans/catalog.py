@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from textlens.functions.text import clean_text, word_count
 from textlens.functions.labels import is_known_label
 from textlens.operators import curate as cur
+from textlens.session import cut_lineage
 from textlens.sources import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,9 +144,16 @@ def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         from labels l join documents d on l.doc_id = d.doc_id""")
 
 
+_SCORERS: dict[tuple[int, str], sco.LinearScorer] = {}
+
+
 def lexicon_scorer(spark: SparkSession, sf_dir: str) -> sco.LinearScorer:
-    w, b = sco.lexicon_weights(labelled_docs(spark, sf_dir))
-    return sco.LinearScorer(w, b)
+    """The fitted lexicon model for a dataset (fitted once per session)."""
+    key = (id(spark), sf_dir)
+    if key not in _SCORERS:
+        w, b = sco.lexicon_weights(labelled_docs(spark, sf_dir))
+        _SCORERS[key] = sco.LinearScorer(w, b)
+    return _SCORERS[key]
 
 
 @query("score_linear")
@@ -219,3 +227,62 @@ def q_extract_comments(spark, sf_dir):
 @query("extract_failures")
 def q_extract_failures(spark, sf_dir):
     return ext.failures(extracted_envelopes(spark, sf_dir)).select("conv_id", "platform", "batch_id", "error")
+
+
+# --- ingest: labelling, batches, upsert ------------------------------------
+
+from textlens.operators import ingest as ing  # noqa: E402
+from textlens.operators.labeler import label_posts  # noqa: E402
+from textlens.sources import sinks  # noqa: E402
+
+
+def labelled_posts(spark: SparkSession, sf_dir: str, pending_only: bool = False) -> DataFrame:
+    env = T.envelopes(spark, sf_dir)
+    if pending_only:
+        env = ing.batch_documents(env, ing.pending_batches(env))
+    ok = cut_lineage(ext.valid_posts(ext.extract(env, keep=("conv_id",))))
+    return label_posts(ok, lexicon_scorer(spark, sf_dir), "lexicon-v1")
+
+
+def flat_labels(df: DataFrame) -> DataFrame:
+    item = lambda x: F.struct(x["sentiment"].alias("s"), x["sentiment_score"].alias("c"),
+                              x["model_version"].alias("m"))
+    texts = F.concat(F.array(item(F.col("post"))), F.transform(F.col("post.comments"), item))
+    return df.select("conv_id", F.posexplode(texts).alias("pos", "r")).select(
+        "conv_id", F.col("pos").cast("bigint").alias("pos"), F.col("r.s").alias("sentiment"),
+        F.round("r.c", 6).alias("sentiment_score"), F.col("r.m").alias("model_version"))
+
+
+@query("label_posts")
+def q_label_posts(spark, sf_dir):
+    return flat_labels(labelled_posts(spark, sf_dir))
+
+
+@query("pending_batches")
+def q_pending_batches(spark, sf_dir):
+    return ing.pending_batches(T.envelopes(spark, sf_dir))
+
+
+@query("batch_outcomes")
+def q_batch_outcomes(spark, sf_dir):
+    env = T.envelopes(spark, sf_dir)
+    docs = ing.batch_documents(env, ing.pending_batches(env))
+    return ing.batch_outcomes(ext.extract(docs))
+
+
+@query("ingest_summary")
+def q_ingest_summary(spark, sf_dir):
+    env = T.envelopes(spark, sf_dir)
+    pend = ing.pending_batches(env)
+    return ing.ingest_summary(ing.batch_outcomes(ext.extract(ing.batch_documents(env, pend))), pend)
+
+
+@query("upsert_posts")
+def q_upsert_posts(spark, sf_dir):
+    """Two deliveries: every valid post, then a replay of the pending batches."""
+    first = labelled_posts(spark, sf_dir).withColumn("delivery", F.lit(1).cast("bigint"))
+    replay = labelled_posts(spark, sf_dir, pending_only=True).withColumn("delivery", F.lit(2).cast("bigint"))
+    merged = sinks.upsert(first, replay, ing.post_keys(), [F.col("post.crawled_at"), F.col("delivery")])
+    return merged.select("platform", F.col("post.platform_post_id").alias("platform_post_id"),
+                         "delivery", F.col("post.sentiment").alias("sentiment"),
+                         F.size("post.comments").cast("bigint").alias("n_comments"))

@@ -363,3 +363,55 @@ select conv_id, platform, platform || '-' || cast(conv_id % 8 as varchar) as bat
     else 'bad:post.createTime' end as error
 from posts where conv_id % 17 = 5
 """
+
+# --- ingest: labelling, batches, upsert ----------------------------------------------
+
+_ENV = """
+env as (select conv_id, platform, platform || '-' || cast(conv_id % 8 as varchar) as batch_id,
+          case when conv_id % 8 < 5 then 'pending' else 'processed' end as status,
+          conv_id % 17 = 5 as bad from posts)
+"""
+
+ORACLES["label_posts"] = f"""
+with {MODEL_CTE}, {CONV_CTE},
+txt as (select conv_id, k as pos, {clean_sql("coalesce(text, '')")} as ctext,
+          cast(conv_id as varchar) || '#' || cast(k as varchar) as tid from t where conv_id % 17 <> 5),
+{scored_cte('sc', 'txt', 'tid', 'ctext')}
+select txt.conv_id, cast(txt.pos as bigint) as pos, lower(sc.pred) as sentiment,
+  round(sc.confidence, 6) as sentiment_score, 'lexicon-v1' as model_version
+from txt join sc on sc.rid = txt.tid
+"""
+
+ORACLES["pending_batches"] = f"""
+with {CONV_CTE}, {_ENV}
+select platform, batch_id, count(*) as n_docs, count_if(status = 'pending') as n_pending
+from env group by platform, batch_id having count_if(status = 'pending') > 0
+"""
+
+ORACLES["batch_outcomes"] = f"""
+with {CONV_CTE}, {_ENV},
+pb as (select platform, batch_id from env group by all having count_if(status = 'pending') > 0)
+select platform, batch_id, count(*) as n_docs, count_if(bad) as n_failed,
+  case when count_if(bad) = 0 then 'processed' else 'pending' end as status
+from env join pb using (platform, batch_id) group by platform, batch_id
+"""
+
+ORACLES["ingest_summary"] = f"""
+with {CONV_CTE}, {_ENV},
+pb as (select platform, batch_id from env group by all having count_if(status = 'pending') > 0),
+o as (select platform, batch_id, count(*) as n_docs, count_if(bad) as n_failed
+      from env join pb using (platform, batch_id) group by all)
+select platform, count(*) as n_pending_batches, cast(count_if(n_failed = 0) as bigint) as n_processed,
+  cast(sum(n_docs) as bigint) as n_docs, cast(sum(n_failed) as bigint) as n_failed
+from o group by platform
+"""
+
+ORACLES["upsert_posts"] = f"""
+with {MODEL_CTE}, {CONV_CTE},
+txt as (select conv_id, {clean_sql("coalesce(text, '')")} as ctext from posts where conv_id % 17 <> 5),
+{scored_cte('sc', 'txt', 'conv_id', 'ctext')}
+select p.platform, p.id as platform_post_id,
+  cast(case when p.conv_id % 8 < 5 then 2 else 1 end as bigint) as delivery,
+  lower(sc.pred) as sentiment, cast(p.n_comments as bigint) as n_comments
+from posts p join sc on sc.rid = p.conv_id where p.conv_id % 17 <> 5
+"""
