@@ -286,3 +286,38 @@ def q_upsert_posts(spark, sf_dir):
     return merged.select("platform", F.col("post.platform_post_id").alias("platform_post_id"),
                          "delivery", F.col("post.sentiment").alias("sentiment"),
                          F.size("post.comments").cast("bigint").alias("n_comments"))
+
+
+# --- near duplicates -------------------------------------------------------
+
+from textlens.operators import neardup as nd  # noqa: E402
+from textlens.operators import tfidf as tfi  # noqa: E402
+
+
+@query("tfidf_top_terms")
+def q_tfidf_top_terms(spark, sf_dir):
+    docs = T.read_table(spark, sf_dir, "documents")
+    t = tfi.top_terms(docs, k=5)
+    return t.select(F.col("id").alias("doc_id"), F.col("rank").cast("int").alias("rank"), "term",
+                    F.col("tf").cast("bigint").alias("tf"), F.col("df").cast("bigint").alias("df"),
+                    F.round("weight", 6).alias("weight"))
+
+
+@query("near_dup_pairs")
+def q_near_dup_pairs(spark, sf_dir):
+    docs = T.read_table(spark, sf_dir, "documents")
+    p = nd.near_dup_pairs(docs)
+    return p.select("rep_a", "rep_b", F.round("similarity", 6).alias("similarity"),
+                    "copies_a", "copies_b")
+
+
+@query("near_dup_groups")
+def q_near_dup_groups(spark, sf_dir):
+    docs = T.read_table(spark, sf_dir, "documents")
+    return nd.near_dup_groups(docs).select(F.col("id").alias("doc_id"), "dup_group")
+
+
+@query("cluster_stats")
+def q_cluster_stats(spark, sf_dir):
+    docs = T.read_table(spark, sf_dir, "documents")
+    return nd.cluster_stats(nd.near_dup_groups(docs))

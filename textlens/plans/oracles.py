@@ -415,3 +415,61 @@ select p.platform, p.id as platform_post_id,
   lower(sc.pred) as sentiment, cast(p.n_comments as bigint) as n_comments
 from posts p join sc on sc.rid = p.conv_id where p.conv_id % 17 <> 5
 """
+
+# --- near duplicates (brute force: every pair sharing a term) --------------------------
+
+NEAR_DUP_CTE = """
+nd_docs as (select doc_id,
+    trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9# ]+', ' ', 'g'), ' +', ' ', 'g')) as form
+  from documents),
+nd_forms as (select form, min(doc_id) as rep, count(*) as m from nd_docs group by form),
+nd_toks as (select rep, m, list_filter(string_split_regex(form, '[^a-z0-9]+'), lambda x: length(x) >= 2) as t
+            from nd_forms),
+nd_grams as (select rep, m, unnest(t || list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) as term
+             from nd_toks),
+nd_tf as (select rep, m, term, count(*) as tf from nd_grams group by all),
+nd_df as (select term, sum(m) as df from nd_tf group by term),
+nd_n as (select count(*) as n from documents),
+nd_w0 as (select rep, term, tf, df, tf * (ln((1 + n) / (1 + df)) + 1) as w from nd_tf join nd_df using (term) cross join nd_n),
+nd_nrm as (select rep, sqrt(sum(w * w)) as nr from nd_w0 group by rep),
+nd_w as (select rep, term, tf, df, w / nr as w from nd_w0 join nd_nrm using (rep)),
+nd_pairs as (select a.rep as rep_a, b.rep as rep_b, sum(a.w * b.w) as sim
+             from nd_w a join nd_w b on a.term = b.term and a.rep < b.rep
+             group by all having sum(a.w * b.w) >= 0.8 - 1e-9)
+"""
+
+ORACLES["tfidf_top_terms"] = f"""
+with {NEAR_DUP_CTE},
+ranked as (select d.doc_id, w.term, w.tf, w.df, w.w,
+             row_number() over (partition by d.doc_id order by w.w desc, w.term) as rank
+           from nd_docs d join nd_forms f using (form) join nd_w w on w.rep = f.rep)
+select doc_id, cast(rank as integer) as rank, term, cast(tf as bigint) as tf, cast(df as bigint) as df,
+  round(w, 6) as weight from ranked where rank <= 5
+"""
+
+ORACLES["near_dup_pairs"] = f"""
+with {NEAR_DUP_CTE}
+select p.rep_a, p.rep_b, round(p.sim, 6) as similarity, fa.m as copies_a, fb.m as copies_b
+from nd_pairs p join nd_forms fa on fa.rep = p.rep_a join nd_forms fb on fb.rep = p.rep_b
+"""
+
+NEAR_DUP_GROUPS_CTE = NEAR_DUP_CTE + """,
+nd_edges as (select rep_a as a, rep_b as b from nd_pairs union all select rep_b, rep_a from nd_pairs),
+nd_reach(node, comp) as (select a, a from nd_edges
+                         union select e.b, r.comp from nd_reach r join nd_edges e on e.a = r.node),
+nd_comp as (select node, min(comp) as comp from nd_reach group by node),
+nd_nonempty as (select distinct rep from nd_w),
+nd_groups as (select d.doc_id,
+    case when ne.rep is null then d.doc_id else coalesce(c.comp, f.rep) end as dup_group
+  from nd_docs d join nd_forms f using (form) left join nd_nonempty ne on ne.rep = f.rep
+  left join nd_comp c on c.node = f.rep)
+"""
+
+ORACLES["near_dup_groups"] = f"with recursive {NEAR_DUP_GROUPS_CTE} select doc_id, dup_group from nd_groups"
+
+ORACLES["cluster_stats"] = f"""
+with recursive {NEAR_DUP_GROUPS_CTE},
+sizes as (select dup_group, count(*) as size from nd_groups group by dup_group)
+select count(*) as n_groups, cast(coalesce(sum(case when size > 1 then size end), 0) as bigint) as n_clustered,
+  max(size) as largest, cast(sum(size) as bigint) as n_rows from sizes
+"""
