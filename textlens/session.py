@@ -15,6 +15,8 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # array-heavy pandas UDF inputs: keep Arrow batches moderate
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
 }
 
 
@@ -64,7 +66,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/textlens-{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss); never a local one."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read
+    it back: lineage is cut, the stage survives executor loss, and (unlike an
+    eager ``checkpoint()``, which runs the plan a second time to write it) the
+    plan is computed exactly once.  Never a local checkpoint.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
