@@ -86,17 +86,24 @@ def post_keys():
 
 def ingest(envelopes: DataFrame, scorer: Scorer, store: IngestStore,
            model_version: str = DEFAULT_MODEL_VERSION,
-           platforms: Sequence[str] = PLATFORMS, only_pending: bool = True) -> dict:
-    """Process pending batches not yet processed according to the ledger."""
+           platforms: Sequence[str] = PLATFORMS, incremental: bool = False) -> dict:
+    """Process pending batches not yet processed according to the ledger.
+
+    Batch mode re-reads whole pending batches and replaces their ledger row.
+    ``incremental`` (the streaming form) processes exactly the pending
+    documents that arrived in this input and adds their counts to the ledger
+    row, so documents of a batch arriving later are still processed.
+    """
     ledger = store.ledger.current()
-    if only_pending:
-        todo = pending_batches(envelopes, platforms)
+    if incremental:
+        docs = envelopes.filter(F.col("platform").isin(*platforms)
+                                & (F.col("status") == "pending"))
     else:
-        todo = envelopes.filter(F.col("platform").isin(*platforms)).select(*BATCH_KEYS).distinct()
-    if ledger is not None:
-        done = ledger.filter(F.col("status") == "processed").select(*BATCH_KEYS)
-        todo = todo.join(done, list(BATCH_KEYS), "left_anti")
-    docs = batch_documents(envelopes, todo)
+        todo = pending_batches(envelopes, platforms)
+        if ledger is not None:
+            done = ledger.filter(F.col("status") == "processed").select(*BATCH_KEYS)
+            todo = todo.join(done, list(BATCH_KEYS), "left_anti")
+        docs = batch_documents(envelopes, todo)
     extracted = cut_lineage(ext.extract(docs, keep=tuple(
         c for c in docs.columns if c not in ("platform", "batch_id", "raw_payload", "status",
                                              "extracted_at"))))
@@ -116,6 +123,14 @@ def ingest(envelopes: DataFrame, scorer: Scorer, store: IngestStore,
 
     # S12 after the upsert committed
     outcomes = batch_outcomes(extracted).withColumn("run", F.lit(run).cast("bigint"))
+    if incremental and ledger is not None:
+        prev = ledger.select(*BATCH_KEYS, F.col("n_docs").alias("_d0"), F.col("n_failed").alias("_f0"))
+        outcomes = (outcomes.join(prev, list(BATCH_KEYS), "left")
+                    .withColumn("n_docs", F.col("n_docs") + F.coalesce("_d0", F.lit(0)))
+                    .withColumn("n_failed", F.col("n_failed") + F.coalesce("_f0", F.lit(0)))
+                    .withColumn("status", F.when(F.col("n_failed") == 0, "processed")
+                                .otherwise("pending"))
+                    .select(*BATCH_KEYS, "n_docs", "n_failed", "status", "run"))
     new_ledger = upsert(ledger, outcomes, [F.col(k) for k in BATCH_KEYS], [F.col("run")])
     store.ledger.write(new_ledger)
     counts = outcomes.agg(F.count(F.lit(1)).alias("batches"), F.sum("n_docs").alias("docs"),

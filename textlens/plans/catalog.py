@@ -321,3 +321,57 @@ def q_near_dup_groups(spark, sf_dir):
 def q_cluster_stats(spark, sf_dir):
     docs = T.read_table(spark, sf_dir, "documents")
     return nd.cluster_stats(nd.near_dup_groups(docs))
+
+
+# --- streaming ingest, CSV sources, baseline ---------------------------------
+
+from textlens.session import scratch_path  # noqa: E402
+from textlens.sources import csv_files  # noqa: E402
+from textlens.streaming.ingest_stream import start_ingest_stream  # noqa: E402
+
+
+@query("ingest_stream")
+def q_ingest_stream(spark, sf_dir):
+    """Envelopes land as files; a Structured Streaming query ingests them."""
+    env = T.envelopes(spark, sf_dir)
+    src = scratch_path(spark, "envelopes")
+    env.repartitionByRange(3, "conv_id").write.parquet(src)
+    store = ing.IngestStore(spark, scratch_path(spark, "ingest"))
+    q = start_ingest_stream(spark, src, env.schema, lexicon_scorer(spark, sf_dir), store,
+                            scratch_path(spark, "stream-ckpt"), "lexicon-v1", max_files_per_trigger=1)
+    q.awaitTermination()
+    posts = store.posts.current()
+    return posts.select("platform", F.col("post.platform_post_id").alias("platform_post_id"),
+                        F.col("post.sentiment").alias("sentiment"),
+                        F.round("post.sentiment_score", 6).alias("sentiment_score"),
+                        F.size("post.comments").cast("bigint").alias("n_comments"))
+
+
+@query("csv_curate_corpus")
+def q_csv_curate_corpus(spark, sf_dir):
+    """The corpus written as CSV batches, loaded back through S1-S3 and curated."""
+    folder = scratch_path(spark, "csv")
+    corpus = T.corpus(spark, sf_dir).withColumnRenamed("label_raw", "sentiment")
+    (corpus.repartitionByRange(2, "row_id").sortWithinPartitions("row_id")
+           .select("text", "sentiment", "source_file")
+           .write.option("header", True).option("escape", '"')
+           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+           .csv(folder))
+    curated, _ = csv_files.load_dataset(spark, folder, T.CORPUS_CONVENTIONS)
+    return curated.select("text", "sentiment", "source_file")
+
+
+@query("baseline_metrics")
+def q_baseline_metrics(spark, sf_dir):
+    """M1 + M5: curate -> near-dup groups -> grouped split -> fit -> report."""
+    from textlens.functions.labels import label_name
+    from textlens.operators.baseline import fit_baseline
+    curated = cut_lineage(curated_corpus(spark, sf_dir), "curated")
+    groups = nd.near_dup_groups(curated, "row_id", "text").withColumnRenamed("id", "row_id")
+    data = cut_lineage(curated.join(groups, "row_id"), "grouped")
+    split = cut_lineage(spl.grouped_split(data), "split")
+    model = fit_baseline(split.filter(F.col("split") == "train"))
+    val = split.filter(F.col("split") == "val")
+    pred = sco.score(val, model, "text", "row_id")
+    return met.classification_report(pred.select(label_name(F.col("label_id")).alias("actual"),
+                                                 F.col("label").alias("predicted")))

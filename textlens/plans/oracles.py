@@ -473,3 +473,15 @@ sizes as (select dup_group, count(*) as size from nd_groups group by dup_group)
 select count(*) as n_groups, cast(coalesce(sum(case when size > 1 then size end), 0) as bigint) as n_clustered,
   max(size) as largest, cast(sum(size) as bigint) as n_rows from sizes
 """
+
+ORACLES["ingest_stream"] = f"""
+with {MODEL_CTE}, {CONV_CTE},
+txt as (select conv_id, {clean_sql("coalesce(text, '')")} as ctext from posts
+        where conv_id % 17 <> 5 and conv_id % 8 < 5),
+{scored_cte('sc', 'txt', 'conv_id', 'ctext')}
+select p.platform, p.id as platform_post_id, lower(sc.pred) as sentiment,
+  round(sc.confidence, 6) as sentiment_score, cast(p.n_comments as bigint) as n_comments
+from posts p join sc on sc.rid = p.conv_id
+"""
+
+ORACLES["csv_curate_corpus"] = "with " + CURATED_CTE + "select text, sentiment, source_file from curated"
