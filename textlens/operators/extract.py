@@ -260,3 +260,24 @@ def valid_posts(extracted: DataFrame) -> DataFrame:
 
 def failures(extracted: DataFrame) -> DataFrame:
     return extracted.filter(F.col("error").isNotNull()).drop("post")
+
+
+def to_payload(post: Column) -> Column:
+    """The whole normalised record as JSON (ISO-8601 times with
+    '+00:00', comments nested, raw sub-documents kept as JSON values)."""
+    from textlens.functions.jsonpath import iso_text
+    comments = F.transform(post["comments"], lambda c: F.struct(
+        *[(iso_text(c[f]) if f == "published_at"
+           else F.try_parse_json(c[f]) if f == "raw_payload" else c[f]).alias(f)
+          for f in COMMENT_FIELDS]))
+    fields = []
+    for f in POST_FIELDS:
+        if f in ("published_at", "crawled_at"):
+            fields.append(iso_text(post[f]).alias(f))
+        elif f == "raw_payload":
+            fields.append(F.try_parse_json(post[f]).alias(f))
+        elif f == "comments":
+            fields.append(comments.alias(f))
+        else:
+            fields.append(post[f].alias(f))
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})

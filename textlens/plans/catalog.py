@@ -375,3 +375,10 @@ def q_baseline_metrics(spark, sf_dir):
     pred = sco.score(val, model, "text", "row_id")
     return met.classification_report(pred.select(label_name(F.col("label_id")).alias("actual"),
                                                  F.col("label").alias("predicted")))
+
+
+@query("post_payloads")
+def q_post_payloads(spark, sf_dir):
+    """Labelled posts serialised as whole-record JSON."""
+    lp = labelled_posts(spark, sf_dir)
+    return lp.select("conv_id", ext.to_payload(F.col("post")).alias("payload"))
