@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from textlens.constants import LABELS
 from textlens.functions.text import clean_text, word_tokens
-from textlens.session import cut_lineage
+from textlens.session import broadcast_if_small, cut_lineage
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -60,16 +60,15 @@ class LinearScorer:
         # the weight table is a model artifact: materialised once (checkpoint)
         self.weights = cut_lineage(weights.select(F.col(term).alias("_term"), *cols))
         self.intercepts = [float(b) for b in intercepts]
-        n = self.weights.count()            # model size, checked once
-        self.broadcast = n <= BROADCAST_MAX_ROWS
+        # model size, checked once: small models are joined map-side
+        self._w, self.broadcast = broadcast_if_small(self.weights, BROADCAST_MAX_ROWS)
 
     def logits(self, rows: DataFrame) -> DataFrame:
         """Per-row sums of token weights in one pass: ``explode_outer`` keeps
         rows without tokens, the left join keeps tokens without a weight, so
         every row gets its intercepts plus whatever its known tokens add."""
         toks = rows.select("_rid", F.explode_outer(tokens_of(F.col("_text"))).alias("_term"))
-        w = F.broadcast(self.weights) if self.broadcast else self.weights
-        sums = toks.join(w, "_term", "left").groupBy("_rid").agg(
+        sums = toks.join(self._w, "_term", "left").groupBy("_rid").agg(
             *[F.sum(F.coalesce(F.col(f"w{i}"), F.lit(0.0))).alias(f"_s{i}") for i in range(self.k)])
         return sums.select("_rid", *[(F.lit(self.intercepts[i]) + F.col(f"_s{i}"))
                                      .alias(f"logit_{i}") for i in range(self.k)])

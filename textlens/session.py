@@ -75,3 +75,12 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+    """Broadcast hint only behind a checked row count (cheap on a written
+    parquet table: footer metadata); above the bound the caller's join stays
+    a shuffle join (AQE may still pick a broadcast at run time)."""
+    from pyspark.sql import functions as F
+    n = df.count()
+    return (F.broadcast(df), True) if n <= max_rows else (df, False)
