@@ -366,9 +366,7 @@ def q_baseline_metrics(spark, sf_dir):
     """M1 + M5: curate -> near-dup groups -> grouped split -> fit -> report."""
     from textlens.functions.labels import label_name
     from textlens.operators.baseline import fit_baseline
-    curated = cut_lineage(curated_corpus(spark, sf_dir), "curated")
-    groups = nd.near_dup_groups(curated, "row_id", "text").withColumnRenamed("id", "row_id")
-    data = cut_lineage(curated.join(groups, "row_id"), "grouped")
+    data = cut_lineage(corpus_with_groups(spark, sf_dir), "grouped")
     split = cut_lineage(spl.grouped_split(data), "split")
     model = fit_baseline(split.filter(F.col("split") == "train"))
     val = split.filter(F.col("split") == "val")
@@ -382,3 +380,22 @@ def q_post_payloads(spark, sf_dir):
     """Labelled posts serialised as whole-record JSON."""
     lp = labelled_posts(spark, sf_dir)
     return lp.select("conv_id", ext.to_payload(F.col("post")).alias("payload"))
+
+
+# --- the reference flow: curate -> near-duplicate groups -> grouped split ----
+
+def corpus_with_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    curated = cut_lineage(curated_corpus(spark, sf_dir), "curated")
+    groups = nd.near_dup_groups(curated, "row_id", "text").withColumnRenamed("id", "row_id")
+    return curated.join(groups, "row_id")
+
+
+@query("corpus_dup_groups")
+def q_corpus_dup_groups(spark, sf_dir):
+    return corpus_with_groups(spark, sf_dir).select("row_id", "dup_group")
+
+
+@query("corpus_split_summary")
+def q_corpus_split_summary(spark, sf_dir):
+    data = cut_lineage(corpus_with_groups(spark, sf_dir), "grouped")
+    return spl.split_summary(spl.grouped_split(data))

@@ -201,8 +201,11 @@ with {_SPLIT} select label_id, count(*) as n_rows, round(count(*) * cast(0.2 as
 from split_input group by label_id
 """
 
-SPLIT_WALK = f"""
-recursive {_SPLIT},
+def split_walk(rows_cte: str) -> str:
+    """Sequential greedy walk (md5 order) over a CTE ``split_input`` given by
+    ``rows_cte``; defines ``split``."""
+    return f"""
+recursive {rows_cte},
 t as (select count_if(label_id = 0) * cast(0.2 as double) as t0, count_if(label_id = 1) * cast(0.2 as double) as t1,
              count_if(label_id = 2) * cast(0.2 as double) as t2 from split_input),
 g as (select dup_group, count_if(label_id = 0) as c0, count_if(label_id = 1) as c1, count_if(label_id = 2) as c2,
@@ -223,10 +226,12 @@ split as (select r.row_id, r.dup_group, r.label_id,
           from split_input r left join walk w on w.dup_group = r.dup_group)
 """
 
+
+SPLIT_WALK = split_walk(_SPLIT)
+
 ORACLES["grouped_split"] = f"with {SPLIT_WALK} select * from split"
 
-ORACLES["split_summary"] = f"""
-with {SPLIT_WALK}
+SPLIT_SUMMARY_SELECT = """
 select count_if(split = 'train') as n_train, count_if(split = 'val') as n_val,
   round(count_if(split = 'val') / count(*), 6) as achieved,
   count_if(split = 'val' and label_id = 0) as val_0, count_if(split = 'val' and label_id = 1) as val_1,
@@ -238,6 +243,8 @@ select count_if(split = 'train') as n_train, count_if(split = 'val') as n_val,
 from split
 """
 
+ORACLES["split_summary"] = f"with {SPLIT_WALK} {SPLIT_SUMMARY_SELECT}"
+
 # --- scoring and audit -------------------------------------------------------------
 
 
@@ -418,10 +425,12 @@ from posts p join sc on sc.rid = p.conv_id where p.conv_id % 17 <> 5
 
 # --- near duplicates (brute force: every pair sharing a term) --------------------------
 
-NEAR_DUP_CTE = """
-nd_docs as (select doc_id,
-    trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9# ]+', ' ', 'g'), ' +', ' ', 'g')) as form
-  from documents),
+def near_dup_cte(src: str = "documents", id_col: str = "doc_id", text_col: str = "text") -> str:
+    """Brute-force near-duplicate pairs over ``src`` (every pair sharing a term)."""
+    return f"""
+nd_docs as (select {id_col} as doc_id,
+    trim(regexp_replace(regexp_replace(lower({text_col}), '[^a-z0-9# ]+', ' ', 'g'), ' +', ' ', 'g')) as form
+  from {src}),
 nd_forms as (select form, min(doc_id) as rep, count(*) as m from nd_docs group by form),
 nd_toks as (select rep, m, list_filter(string_split_regex(form, '[^a-z0-9]+'), lambda x: length(x) >= 2) as t
             from nd_forms),
@@ -429,7 +438,7 @@ nd_grams as (select rep, m, unnest(t || list_transform(range(1, len(t)), lambda
              from nd_toks),
 nd_tf as (select rep, m, term, count(*) as tf from nd_grams group by all),
 nd_df as (select term, sum(m) as df from nd_tf group by term),
-nd_n as (select count(*) as n from documents),
+nd_n as (select count(*) as n from {src}),
 nd_w0 as (select rep, term, tf, df, tf * (ln((1 + n) / (1 + df)) + 1) as w from nd_tf join nd_df using (term) cross join nd_n),
 nd_nrm as (select rep, sqrt(sum(w * w)) as nr from nd_w0 group by rep),
 nd_w as (select rep, term, tf, df, w / nr as w from nd_w0 join nd_nrm using (rep)),
@@ -438,6 +447,9 @@ nd_pairs as (select a.rep as rep_a, b.rep as rep_b, sum(a.w * b.w) as sim
              group by all having sum(a.w * b.w) >= 0.8 - 1e-9)
 """
 
+
+NEAR_DUP_CTE = near_dup_cte()
+
 ORACLES["tfidf_top_terms"] = f"""
 with {NEAR_DUP_CTE},
 ranked as (select d.doc_id, w.term, w.tf, w.df, w.w,
@@ -453,7 +465,7 @@ select p.rep_a, p.rep_b, round(p.sim, 6) as similarity, fa.m as copies_a, fb.m a
 from nd_pairs p join nd_forms fa on fa.rep = p.rep_a join nd_forms fb on fb.rep = p.rep_b
 """
 
-NEAR_DUP_GROUPS_CTE = NEAR_DUP_CTE + """,
+GROUPS_TAIL = """,
 nd_edges as (select rep_a as a, rep_b as b from nd_pairs union all select rep_b, rep_a from nd_pairs),
 nd_reach(node, comp) as (select a, a from nd_edges
                          union select e.b, r.comp from nd_reach r join nd_edges e on e.a = r.node),
@@ -465,6 +477,8 @@ nd_groups as (select d.doc_id,
   left join nd_comp c on c.node = f.rep)
 """
 
+NEAR_DUP_GROUPS_CTE = NEAR_DUP_CTE + GROUPS_TAIL
+
 ORACLES["near_dup_groups"] = f"with recursive {NEAR_DUP_GROUPS_CTE} select doc_id, dup_group from nd_groups"
 
 ORACLES["cluster_stats"] = f"""
@@ -485,3 +499,14 @@ from posts p join sc on sc.rid = p.conv_id
 """
 
 ORACLES["csv_curate_corpus"] = "with " + CURATED_CTE + "select text, sentiment, source_file from curated"
+
+
+# --- the reference flow: curate -> near-duplicate groups -> grouped split -----------------
+
+_CORPUS_GROUPS = CURATED_CTE.strip() + ", " + near_dup_cte("curated", "row_id", "text").strip() + GROUPS_TAIL
+
+ORACLES["corpus_dup_groups"] = f"with recursive {_CORPUS_GROUPS} select doc_id as row_id, dup_group from nd_groups"
+
+ORACLES["corpus_split_summary"] = "with " + split_walk(
+    _CORPUS_GROUPS + """, split_input as (select c.row_id, g.dup_group, c.label_id
+                         from curated c join nd_groups g on g.doc_id = c.row_id)""") + SPLIT_SUMMARY_SELECT
