@@ -42,3 +42,9 @@ def test_capitalize_and_words(spark):
 
 def test_near_dup_form(spark):
     assert run(spark, ["Héllo, World!! #tag  x"], near_dup_form) == ["h llo world #tag x"]
+
+
+def test_clean_is_not_always_idempotent(spark):
+    once = run(spark, ["http@a://x rest"], clean_text)
+    assert once == ["http://x rest"]
+    assert run(spark, once, clean_text) == ["rest"]

@@ -46,7 +46,9 @@ def audit_candidates(df: DataFrame, scorer: Scorer, earlier: Sequence[DataFrame]
     seen = audited_texts(earlier)
     if seen is not None:                       # F7/J5/O6: keeps duplicates
         rows = rows.join(seen, rows[text] == seen["text"], "left_anti")
-    rows = rows.withColumn("_rid", F.col(id_col)).withColumn("_text", F.col(text))
+    # the scorer cleans what it is given, as the prediction helper does: the
+    # audited text is cleaned twice (cleaning is not idempotent on every input)
+    rows = rows.withColumn("_rid", F.col(id_col)).withColumn("_text", clean_text(F.col(text)))
     preds = scorer(rows.select("_rid", "_text")).select(
         "_rid", F.col("label").alias("_pred"), F.col("confidence").alias("_conf"))
     scored = rows.join(preds, "_rid")

@@ -304,7 +304,7 @@ a0 as (select row_id, source_file, {clean_sql('text')} as text,
 a1 as (select * from a0 where label in ('Positive', 'Neutral', 'Negative')),
 seen as (select distinct {clean_sql('text')} as text from labelled where text is not null),
 a2 as (select * from a1 where text not in (select text from seen)),
-{scored_cte('sc', 'a2', 'row_id', 'text')}
+{scored_cte('sc', 'a2', 'row_id', clean_sql('text'))}
 select a2.source_file as source, a2.text, a2.label as sentiment, sc.pred, round(sc.confidence, 6) as conf,
   a2.row_id
 from a2 join sc on sc.rid = a2.row_id
