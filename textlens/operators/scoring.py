@@ -84,7 +84,7 @@ def lexicon_weights(labelled: DataFrame, text: str = "text", label: str = "label
     """Log-smoothed per-class document shares of each token (a fixed, fully
     reproducible linear model used as the plugged-in scorer in tests and
     queries): w(t,k) = ln((n_tk + 1) / (n_t + k)), b_k = ln((N_k + 1) / (N + k))."""
-    docs = labelled.select(F.monotonically_increasing_id().alias("_d"), F.col(label).alias("_y"),
+    docs = labelled.select(F.col(label).alias("_y"),
                            F.array_distinct(tokens_of(clean_text(F.col(text)))).alias("_t"))
     post = docs.select("_y", F.explode("_t").alias("term"))
     per = post.groupBy("term").agg(
