@@ -59,3 +59,10 @@ def test_bad_json_and_missing_post(spark):
     assert run(spark, "x", "{not json").error == "bad_json"
     assert run(spark, "instagram", {"comments": []}).error == "missing:post"
     assert run(spark, "mastodon", {"post": {}}).error == "unknown platform: mastodon"
+
+
+def test_x_view_count_like_python_int(spark):
+    base = {"rest_id": "1", "legacy": {"created_at": "Sat Jul 25 18:26:52 +0000 2026"}}
+    for count, want in ((12.7, 12), ("12", 12), ("12.7", 0), (None, 0), ("", 0), ("-3", -3)):
+        node = dict(base, views={"count": count})
+        assert run(spark, "x", {"post": node}).post.view_count == want, count

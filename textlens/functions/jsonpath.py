@@ -91,3 +91,13 @@ def iso_text(ts: Column) -> Column:
     """C17: timestamp -> ISO text with '+00:00'; fraction only when non-zero."""
     frac = F.date_format(ts, "SSSSSS") != "000000"
     return F.when(frac, F.date_format(ts, ISO_FMT_FRACTION)).otherwise(F.date_format(ts, ISO_FMT))
+
+
+def python_int(v: Column, path: str) -> Column:
+    """C20: ``int(value)`` as Python does it, null when that would raise:
+    numbers truncate toward zero, strings must be integer literals."""
+    j = json_text(v, path)
+    is_str = j.startswith('"')
+    from_str = F.trim(as_str(v, path)).try_cast("bigint")
+    from_num = F.try_variant_get(v, path, "double").cast("bigint")
+    return F.when(j.isNull() | (j == "null"), None).when(is_str, from_str).otherwise(from_num)

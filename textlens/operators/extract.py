@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textlens.functions.jsonpath import (as_str, count_or_zero, first_truthy_node, iso_instant,
-                                         node, present, truthy, unix_seconds, x_time)
+                                         node, present, python_int, truthy, unix_seconds, x_time)
 
 COMMENT_FIELDS = ("platform_comment_id", "author_handle", "content", "like_count", "published_at",
                   "sentiment", "sentiment_score", "model_version", "raw_payload")
@@ -206,7 +206,10 @@ def extract_x(doc: Column, extracted_at: Column) -> tuple[Column, Column]:
         url = F.when(handle.isNotNull() & (handle != ""),
                      F.concat(F.lit("https://x.com/"), handle, F.lit("/status/"), pid))
         shares = count_or_zero(p, "$.legacy.retweet_count") + count_or_zero(p, "$.legacy.quote_count")
-        views = F.coalesce(as_str(p, "$.views.count").try_cast("bigint"), F.lit(0).cast("bigint"))
+        # int(views.count or 0), and 0 when int() would raise
+        views = F.when(truthy(p, "$.views.count"),
+                       F.coalesce(python_int(p, "$.views.count"), F.lit(0).cast("bigint"))) \
+                 .otherwise(F.lit(0).cast("bigint"))
         return post_struct("x", pid, handle, name, _x_text(p), url,
                            count_or_zero(p, "$.legacy.favorite_count"),
                            count_or_zero(p, "$.legacy.reply_count"), shares, views,
