@@ -28,3 +28,25 @@ def test_audit_rules(spark):
     top = audit_candidates(rows, sc, earlier, top_n=1).collect()
     assert [r.row_id for r in top] == [5]
     assert audit_candidates(rows, sc, earlier, top_n=0).count() == 2
+
+
+def test_audit_csv_round_trip(spark, tmp_folder):
+    import glob
+    import os
+
+    import pandas as pd
+
+    from textlens.operators.audit import audit_csv
+    corpus = os.path.join(tmp_folder, "merged.csv")
+    pd.DataFrame({"Text ": ["one two", "five six", "seen before"], "Label": ["Positive", "Negative", "Positive"],
+                  "source_file": ["a", "b", "c"]}).to_csv(corpus, index=False)
+    prev = os.path.join(tmp_folder, "label_audit_1.csv")
+    pd.DataFrame({"text": ["seen before"], "sentiment": ["Positive"], "pred": ["Negative"],
+                  "conf": [0.99]}).to_csv(prev, index=False)
+    sc = fake_scorer(spark, [("one two", "Negative", 0.95), ("five six", "Negative", 0.99),
+                             ("seen before", "Negative", 0.99)])
+    out = audit_csv(spark, f"file://{corpus}", [f"file://{prev}", f"file://{tmp_folder}/missing.csv"],
+                    sc, f"file://{tmp_folder}/rounds", stamp="t1")
+    rows = pd.concat(pd.read_csv(p) for p in glob.glob(os.path.join(out.replace("file://", ""), "*.csv")))
+    assert list(rows.columns) == ["source", "text", "sentiment", "pred", "conf"]
+    assert rows["text"].tolist() == ["one two"]

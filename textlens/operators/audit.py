@@ -60,3 +60,29 @@ def audit_candidates(df: DataFrame, scorer: Scorer, earlier: Sequence[DataFrame]
     if top_n:                                  # 0 / None = no limit
         cand = cand.orderBy(F.desc("conf"), "text", id_col).limit(int(top_n))
     return cand
+
+
+def earlier_rounds(spark, paths: Sequence[str]) -> list[DataFrame]:
+    """A17 inputs: earlier audit CSVs in name order; missing files are skipped."""
+    from textlens.sources.csv_files import read_csv
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in sorted(paths, key=lambda s: s.rsplit("/", 1)[-1]):
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        if hp.getFileSystem(conf).exists(hp):
+            out.append(read_csv(spark, p))
+    return out
+
+
+def audit_csv(spark, corpus_path: str, earlier_paths: Sequence[str], scorer: Scorer, out_root: str,
+              threshold: float = AUDIT_THRESHOLD, top_n: int | None = None,
+              stamp: str | None = None) -> str:
+    """M6 end to end: corpus CSV (``text``, ``label``[, ``source_file``]) ->
+    candidates, most confident first, written as a new audit round (S9)."""
+    from textlens.sources.csv_files import read_csv
+    from textlens.sources.sinks import write_audit_round
+    corpus = read_csv(spark, corpus_path).withColumnRenamed("_row", "row_id")
+    cand = audit_candidates(corpus, scorer, earlier_rounds(spark, earlier_paths), threshold, top_n)
+    ordered = cand.orderBy(F.desc("conf"), "text", "row_id").drop("row_id")
+    return write_audit_round(ordered.coalesce(1), out_root, stamp)
