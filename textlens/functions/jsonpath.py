@@ -32,18 +32,29 @@ def json_text(v: Column, path: str = "$") -> Column:
     return F.to_json(node(v, path))
 
 
+_ZERO_LIKE = r"^(-?0+(\.0*)?([eE][+-]?[0-9]+)?|false|\{\}|\[\])$"
+
+
 def truthy(v: Column, path: str = "$") -> Column:
-    """Python truthiness of the value at ``path`` (absent counts as falsy)."""
-    j = json_text(v, path)
-    falsy = (j.isNull() | j.isin("null", '""', "false", "{}", "[]")
-             | j.rlike(r"^-?0+(\.0*)?([eE][+-]?[0-9]+)?$"))
-    return ~falsy
+    """Python truthiness of the value at ``path`` (absent counts as falsy).
+
+    The value is read as text (a JSON null or absent key gives NULL); only
+    zero-like texts ('0', 'false', '{}', ...) need the JSON form, to tell the
+    number 0 from the string "0" -- so sub-documents are not serialised on
+    every check.
+    """
+    s = as_str(v, path)
+    zero_like = s.rlike(_ZERO_LIKE)
+    quoted = F.startswith(F.to_json(node(v, path)), F.lit('"'))
+    return (F.when(s.isNull() | (s == ""), F.lit(False))
+             .when(zero_like, quoted)
+             .otherwise(F.lit(True)))
 
 
 def present(v: Column, path: str) -> Column:
     """Key present with a non-null value."""
-    j = json_text(v, path)
-    return j.isNotNull() & (j != "null")
+    n = node(v, path)
+    return n.isNotNull() & ~F.is_variant_null(n)
 
 
 def first_truthy(v: Column, *paths: str, default: Column | None = None,
