@@ -144,12 +144,12 @@ def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         from labels l join documents d on l.doc_id = d.doc_id""")
 
 
-_SCORERS: dict[tuple[int, str], sco.LinearScorer] = {}
+_SCORERS: dict[tuple[str, str], sco.LinearScorer] = {}
 
 
 def lexicon_scorer(spark: SparkSession, sf_dir: str) -> sco.LinearScorer:
     """The fitted lexicon model for a dataset (fitted once per session)."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _SCORERS:
         w, b = sco.lexicon_weights(labelled_docs(spark, sf_dir))
         _SCORERS[key] = sco.LinearScorer(w, b)
