@@ -22,6 +22,7 @@ WORD_TOKEN_RE = r"[\p{L}\p{N}_]{2,}"
 # near-duplicate normal form keeps only these characters
 NEAR_DUP_DROP_RE = r"[^a-z0-9# ]+"
 NEAR_DUP_SPLIT_RE = r"[^a-z0-9]+"
+NEAR_DUP_TOKEN_RE = r"[a-z0-9]{2,}"
 
 
 def _c(c: Column | str) -> Column:
@@ -70,6 +71,27 @@ def near_dup_tokens(form: Column | str) -> Column:
     return F.filter(F.split(_c(form), NEAR_DUP_SPLIT_RE), lambda t: F.length(t) >= 2)
 
 
+def explode_ngrams(df, form: str, keep: list[str], out: str = "term"):
+    """Rows ``keep..., out`` with every 1-gram and 2-gram of a C5 form.
+
+    Lambda-free on purpose (higher-order functions are interpreted per
+    element): tokens are ``regexp_extract_all`` runs of >= 2 alphanumerics,
+    and ``arrays_zip(t, t[2:])`` pairs each token with its successor (the
+    last one with null), giving the unigram and, where present, the bigram.
+    """
+    t = F.regexp_extract_all(F.col(form), F.lit(NEAR_DUP_TOKEN_RE), 0)
+    pairs = df.select(*keep, F.explode(F.arrays_zip(t.alias("a"), F.slice(t, 2, 1 << 30).alias("b")))
+                      .alias("_p"))
+    grams = F.array(F.col("_p.a"), F.when(F.col("_p.b").isNotNull(),
+                                          F.concat_ws(" ", F.col("_p.a"), F.col("_p.b"))))
+    return pairs.select(*keep, F.explode(grams).alias(out)).filter(F.col(out).isNotNull())
+
+
+def has_token(form: Column | str) -> Column:
+    """A C5 form has a token iff it holds two consecutive alphanumerics."""
+    return _c(form).rlike(NEAR_DUP_TOKEN_RE)
+
+
 def word_tokens(c: Column | str) -> Column:
     """C6 (Unicode): runs of >= 2 word characters of a lower-cased text."""
     return F.regexp_extract_all(_c(c), F.lit(WORD_TOKEN_RE), 0)
