@@ -1,7 +1,8 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 2: a cold and a warm run per query).
+BENCH_REPEAT (default 2: a cold and a warm run per query), BENCH_EXPLAIN=1
+(print each query's formatted physical plan to stderr).
 Each query is fully evaluated with the ``noop`` sink (nothing is collected).
 """
 
@@ -36,8 +37,13 @@ def main() -> None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="textlens-bench-"))
     from textlens.plans.catalog import QUERIES
 
+    explain = os.environ.get("BENCH_EXPLAIN") == "1"
     cold, warm = {}, {}
     for name in HEADLINE:
+        if explain:
+            mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+            plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().explainString(mode)
+            print(f"== {name} ==\n{plan}", file=sys.stderr)
         times = []
         for _ in range(repeat):
             t0 = time.time()
