@@ -9,10 +9,11 @@ the smallest document of each is found.  What comes back are spans of words,
 which the documents drop.
 
 Skew: equal super-k-mers are packed once per task with the list of their
-places.  A minimiser that holds more than 1 / ``HOT_SHARE`` of all super-k-mers
-is hot (there are fewer than ``HOT_SHARE`` of them, so the list has a fixed
-bound); its windows are dealt out singly by their own hash.  That changes only
-where windows meet, never the result.
+places, and of equal texts only the smallest document counts (in all others
+every window repeats).  A minimiser that holds more than 1 / ``HOT_SHARE`` of all
+super-k-mers is hot (there are fewer than ``HOT_SHARE`` of them, so the list has
+a fixed bound); its windows are dealt out by a second minimiser as well.  That
+changes only where windows meet, never the result.
 
 Defined results: a null or empty text has no words; a text of fewer than
 ``length`` words has no window and keeps all; rows with a null id neither
@@ -40,6 +41,7 @@ LENGTH, MMER = 50, 6
 HOT_SHARE = 2000
 FLUSH_BYTES, BUCKET_BYTES = 12 << 20, 24 << 20
 _U = np.uint64
+_SECOND = _U(0x5851F42D4C957F2D)
 
 
 def _run_hashes(word: np.ndarray, k: int) -> np.ndarray:
@@ -60,30 +62,39 @@ def _window_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:len(x) - (width - size)], x[width - size:]) if width > size else x
 
 
-def super_kmers(w: T.Words, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, first word, number of windows, minimiser) of each run, and the words' hashes."""
+def super_kmers(w: T.Words, length: int, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first word, number of windows, minimiser) of each run of windows with one minimiser.
+
+    A minimiser in ``hot`` is joined with a second, independent one of the same window.
+    """
     word = w.hashes()
     none = np.zeros(0, np.int64)
     if w.n < length:
-        return none, none, none, np.zeros(0, np.uint64), word
+        return none, none, none, np.zeros(0, np.uint64)
     doc = w.doc()
-    small = _window_min(_run_hashes(word, MMER), length - MMER + 1)
-    inside = doc[:len(small)] == doc[length - 1:]
-    at = np.flatnonzero(inside)
+    grams = _run_hashes(word, MMER)
+    width = length - MMER + 1
+    small = _window_min(grams, width)
+    at = np.flatnonzero(doc[:len(small)] == doc[length - 1:])
+    key = small[at]
+    if len(hot):
+        is_hot = np.isin(key, hot)
+        if is_hot.any():
+            second = _window_min(T.mix(grams ^ _SECOND), width)[at]
+            key = np.where(is_hot, T.mix(key ^ T.mix(second)), key)
     if not len(at):
-        return none, none, none, np.zeros(0, np.uint64), word
+        return none, none, none, np.zeros(0, np.uint64)
     new = np.ones(len(at), bool)
-    new[1:] = (at[1:] != at[:-1] + 1) | (small[at[1:]] != small[at[:-1]]) | (doc[at[1:]] != doc[at[:-1]])
+    new[1:] = (at[1:] != at[:-1] + 1) | (key[1:] != key[:-1]) | (doc[at[1:]] != doc[at[:-1]])
     head = np.flatnonzero(new)
-    count = np.diff(np.append(head, len(at)))
-    return doc[at[head]], at[head], count, small[at[head]], word
+    return doc[at[head]], at[head], np.diff(np.append(head, len(at))), key[head]
 
 
 def _shares(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, data, at in T.chunks(batch):
-                m = super_kmers(T.split(data, at), length)[3]
+                m = super_kmers(T.split(data, at), length, np.zeros(0, np.uint64))[3]
                 # what is hot overall is at least this frequent in some chunk
                 h, n = np.unique(m, return_counts=True)
                 top = n * HOT_SHARE * 2 >= len(m)
@@ -94,13 +105,13 @@ def _shares(length: int):
 
 
 def _packer(length: int, buckets: int, hot: np.ndarray):
-    def emit(held: dict[int, dict[bytes, list]]) -> Iterator[pa.RecordBatch]:
+    def emit(held: dict[int, dict[bytes, dict]]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
         ids, packed, places = [], [], []
         for b, strings in held.items():
             ids.append(b)
             packed.append(press.compress(b"\n".join(strings)))
-            flat = [x for i, ps in enumerate(strings.values()) for p in ps for x in (i, *p)]
+            flat = [x for i, ps in enumerate(strings.values()) for (k, s), d in ps.items() for x in (i, d, k, s)]
             places.append(press.compress(np.array(flat, np.int64).tobytes()))
             if len(ids) >= 64:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(packed, pa.binary()),
@@ -111,22 +122,12 @@ def _packer(length: int, buckets: int, hot: np.ndarray):
                                               pa.array(places, pa.binary())], ["bucket", "packed", "places"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, dict[bytes, list]] = defaultdict(dict)
+        held: dict[int, dict[bytes, dict]] = defaultdict(dict)
         size = 0
         for batch in batches:
             for part, data, at in T.chunks(batch):
                 w = T.split(data, at)
-                doc, first, count, m, word = super_kmers(w, length)
-                if len(m) and len(hot):
-                    is_hot = np.isin(m, hot)
-                    if is_hot.any():
-                        n = count[is_hot]
-                        lone = np.repeat(first[is_hot] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                        route = T.span_hash(word, lone, lone + length)
-                        doc = np.concatenate([doc[~is_hot], np.repeat(doc[is_hot], n)])
-                        m = np.concatenate([m[~is_hot], route])
-                        first = np.concatenate([first[~is_hot], lone])
-                        count = np.concatenate([count[~is_hot], np.ones(len(lone), np.int64)])
+                doc, first, count, m = super_kmers(w, length, hot)
                 blob, a, b = w.joined()
                 ids, keys = T.longs(part, "doc_id"), T.longs(part, "text_key")
                 bucket = (T.mix(m) % _U(buckets)).astype(np.int64)
@@ -136,10 +137,10 @@ def _packer(length: int, buckets: int, hot: np.ndarray):
                     text = blob[i:j]
                     places = held[x].get(text)
                     if places is None:
-                        held[x][text] = [(d, k, s)]
+                        places = held[x][text] = {}
                         size += j - i
-                    else:
-                        places.append((d, k, s))
+                    # of copies of one text the smallest document stands for all
+                    places[k, s] = min(d, places.get((k, s), d))
                     size += 24
                 if size > FLUSH_BYTES:
                     yield from emit(held)
@@ -204,6 +205,9 @@ def _counter(length: int):
                 x[:, 0] = local[x[:, 0]]
                 places.append(x)
             at = np.concatenate(places)
+            # the smallest document of each place in a text
+            at = at[np.lexsort((at[:, 1], at[:, 3], at[:, 2], at[:, 0]))]
+            at = at[np.append(True, (at[1:, [0, 2, 3]] != at[:-1, [0, 2, 3]]).any(1))]
             least = np.full(len(strings), np.iinfo(np.int64).max)
             np.minimum.at(least, at[:, 0], at[:, 1])
             low = _smallest(list(strings), least, length)
@@ -224,7 +228,8 @@ def _counter(length: int):
 def repeated_spans(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
     """(doc_id, text_key, begin, stop): spans of words whose windows also start in a smaller document.
 
-    ``docs`` has ``doc_id`` (long), ``text`` and ``text_key`` (a hash of the text).
+    ``docs`` has ``doc_id`` (long), ``text`` and ``text_key`` (a hash of the text); of equal texts
+    only the smallest document is told.
     """
     docs = docs.filter("doc_id is not null and text is not null")
     found = (docs.select("text").mapInArrow(_shares(length), "minimiser long, n long, total long")
@@ -241,19 +246,23 @@ def repeated_spans(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
         _counter(length), "doc_id long, text_key long, begin long, stop long")
 
 
-def _cutter(keep_text: bool):
+def _cutter(length: int, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, at in T.chunks(batch):
-                yield _cut(part, data, at, keep_text)
+                yield _cut(part, data, at, length, keep_text)
     return run
 
 
-def _cut(part: pa.RecordBatch, data: np.ndarray, at: np.ndarray, keep_text: bool) -> pa.RecordBatch:
+def _cut(part: pa.RecordBatch, data: np.ndarray, at: np.ndarray, length: int, keep_text: bool) -> pa.RecordBatch:
     w = T.split(data, at)
     blob, a, b = w.joined()
     removed, kept = [], []
-    for lo, hi, spans in zip(w.lo.tolist(), w.hi.tolist(), part.column(2).to_pylist()):
+    for lo, hi, copy, spans in zip(w.lo.tolist(), w.hi.tolist(), part.column(2).to_pylist(), part.column(3).to_pylist()):
+        if copy and hi - lo >= length:
+            removed.append(hi - lo)
+            kept.append(b"")
+            continue
         if not spans:
             removed.append(0)
             kept.append(blob[a[lo]:b[hi - 1]] if hi > lo else b"")
@@ -281,6 +290,12 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     docs = docs.withColumn("text_key", F.xxhash64("text"))
     spans = (repeated_spans(docs, length=length).groupBy("doc_id", "text_key")
              .agg(F.collect_set(F.struct("begin", "stop")).alias("spans")))
-    return (docs.join(spans, ["doc_id", "text_key"], "left").select("doc_id", "text", "spans")
-            .mapInArrow(_cutter(keep_text), "doc_id long, n_words long, n_removed long, kept_sha256 string"
-                                            + ", kept string" * keep_text))
+    first = docs.filter("doc_id is not null").groupBy("text_key").agg(F.min("doc_id").alias("first"))
+    first = first.join(spans.select("text_key", F.col("doc_id").alias("first"), "spans"), ["text_key", "first"], "left")
+    told = (docs.select("doc_id", "text_key").distinct().join(first, "text_key")
+            .select("doc_id", "text_key", (F.col("doc_id") > F.col("first")).alias("copy"), "spans")
+            .filter("copy or spans is not null"))
+    told = told.withColumn("spans", F.when(~F.col("copy"), F.col("spans")))
+    return (docs.join(told, ["doc_id", "text_key"], "left").select("doc_id", "text", "copy", "spans")
+            .mapInArrow(_cutter(length, keep_text), "doc_id long, n_words long, n_removed long, kept_sha256 string"
+                                                    + ", kept string" * keep_text))

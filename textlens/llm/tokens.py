@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 _B1, _B2 = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
 _U = np.uint64
 
