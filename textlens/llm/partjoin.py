@@ -15,10 +15,12 @@ without slack (small or uneven ones) also emits the one-deletion neighbourhoods
 of its segments, and single shingles where even these give no guarantee.
 
 Keys travel as sorted blocks to their partition.  There, documents that share
-a key are a run.  First every member of a run is verified against its leader
-and the links found are contracted to components; then only members of
-different components are compared, so a group of near copies costs a number of
-pairs in proportion to its size and no link between components is lost.
+a key are a run.  A run of up to ``SMALL`` members compares them all.  In a
+larger one the members are first verified against its ``LEADERS`` most central
+members (those in most runs: of near copies the ones closest to the original)
+and the links found are contracted to components; then only members of different
+components are compared, so a group of near copies costs pairs in proportion to
+its size and no link between components is lost.
 Pairs pass an exact bound (parity sketches: each differing shingle flips one
 bit) before the sets themselves are compared.
 
@@ -48,6 +50,7 @@ from textlens.operators.components import connected_components
 SHINGLE = 5
 BUCKET_BYTES = 10 << 20
 FLUSH_KEYS = 3_000_000
+LEADERS, SMALL, SALTS = 2, 32, 16
 BITMAP_BITS = 1 << 23
 _U = np.uint64
 _C = [_U(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
@@ -94,7 +97,7 @@ _SEGMENTS = np.array([segments(b) for b in range(40)], np.int64)
 
 
 def sketch_bits(n: np.ndarray) -> np.ndarray:
-    return np.int64(1) << np.clip(band_of(n) + 1, 8, 15)
+    return np.int64(1) << np.clip(band_of(n) + 2, 8, 15)
 
 
 def sketch(s: np.ndarray) -> bytes:
@@ -103,16 +106,6 @@ def sketch(s: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def sketch_distance(a: bytes, b: bytes) -> int:
-    """At most the number of shingles in which the two sets differ."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    while len(x) > len(y):
-        x = x[:len(x) // 2] ^ x[len(x) // 2:]
-    while len(y) > len(x):
-        y = y[:len(y) // 2] ^ y[len(y) // 2:]
-    return int(np.bitwise_count(x ^ y).sum())
-
-
 def band_keys(flat: np.ndarray, n: np.ndarray, doc: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(key, document) for sets indexed in the given bands (one per document)."""
     m = _SEGMENTS[band]
@@ -273,19 +266,6 @@ def _percent(bar: float) -> int:
     return round(bar * 100)
 
 
-def _bounded(bar: float):
-    top = _percent(bar)
-
-    @F.pandas_udf("boolean")
-    def possible(na: pd.Series, sa: pd.Series, nb: pd.Series, sb: pd.Series) -> pd.Series:
-        out = []
-        for a, x, b, y in zip(na, sa, nb, sb):
-            # similarity s with difference d: s = (a + b - d) / (a + b + d)
-            out.append(100 * (a + b - (d := max(sketch_distance(x, y), abs(a - b)))) >= top * (a + b + d))
-        return pd.Series(out, dtype=bool)
-    return possible
-
-
 def _exact(bar: float):
     top = _percent(bar)
 
@@ -300,25 +280,63 @@ def _exact(bar: float):
     return linked
 
 
-def _crosser(bar: float):
-    top = _percent(bar)
+def _folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, folded to the size of the smallest."""
+    least = min(map(len, sketches))
+    out = np.empty((len(sketches), least // 8), np.uint64)
+    for i, x in enumerate(sketches):
+        v = np.frombuffer(x, np.uint64)
+        while len(v) * 8 > least:
+            v = v[:len(v) // 2] ^ v[len(v) // 2:]
+        out[i] = v
+    return out
+
+
+def _possible(rows: np.ndarray, row_n: np.ndarray, every: np.ndarray, n: np.ndarray, top: int) -> np.ndarray:
+    """Which pairs of sets (rows by every) the size and sketch bounds allow."""
+    d = np.zeros((len(rows), len(every)), np.int64)
+    for w in range(every.shape[1]):
+        d += np.bitwise_count(rows[:, w, None] ^ every[None, :, w])
+    s = row_n[:, None] + n[None]
+    np.maximum(d, np.abs(row_n[:, None] - n[None]), out=d)
+    return 100 * (s - d) >= top * (s + d)
+
+
+def _pairs_of_runs(bar: float, cross: bool):
+    """Pairs of a run that the bounds allow: all of a small one, those with a leader of others; with ``cross``
+    those of different components.
+    """
+    top, strip = _percent(bar), 128
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Pairs of a run's members in different components that the bounds allow."""
+        sent: set[tuple[int, int]] = set()
         for frame in frames:
             for members in frame["members"]:
-                ms = sorted(members, key=lambda r: r["n"])
-                out = []
-                for i, a in enumerate(ms):
-                    for b in ms[i + 1:]:
-                        if 100 * a["n"] < top * b["n"]:
-                            break
-                        s = a["n"] + b["n"]
-                        if a["component"] != b["component"] and \
-                                100 * (s - (d := sketch_distance(a["sketch"], b["sketch"]))) >= top * (s + d):
-                            out.append((min(a["node"], b["node"]), max(a["node"], b["node"])))
-                if out:
-                    yield pd.DataFrame(out, columns=["a", "b"])
+                node = np.array([m["node"] for m in members])
+                group = np.array([m["by"] for m in members])
+                n = np.array([m["n"] for m in members])
+                bits = _folded([m["sketch"] for m in members])
+                if cross:
+                    # those outside the largest component, against all
+                    kinds, which, size = np.unique(group, return_inverse=True, return_counts=True)
+                    rows = np.flatnonzero(which != size.argmax())
+                elif len(node) <= SMALL:
+                    rows = np.arange(len(node) - 1)
+                else:
+                    rows = np.lexsort((node, -group))[:LEADERS]
+                for k in range(0, len(rows), strip):
+                    own = rows[k:k + strip]
+                    ok = _possible(bits[own], n[own], bits, n, top) & (node[own][:, None] != node[None])
+                    if cross:
+                        ok &= group[own][:, None] != group[None]
+                    i, j = np.nonzero(ok)
+                    a, b = node[own[i]], node[j]
+                    new = set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())) - sent
+                    if new:
+                        sent |= new
+                        yield pd.DataFrame(sorted(new), columns=["a", "b"])
+                    if len(sent) > 2_000_000:
+                        sent.clear()
     return run
 
 
@@ -328,25 +346,33 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         raise ValueError("bar is 0.75 at least")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = cut_lineage(docs.mapInArrow(_nodes, "doc_id long, n_shingles long, node long, sketch binary"), "sets")
-    nodes = (rows.filter("n_shingles > 0 and doc_id is not null").groupBy("node")
-             .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")))
+    nodes = cut_lineage(rows.filter("n_shingles > 0 and doc_id is not null").groupBy("node")
+                        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
+                             F.first("sketch").alias("sketch")), "nodes")
     partitions = pieces(docs, "text", BUCKET_BYTES)
     keys = docs.filter("doc_id is not null").select("text").mapInArrow(
         _indexer(partitions), "part int, keys binary, names binary, idx binary, width int")
     runs = cut_lineage(keys.repartition(partitions, "part").mapInArrow(_runs, "members array<long>")
                        .groupBy("members").agg(F.lit(1).alias("one")).select("members"), "runs")
-    stars = (runs.select(F.element_at("members", 1).alias("a"), F.explode(F.expr("slice(members, 2, size(members))"))
-                         .alias("b")).distinct())
+    # a run is named by its members: the same on every attempt (two runs of one name would only be compared together)
+    wide = cut_lineage(runs.select(F.xxhash64("members").alias("run"), F.size("members").alias("k"),
+                                   F.explode("members").alias("node")), "wide")
+
+    def pairs(members: DataFrame, cross: bool) -> DataFrame:
+        """members: (run, node, by).  Runs with the same first leader share few tasks, which send a pair once each."""
+        lead = members.groupBy("run").agg(F.max_by("node", F.struct("by", "node")).alias("lead"))
+        lead = lead.select("run", F.xxhash64("lead", F.col("run") % SALTS).alias("place"))
+        lists = (members.join(lead, "run").join(nodes.drop("rep"), "node").repartition("place").groupBy("place", "run")
+                 .agg(F.collect_list(F.struct("node", "by", "n", "sketch")).alias("members")).select("members"))
+        return lists.mapInPandas(_pairs_of_runs(bar, cross), "a long, b long").distinct()
+
+    central = wide.groupBy("node").agg(F.count(F.lit(1)).alias("by"))
+    stars = pairs(wide.join(central, "node").select("run", "node", "by"), False)
     first = cut_lineage(_verified(docs, nodes, stars, bar), "links")
-    comp = connected_components(first, "a", "b")
-    comp = cut_lineage(comp.withColumnRenamed("component", "c"), "comp")
-    wide = (runs.filter("size(members) > 2").select(F.monotonically_increasing_id().alias("run"), "members"))
-    wide = cut_lineage(wide.select("run", F.explode("members").alias("node")), "wide")
-    wide = wide.join(comp, "node", "left").select("run", "node", F.coalesce("c", "node").alias("component"))
-    mixed = wide.groupBy("run").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    rest = (wide.join(mixed.select("run"), "run").join(nodes.drop("rep"), "node").groupBy("run")
-            .agg(F.collect_list(F.struct("node", "component", "n", "sketch")).alias("members")).select("members"))
-    cross = rest.mapInPandas(_crosser(bar), "a long, b long").distinct()
+    comp = cut_lineage(connected_components(first, "a", "b").withColumnRenamed("component", "c"), "comp")
+    wide = wide.filter(F.col("k") > SMALL).join(comp, "node", "left").select("run", "node", F.coalesce("c", "node").alias("by"))
+    mixed = wide.groupBy("run").agg(F.min("by").alias("x"), F.max("by").alias("y")).filter("x <> y")
+    cross = pairs(wide.join(mixed.select("run"), "run"), True)
     links = first.unionByName(_verified(docs, nodes, cross, bar))
     comp = connected_components(links, "a", "b").select("node", F.col("component").alias("c"))
     # components are of nodes; name each by its smallest document
@@ -361,12 +387,9 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, bar: float) -> DataFrame:
     """The pairs (a, b) of nodes whose sets reach the bar."""
     def side(x: str) -> DataFrame:
-        return nodes.select(F.col("node").alias(x), F.col("rep").alias(f"rep_{x}"), F.col("n").alias(f"n_{x}"),
-                            F.col("sketch").alias(f"sketch_{x}"))
+        return nodes.select(F.col("node").alias(x), F.col("rep").alias(f"rep_{x}"))
 
-    near = pairs.join(side("a"), "a").join(side("b"), "b")
-    near = near.filter(_bounded(bar)("n_a", "sketch_a", "n_b", "sketch_b"))
-    near = cut_lineage(near.select("a", "b", "rep_a", "rep_b"), "near")
+    near = cut_lineage(pairs.join(side("a"), "a").join(side("b"), "b"), "near")
     need = near.select(F.explode(F.array("rep_a", "rep_b")).alias("doc_id")).distinct()
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS))
     bits = bitmap(need.withColumn("bit", bit), "bit", BITMAP_BITS)
