@@ -50,7 +50,7 @@ from textlens.operators.components import connected_components
 SHINGLE = 5
 BUCKET_BYTES = 10 << 20
 FLUSH_KEYS = 3_000_000
-LEADERS, SMALL, SALTS = 2, 32, 16
+LEADERS, SMALL, SALTS = 2, 32, 8
 BITMAP_BITS = 1 << 23
 _U = np.uint64
 _C = [_U(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
@@ -359,8 +359,10 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
                                    F.explode("members").alias("node")), "wide")
 
     def pairs(members: DataFrame, cross: bool) -> DataFrame:
-        """members: (run, node, by).  Runs with the same first leader share few tasks, which send a pair once each."""
-        lead = members.groupBy("run").agg(F.max_by("node", F.struct("by", "node")).alias("lead"))
+        """members: (run, node, by).  Runs of the same first leader, or largest component, share ``SALTS`` tasks, which
+        send a pair once each."""
+        first = F.mode("by") if cross else F.max_by("node", F.struct("by", "node"))
+        lead = members.groupBy("run").agg(first.alias("lead"))
         lead = lead.select("run", F.xxhash64("lead", F.col("run") % SALTS).alias("place"))
         lists = (members.join(lead, "run").join(nodes.drop("rep"), "node").repartition("place").groupBy("place", "run")
                  .agg(F.collect_list(F.struct("node", "by", "n", "sketch")).alias("members")).select("members"))
