@@ -33,7 +33,7 @@ SEED = 11
 #: Production targets: flatten sources and topics, half of the tokens English.
 TARGETS = {"source": 0.5, "lang": {"en": 0.5}, "topic": 0.7}
 BUDGET = 0.7
-SWEEPS_PER_JOB, SWEEPS, TOLERANCE = 4, 12, 1e-9
+SWEEPS_PER_JOB, SWEEPS, TOLERANCE = 2, 12, 1e-9
 # Topic rules in order of precedence: (topic, a literal that marks it).
 TOPIC_MARKS = (("tables", " | "), ("licences", "icense"), ("shouting", "!!"), ("secrets", "password="), ("mail", "@"))
 
@@ -124,8 +124,9 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     cells = docs.select(*(k.alias(d) for d, k in keys.items()), tokens_of(text_col).alias("tokens"))
     cells = cut_lineage(cells.groupBy(*dims).agg(F.sum("tokens").alias("tokens")), "cells")
     for d in dims:
-        cells = _targets(cells, d, targets[d])
-    cells = calibrate(rake(cut_lineage(cells, "cells"), dims), budget)
+        # each target reads the cells several times: written, so that the plans stay small
+        cells = cut_lineage(_targets(cells, d, targets[d]), "cells")
+    cells = calibrate(rake(cells, dims), budget)
     odds = cells.select(F.struct(*dims).alias("_cell"), "p")
     return (docs.withColumn("_cell", F.struct(*(k.alias(d) for d, k in keys.items()))).join(odds, "_cell", "left")
             .withColumn("topic", F.expr("nullif(substring(_cell.topic, 2), '')")).drop("_cell")

@@ -32,7 +32,7 @@ from textlens.llm.common import cut_lineage
 
 DIM = 1 << 16
 #: Bounds of the two samples of labelled rows (the only sampling; counts use all rows).
-FIT_ROWS, CALIBRATE_ROWS = 12_000, 6_000
+FIT_ROWS, CALIBRATE_ROWS = 5_000, 2_500
 
 # Byte classes of a word's shape: letters, capitals and digits are merged, other signs stand for themselves.
 _SHAPE = np.arange(256, dtype=np.uint8)
@@ -108,27 +108,27 @@ def dual_descent(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, cost:
 
     Each row is brought to unit length; a constant 1 stands for the bias.
     """
-    w, alpha = np.zeros(len(scale) + 1), np.zeros(len(rows))
-    xs = []
-    for f in rows:
-        x = scale[f]
-        size = float(np.sqrt(x @ x)) or 1.0
-        xs.append((np.append(f, len(scale)), np.append(x / size, 1.0)))
-    q = np.array([x @ x for _, x in xs])
+    w, bias, alpha = np.zeros(len(scale)), 0.0, np.zeros(len(rows))
+    size = np.array([float(np.sqrt(scale[f] @ scale[f])) or 1.0 for f in rows])
+    # a row's squared length: 1 for the indicators (0 without any) and 1 for the constant
+    q = 1.0 + np.array([float(scale[f].any()) for f in rows])
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         most = 0.0
-        for i in rng.permutation(len(xs)):
-            f, x = xs[i]
-            g = y[i] * (w[f] @ x) - 1
+        for i in rng.permutation(len(rows)):
+            f = rows[i]
+            x = scale[f] / size[i]
+            g = y[i] * (w[f] @ x + bias) - 1
             new = min(max(alpha[i] - g / q[i], 0.0), cost)
             if new != alpha[i]:
-                w[f] += (new - alpha[i]) * y[i] * x
+                step = (new - alpha[i]) * y[i]
+                w[f] += step * x
+                bias += step
                 most = max(most, abs(new - alpha[i]))
                 alpha[i] = new
         if most < 1e-3:
             break
-    return w[:-1], w[-1]
+    return w, bias
 
 
 def _logistic(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -157,10 +157,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
               .filter("doc_id is not null").mapInArrow(_packed, "doc_id long, features binary"))
     rows = cut_lineage(packed.join(taught, "doc_id"), "nbsvm")
     counts = (rows.select("y", "features").mapInArrow(_counted, "y long, feature long, n long")
-              .groupBy("y", "feature").agg(F.sum("n").alias("n")).collect())
+              .groupBy("y", "feature").agg(F.sum("n").alias("n")).toArrow())
     n = np.zeros((2, DIM + 1))
-    for r in counts:
-        n[r["y"], r["feature"]] = r["n"]
+    n[counts["y"].to_numpy(), counts["feature"].to_numpy()] = counts["n"].to_numpy()
     total = n[:, DIM]
     if not total.all():
         share = 0.5 if not total.any() else float(total[1] / total.sum())
@@ -172,16 +171,16 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     bound, parts = fit_rows + calibrate_rows, 1 << 30
     h = F.xxhash64("doc_id")
     some = (rows.filter(F.pmod(h, F.lit(parts)) <= int(min(1.0, 1.2 * bound / total.sum() + 1e-6) * parts))
-            .orderBy(h, "doc_id", "features").limit(bound).select("features", "y").collect())
-    sets = [np.frombuffer(r["features"], np.uint16).astype(np.int64) for r in some]
-    y = np.array([1.0 if r["y"] else -1.0 for r in some])
-    k = min(fit_rows, max(1, len(some) * 2 // 3))
+            .orderBy(h, "doc_id", "features").limit(bound).select("features", "y").toArrow())
+    sets = [np.frombuffer(f.as_buffer(), np.uint16) for f in some["features"]]
+    y = np.where(some["y"].to_numpy() > 0, 1.0, -1.0)
+    k = min(fit_rows, max(1, len(sets) * 2 // 3))
     w, bias = dual_descent(sets[:k], y[:k], scale)
 
     def unit(f: np.ndarray) -> float:
         return float(np.sqrt(scale[f] @ scale[f])) or 1.0
 
-    rest = slice(k, None) if len(some) - k >= 20 and len(set(y[k:])) == 2 else slice(0, None)
+    rest = slice(k, None) if len(sets) - k >= 20 and len(set(y[k:])) == 2 else slice(0, None)
     m = np.array([(w[f] @ scale[f]) / unit(f) + bias for f in sets[rest]])
     slope, shift = _logistic(m, (y[rest] > 0).astype(float))
     return _Scaled(w, bias, slope, shift, scale)
