@@ -79,23 +79,25 @@ def first_truthy_node(v: Column, *paths: str) -> Column:
 def count_or_zero(v: Column, *paths: str) -> Column:
     """``a or 0`` for a counter, as bigint; a non-numeric value counts as 0."""
     val = first_truthy(v, *paths, as_type="string")
-    return F.coalesce(val.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
+    # whole numbers exactly; others by way of a double
+    return F.coalesce(val.try_cast("bigint"), val.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def unix_seconds(v: Column, path: str) -> Column:
     """C14: int seconds (number or numeric string) -> UTC timestamp; null if bad."""
-    secs = F.try_variant_get(v, path, "double")
-    return F.when(F.abs(secs) < 1e13, F.timestamp_seconds(secs.cast("bigint")))
+    secs = python_int(v, path)
+    # the instants a datetime can hold (years 1 to 9999), tested before any conversion
+    return F.when(secs.between(-62135596800, 253402300799), F.timestamp_seconds(secs))
 
 
 def iso_instant(s: Column) -> Column:
     """ISO-8601 (``Z`` or offset; naive = UTC) -> timestamp; null if bad."""
-    return s.try_cast("timestamp")
+    return F.when(s.rlike(r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}"), s.try_cast("timestamp"))
 
 
 def x_time(s: Column) -> Column:
     """C16: 'Sat Jul 25 18:26:52 +0000 2026' -> timestamp; null if bad."""
-    return F.when(s.rlike(X_DAY_RE), F.try_to_timestamp(F.substring(s, 5, 64), F.lit(X_TIME_FMT)))
+    return F.when(s.rlike(X_DAY_RE), F.try_to_timestamp(s.substr(F.lit(5), F.length(s)), F.lit(X_TIME_FMT)))
 
 
 def iso_text(ts: Column) -> Column:
@@ -110,5 +112,5 @@ def python_int(v: Column, path: str) -> Column:
     j = json_text(v, path)
     is_str = j.startswith('"')
     from_str = F.trim(as_str(v, path)).try_cast("bigint")
-    from_num = F.try_variant_get(v, path, "double").cast("bigint")
+    from_num = F.coalesce(j.try_cast("bigint"), F.try_variant_get(v, path, "double").try_cast("bigint"))
     return F.when(j.isNull() | (j == "null"), None).when(is_str, from_str).otherwise(from_num)

@@ -64,6 +64,11 @@ def _comments(doc: Column) -> Column:
     return F.coalesce(arr, F.array().cast("array<variant>"))
 
 
+def _not_a_list(doc: Column) -> Column:
+    """A truthy ``comments`` that is no array cannot be read as one."""
+    return truthy(doc, "$.comments") & F.try_variant_get(doc, "$.comments", "array<variant>").isNull()
+
+
 def _first_error(checks: list[tuple[Column, str]]) -> Column:
     out = None
     for failed, code in checks:
@@ -80,7 +85,7 @@ def _comment_errors(doc: Column, check: Callable[[Column], Column]) -> Column:
 def _assemble(doc: Column, crawled: Column, post_checks, comment_check, build_post) -> tuple[Column, Column]:
     p = node(doc, "$.post")
     checks = [(doc.isNull(), "bad_json"), (~present(doc, "$.post"), "missing:post"),
-              (crawled.isNull(), "bad:extracted_at")] + post_checks(p)
+              (crawled.isNull(), "bad:extracted_at"), (_not_a_list(doc), "bad:comments")] + post_checks(p)
     err = _first_error(checks)
     err = F.coalesce(err, _comment_errors(doc, comment_check))
     return build_post(p), err

@@ -19,13 +19,10 @@ from pyspark.sql import functions as F
 
 from textlens.constants import LABELS
 from textlens.functions.text import clean_text, word_tokens
-from textlens.session import broadcast_if_small, cut_lineage
+from textlens.session import cut_lineage
 
 Scorer = Callable[[DataFrame], DataFrame]
 
-# weights tables up to this many rows are shipped to every task
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 def tokens_of(cleaned: Column) -> Column:
     return word_tokens(F.lower(cleaned))
@@ -60,15 +57,13 @@ class LinearScorer:
         # the weight table is a model artifact: materialised once (checkpoint)
         self.weights = cut_lineage(weights.select(F.col(term).alias("_term"), *cols))
         self.intercepts = [float(b) for b in intercepts]
-        # model size, checked once: small models are joined map-side
-        self._w, self.broadcast = broadcast_if_small(self.weights, BROADCAST_MAX_ROWS)
 
     def logits(self, rows: DataFrame) -> DataFrame:
         """Per-row sums of token weights in one pass: ``explode_outer`` keeps
         rows without tokens, the left join keeps tokens without a weight, so
         every row gets its intercepts plus whatever its known tokens add."""
         toks = rows.select("_rid", F.explode_outer(tokens_of(F.col("_text"))).alias("_term"))
-        sums = toks.join(self._w, "_term", "left").groupBy("_rid").agg(
+        sums = toks.join(self.weights, "_term", "left").groupBy("_rid").agg(
             *[F.sum(F.coalesce(F.col(f"w{i}"), F.lit(0.0))).alias(f"_s{i}") for i in range(self.k)])
         return sums.select("_rid", *[(F.lit(self.intercepts[i]) + F.col(f"_s{i}"))
                                      .alias(f"logit_{i}") for i in range(self.k)])
@@ -102,9 +97,13 @@ def lexicon_weights(labelled: DataFrame, text: str = "text", label: str = "label
 def score(df: DataFrame, scorer: Scorer, text: str = "text", id_col: str | None = None,
           fill_null: bool = True) -> DataFrame:
     """M2: clean -> score -> ``label``, ``confidence`` appended to every row."""
-    rid = F.col(id_col) if id_col else F.monotonically_increasing_id()
+    if id_col:
+        rows = df.withColumn("_rid", F.col(id_col))
+    else:
+        # a generated id is written before it is used twice: evaluated again it could name another row
+        rows = cut_lineage(df.withColumn("_rid", F.monotonically_increasing_id()), "scored-rows")
     src = F.coalesce(F.col(text), F.lit("")) if fill_null else F.col(text)
-    rows = df.withColumn("_rid", rid).withColumn("_text", clean_text(src))
+    rows = rows.withColumn("_text", clean_text(src))
     scored = scorer(rows.select("_rid", "_text"))
     return rows.join(scored, "_rid", "left").drop("_text")
 
@@ -115,10 +114,10 @@ def label_table(df: DataFrame, scorer: Scorer, text_col: str = "text",
     places; ``sentiment`` then ``confidence`` follow the input columns (an
     input column of the same name is overwritten in place)."""
     if text_col not in df.columns:
-        raise ValueError(f"Column '{text_col}' not found. Available: {df.columns}")
+        raise ValueError(f"no text column named {text_col!r} in the table; it has {', '.join(df.columns)}")
     out = score(df, scorer, text_col, id_col, fill_null=True)
     results = {"sentiment": F.col("label"), "confidence": F.round("confidence", digits)}
-    cols = [results.pop(c).alias(c) if c in results else F.col(c) for c in df.columns]
+    cols = [results.pop(c).alias(c) if c in results else F.col(f"`{c}`") for c in df.columns]
     cols += [expr.alias(name) for name, expr in results.items()]
     return out.select(*cols)
 

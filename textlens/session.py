@@ -46,8 +46,9 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local runs, tests) a private folder is
-    created, so iterative jobs can still cut their lineage.
+    Only a local session that names none (tests) gets a private folder; on a
+    cluster a driver-local folder would be invisible to the executors, so a
+    missing setting is an error there.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -55,6 +56,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="textlens-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -75,12 +78,3 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Broadcast hint only behind a checked row count (cheap on a written
-    parquet table: footer metadata); above the bound the caller's join stays
-    a shuffle join (AQE may still pick a broadcast at run time)."""
-    from pyspark.sql import functions as F
-    n = df.count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)

@@ -64,27 +64,33 @@ def sniff(spark: SparkSession, path: str) -> CsvDialect:
             first = text.lstrip("﻿").splitlines()[0] if text.strip() else ""
             if len(_fields(first, sep)) > 1:
                 return CsvDialect(sep, enc)
-    raise ValueError(f"Cannot read {path.rsplit('/', 1)[-1]} with any known separator/encoding.")
+    raise ValueError(f"{path.rsplit('/', 1)[-1]}: the header has one field with every separator and encoding tried")
 
 
-def read_csv(spark: SparkSession, path: str, dialect: CsvDialect | None = None) -> DataFrame:
-    """All columns as strings; header names lower-cased and stripped (P1);
+def quoted(name: str) -> str:
+    """A column name as one identifier, whatever signs it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def read_csv(spark: SparkSession, path: str, dialect: CsvDialect | None = None, keep_names: bool = False) -> DataFrame:
+    """All columns as strings; header names lower-cased and stripped (P1) unless ``keep_names``;
     pandas' NA tokens become nulls; ``_row`` keeps the file's row order."""
     d = dialect or sniff(spark, path)
     df = (spark.read.option("header", True).option("sep", d.sep).option("encoding", d.encoding)
           .option("multiLine", True).option("escape", '"').option("inferSchema", False)
           .option("mode", "PERMISSIVE").csv(path))
-    names = [c.lower().strip() for c in df.columns]
+    names = df.columns if keep_names else [c.lower().strip() for c in df.columns]
     df = df.toDF(*names)
-    nulls = [F.when(F.col(c).isin(*NA_TOKENS), None).otherwise(F.col(c)).alias(c) for c in names]
+    nulls = [F.when(F.col(quoted(c)).isin(*NA_TOKENS), None).otherwise(F.col(quoted(c))).alias(c) for c in names]
     return df.select(*nulls).withColumn("_row", F.monotonically_increasing_id())
 
 
 def resolve_columns(columns: list[str]) -> tuple[str | None, str | None]:
     """P2 text column by priority list; P3 first label column in file order."""
-    text = next((c for c in TEXT_COL_PRIORITY if c in columns), None)
-    label = next((c for c in columns if c in LABEL_COLS), None)
-    return text, label
+    ranked = {name: rank for rank, name in enumerate(TEXT_COL_PRIORITY)}
+    texts = sorted((ranked[c], c) for c in columns if c in ranked)
+    labels = [c for c in columns if c in set(LABEL_COLS)]
+    return (texts[0][1] if texts else None), (labels[0] if labels else None)
 
 
 def load_labelled(spark: SparkSession, folder: str) -> tuple[DataFrame, LoadReport]:
@@ -92,7 +98,7 @@ def load_labelled(spark: SparkSession, folder: str) -> tuple[DataFrame, LoadRepo
     source_file, origin``; unusable files are skipped and reported."""
     paths = list_csv(spark, folder)
     if not paths:
-        raise FileNotFoundError(f"No CSV files found in {folder}.")
+        raise FileNotFoundError(f"{folder} holds no .csv file")
     report = LoadReport()
     frames = []
     for path in paths:
@@ -108,7 +114,7 @@ def load_labelled(spark: SparkSession, folder: str) -> tuple[DataFrame, LoadRepo
                                 F.col(text).alias("text"), F.col(label).alias("label_raw"),
                                 src.alias("source_file"), origin.alias("origin")))
     if not frames:
-        raise ValueError("No usable data found in any CSV file.")
+        raise ValueError(f"none of the {len(paths)} files in {folder} has a text and a label column")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -142,7 +148,7 @@ def label_csv(spark: SparkSession, input_path: str, output_path: str, scorer,
     """M3 + S8: label every row of a CSV and write all columns + results."""
     from textlens.operators.scoring import label_table
     from textlens.sources.sinks import write_csv
-    df = read_csv(spark, input_path)
+    df = read_csv(spark, input_path, keep_names=True)
     out = label_table(df, scorer, text_col, "_row").orderBy("_row").drop("_row")
     write_csv(out, output_path)
     return out

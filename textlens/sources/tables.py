@@ -7,10 +7,7 @@ oracles (``textlens.plans.oracles``) so both engines see the same input.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from textlens.session import apply_defaults
 
@@ -19,33 +16,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-# Tables whose rows carry long texts: per-row work (regex, tokenising) is the
-# cost, so their scans must reach every core.
-TEXT_TABLES = frozenset({"documents", "conversations", "pages"})
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster runs.
-
-    A large scan (many files / row groups) already has thousands of splits and
-    is returned unchanged; only a small input packed into one row group gets
-    the extra exchange.  Planning only -- no job is run.  The ``observe``
-    (a row counter) stops Catalyst from pushing filters below the exchange,
-    so the per-row work above it stays on all cores instead of sinking into
-    the single scan task; column pruning still reaches the scan.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    if have >= want:
-        return df
-    return df.repartition(want).observe(f"spread_{uuid.uuid4().hex[:12]}",
-                                        F.count(F.lit(1)).alias("rows"))
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     apply_defaults(spark)
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
@@ -99,7 +72,7 @@ ENVELOPES_SQL = """
 with t as (select conv_id, turn, text, 1700000000 + conv_id*3600 + turn*60 as ts, concat(conv_id,'_',turn) as id,
            if(conv_id % 5 = 0, null, concat('user_', conv_id % 50)) as handle from conversations),
 c as (select conv_id, sort_array(collect_list(struct(turn, id, text, ts, handle))) as a from t group by conv_id),
-p as (select conv_id, a[0] as p, slice(a, 2, 1000000) as cs,
+p as (select conv_id, a[0] as p, slice(a, 2, size(a)) as cs,
       element_at(array('x','instagram','tiktok'), cast(conv_id % 3 as int)+1) as platform from c)
 select conv_id, platform, concat(platform,'-',conv_id % 8) as batch_id,
  if(conv_id % 8 < 5,'pending','processed') as status, '2024-01-01T00:00:00Z' as extracted_at,
