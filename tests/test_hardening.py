@@ -52,3 +52,19 @@ def test_two_classes(spark):
     model = fit_baseline(df, max_iter=30)
     out = model(df.select(F.monotonically_increasing_id().alias("_rid"), F.col("text").alias("_text"))).collect()
     assert {r.label for r in out} <= set(model.labels) and all(r.confidence is not None for r in out)
+
+
+def test_repeated_posts_keep_their_own_labels(spark):
+    from textlens.operators.labeler import label_posts
+    post = ("struct<platform_post_id: string, content: string, sentiment: string, sentiment_score: double, model_version: string, "
+            "comments: array<struct<content: string, sentiment: string, sentiment_score: double, model_version: string>>>")
+
+    def row(text):
+        return ("x", ("p1", text, None, None, None, [("good", None, None, None)]))
+    alone = label_posts(spark.createDataFrame([row("good day")], f"platform string, post {post}"), _scorer(spark)).first()
+    df = spark.createDataFrame([row("good day"), row("bad bad bad day"), row("good day")], f"platform string, post {post}")
+    got = {}
+    for r in label_posts(df.repartition(3), _scorer(spark)).collect():
+        got.setdefault(r.post.content, set()).add((r.post.sentiment, round(r.post.sentiment_score, 9)))
+    assert got["good day"] == {(alone.post.sentiment, round(alone.post.sentiment_score, 9))}
+    assert len(got["bad bad bad day"]) == 1 and got["bad bad bad day"] != got["good day"]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from textlens.constants import LABEL_TO_SENTIMENT
 from textlens.functions.text import clean_text
 from textlens.operators.scoring import Scorer
+from textlens.session import cut_lineage
 
 DEFAULT_MODEL_VERSION = "lexicon-v1"
 
@@ -24,15 +25,13 @@ def to_sentiment(label: Column) -> Column:
     return F.try_element_at(m, label)
 
 
-def post_key(df: DataFrame) -> Column:
-    return F.concat_ws("\u0001", F.col("platform"), F.col("post.platform_post_id"))
-
-
 def label_posts(posts: DataFrame, scorer: Scorer,
                 model_version: str = DEFAULT_MODEL_VERSION) -> DataFrame:
     """Every post row with sentiment, score and model version set on the post
     and on each comment (P9, P10)."""
-    keyed = posts.withColumn("_pk", post_key(posts))
+    # every row is a document of its own, however often a post is delivered; its id is
+    # written with it, as it is used on both sides of the join
+    keyed = cut_lineage(posts.withColumn("_pk", F.monotonically_increasing_id()), "posts")
     texts = keyed.select(F.posexplode(F.concat(
         F.array(F.col("post.content")),
         F.transform(F.col("post.comments"), lambda c: c["content"]))).alias("_pos", "_txt"),
