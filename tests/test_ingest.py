@@ -2,6 +2,7 @@
 the fix delivers everything once and marks the batch processed."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -44,3 +45,50 @@ def test_upsert_latest_wins(spark):
     new = spark.createDataFrame([("a", 2, "new"), ("a", 2, "new")], "k string, v long, s string")
     out = {r.k: r.s for r in upsert(cur, new, ["k"], [F.col("v")]).collect()}
     assert out == {"a": "new", "b": "keep"}
+
+
+def envelope(i, batch="tiktok-1", **post):
+    body = {"id": f"p{i}", "desc": f"text {i}", "createTime": 1700000000 + i, **post}
+    body = {k: v for k, v in body.items() if v is not None}
+    return ("tiktok", batch, "pending", "2024-01-01T00:00:00Z", json.dumps({"post": body}))
+
+
+def frame(spark, docs):
+    return spark.createDataFrame(docs, "platform string, batch_id string, status string, "
+                                       "extracted_at string, raw_payload string")
+
+
+def state(store):
+    return {(r.batch_id, r.n_docs, r.n_failed, r.status) for r in store.ledger.current().collect()}
+
+
+def test_late_document_reopens_its_batch(spark, tmp_folder):
+    store = IngestStore(spark, tmp_folder)
+    first = [envelope(0), envelope(1)]
+    ingest(frame(spark, first), scorer, store)
+    assert state(store) == {("tiktok-1", 2, 0, "processed")}
+    assert ingest(frame(spark, first + [envelope(2)]), scorer, store)["docs"] == 3
+    assert state(store) == {("tiktok-1", 3, 0, "processed")}
+    assert store.posts.current().count() == 3
+
+
+def test_increments_fix_failures_and_survive_replays(spark, tmp_folder):
+    store = IngestStore(spark, tmp_folder)
+
+    def step(*docs):
+        ingest(frame(spark, docs), scorer, store, incremental=True)
+        return state(store)
+    assert step(envelope(0), envelope(1, createTime=None)) == {("tiktok-1", 2, 1, "pending")}
+    assert step(envelope(0), envelope(1, createTime=None)) == {("tiktok-1", 2, 1, "pending")}    # replayed
+    assert store.quarantine.current().count() == 1 and store.posts.current().count() == 1
+    assert step(envelope(1)) == {("tiktok-1", 2, 0, "processed")}
+    assert step(envelope(3, batch="tiktok-2")) == {("tiktok-1", 2, 0, "processed"), ("tiktok-2", 1, 0, "processed")}
+    assert store.posts.current().count() == 3
+
+
+def test_an_unfinished_part_is_not_read(spark, tmp_folder):
+    from textlens.sources.sinks import AppendTable
+    t = AppendTable(spark, tmp_folder)
+    assert t.current() is None and t.append(spark.range(3).toDF("id")) == 1
+    os.makedirs(os.path.join(tmp_folder, "part=2"))
+    assert t.parts() == [1] and t.append(spark.range(2).toDF("id")) == 3 and t.current().count() == 5

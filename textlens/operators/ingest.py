@@ -1,9 +1,12 @@
 """Incremental batch ingest I1-I3 with batch discovery S4-S7 and outcomes A14/A15.
 
-All platforms and batches are one DataFrame; the driver only decides which
-snapshot to write next.  Order of commits (I3): posts upsert first, then the
-ledger, so a crash between the two re-processes the batch (at-least-once;
-the upsert makes the replay harmless).
+All platforms and batches are one DataFrame.  Every run appends the documents
+it read, each with its outcome; the ledger is an aggregation of them.  So a
+document that arrives after its batch was processed is seen to be new, a fixed
+re-delivery replaces the failure of the same document, and a replay (of a run
+or of a micro-batch) changes no count.  Order of commits (I3): posts, then
+quarantine, then documents; a crash in between re-reads the batch
+(at-least-once; the upsert makes the replay harmless).
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlens.constants import PLATFORMS
@@ -19,7 +22,7 @@ from textlens.operators import extract as ext
 from textlens.operators.labeler import DEFAULT_MODEL_VERSION, label_posts
 from textlens.operators.scoring import Scorer
 from textlens.session import cut_lineage
-from textlens.sources.sinks import VersionedTable, upsert
+from textlens.sources.sinks import AppendTable, latest_per_key
 
 BATCH_KEYS = ("platform", "batch_id")
 
@@ -60,80 +63,129 @@ def ingest_summary(outcomes: DataFrame, pending: DataFrame) -> DataFrame:
           for c in ("n_processed", "n_docs", "n_failed")])
 
 
+def ledger_of(documents: DataFrame) -> DataFrame:
+    """``platform, batch_id, n_docs, n_failed, status, run`` from the documents read.
+
+    A run that read a whole batch (``whole``) starts its list of documents
+    anew; of each document the latest delivery counts, and of copies in one
+    delivery the one crawled last (a failure if they tie).
+    """
+    base = documents.filter("whole").groupBy(*BATCH_KEYS).agg(F.max("run").alias("_base"))
+    live = (documents.join(base, list(BATCH_KEYS), "left")
+                     .filter(F.col("run") >= F.coalesce("_base", F.lit(0))))
+    docs = live.groupBy(*BATCH_KEYS, "doc_key").agg(
+        F.max(F.struct("run", "extracted_at", "failed")).alias("_d"))
+    return (docs.groupBy(*BATCH_KEYS)
+                .agg(F.count(F.lit(1)).alias("n_docs"), F.count_if("_d.failed").alias("n_failed"),
+                     F.max("_d.run").alias("run"))
+                .select(*BATCH_KEYS, "n_docs", "n_failed",
+                        F.when(F.col("n_failed") == 0, "processed").otherwise("pending").alias("status"),
+                        "run"))
+
+
+def post_keys():
+    """Upsert key of a post: (platform, platform_post_id)."""
+    return (F.col("platform"), F.col("post.platform_post_id"))
+
+
+def latest_posts(rows: DataFrame) -> DataFrame:
+    return latest_per_key(rows, post_keys(), [F.col("post.crawled_at"), F.col("delivery")])
+
+
+def latest_failures(rows: DataFrame) -> DataFrame:
+    """A failed document once, however often it was delivered as it is."""
+    return latest_per_key(rows, ["platform", "batch_id", "doc_hash"], [F.col("delivery")])
+
+
 @dataclass
 class IngestStore:
-    """Posts (upserted), quarantine and batch ledger as versioned tables."""
+    """Posts (latest version of each), quarantine, documents read and the ledger over them."""
     spark: SparkSession
     root: str
 
     @property
-    def posts(self) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/posts")
+    def posts(self) -> AppendTable:
+        return AppendTable(self.spark, f"{self.root}/posts", latest_posts)
 
     @property
-    def ledger(self) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/ledger")
+    def quarantine(self) -> AppendTable:
+        return AppendTable(self.spark, f"{self.root}/quarantine", latest_failures)
 
     @property
-    def quarantine(self) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/quarantine")
+    def documents(self) -> AppendTable:
+        return AppendTable(self.spark, f"{self.root}/documents")
 
+    @property
+    def ledger(self) -> AppendTable:
+        return AppendTable(self.spark, f"{self.root}/documents", ledger_of)
 
-def post_keys():
-    """Upsert key of a post: (platform, platform_post_id)."""
-    return (F.col("platform"), F.col("post.platform_post_id"))
+    def next_run(self) -> int:
+        return max(t.last() for t in (self.posts, self.quarantine, self.documents)) + 1
+
+
+def document_hash(envelopes: DataFrame, doc_id: str | None = None) -> Column:
+    """Content identity of one delivered document (its id, crawl time and payload)."""
+    payload = F.col("raw_payload")
+    if dict(envelopes.dtypes)["raw_payload"] == "variant":
+        payload = F.to_json(payload)
+    named = [F.col(doc_id).cast("string").alias("i")] if doc_id else []
+    return F.sha2(F.to_json(F.struct(*named, F.col("extracted_at").cast("string").alias("t"),
+                                     payload.alias("p"))), 256)
+
+
+def unread_batches(envelopes: DataFrame, documents: DataFrame | None,
+                   platforms: Sequence[str] = PLATFORMS, doc_id: str | None = None) -> DataFrame:
+    """S4 against the ledger: batches with a pending document that no run has read without failure."""
+    pend = envelopes.filter(F.col("platform").isin(*platforms) & (F.col("status") == "pending"))
+    if documents is not None:
+        read = documents.filter(~F.col("failed")).select(*BATCH_KEYS, "doc_hash")
+        pend = (pend.select(*BATCH_KEYS, document_hash(envelopes, doc_id).alias("doc_hash"))
+                    .join(read, [*BATCH_KEYS, "doc_hash"], "left_anti"))
+    return pend.select(*BATCH_KEYS).distinct()
 
 
 def ingest(envelopes: DataFrame, scorer: Scorer, store: IngestStore,
            model_version: str = DEFAULT_MODEL_VERSION,
-           platforms: Sequence[str] = PLATFORMS, incremental: bool = False) -> dict:
-    """Process pending batches not yet processed according to the ledger.
+           platforms: Sequence[str] = PLATFORMS, incremental: bool = False,
+           doc_id: str | None = None) -> dict:
+    """Process the batches that hold a pending document not read yet.
 
-    Batch mode re-reads whole pending batches and replaces their ledger row.
+    Batch mode reads such a batch whole, so its list of documents starts anew.
     ``incremental`` (the streaming form) processes exactly the pending
-    documents that arrived in this input and adds their counts to the ledger
-    row, so documents of a batch arriving later are still processed.
+    documents of this input and adds them to what the ledger knows.
+    ``doc_id`` names the column that identifies a document in its batch;
+    without it (or where it is null) that is the post's id, else the content.
     """
-    ledger = store.ledger.current()
     if incremental:
         docs = envelopes.filter(F.col("platform").isin(*platforms)
                                 & (F.col("status") == "pending"))
     else:
-        todo = pending_batches(envelopes, platforms)
-        if ledger is not None:
-            done = ledger.filter(F.col("status") == "processed").select(*BATCH_KEYS)
-            todo = todo.join(done, list(BATCH_KEYS), "left_anti")
-        docs = batch_documents(envelopes, todo)
+        docs = batch_documents(envelopes, unread_batches(envelopes, store.documents.rows(),
+                                                         platforms, doc_id))
+    docs = (docs.withColumn("doc_hash", document_hash(docs, doc_id))
+                .withColumn("doc_crawled", F.col("extracted_at").cast("string")))
     extracted = cut_lineage(ext.extract(docs, keep=tuple(
         c for c in docs.columns if c not in ("platform", "batch_id", "raw_payload", "status",
                                              "extracted_at"))))
-    run = (max(store.posts.versions()) + 1) if store.posts.versions() else 1
+    run = store.next_run()
+    delivery = F.lit(run).cast("bigint")
 
     # S11 first: deliver every valid post (idempotent on replay)
-    labelled = label_posts(ext.valid_posts(extracted), scorer, model_version)
-    labelled = labelled.withColumn("delivery", F.lit(run).cast("bigint"))
-    merged = upsert(store.posts.current(), labelled, post_keys(),
-                    [F.col("post.crawled_at"), F.col("delivery")])
-    store.posts.write(merged)
+    valid = ext.valid_posts(extracted).drop("doc_hash", "doc_crawled")
+    store.posts.append(label_posts(valid, scorer, model_version).withColumn("delivery", delivery), run)
 
     # Failures are kept, not raised
-    bad = ext.failures(extracted).withColumn("delivery", F.lit(run).cast("bigint"))
-    q = store.quarantine.current()
-    store.quarantine.write(bad if q is None else q.unionByName(bad))
+    store.quarantine.append(ext.failures(extracted).withColumn("delivery", delivery), run)
 
     # S12 after the upsert committed
-    outcomes = batch_outcomes(extracted).withColumn("run", F.lit(run).cast("bigint"))
-    if incremental and ledger is not None:
-        prev = ledger.select(*BATCH_KEYS, F.col("n_docs").alias("_d0"), F.col("n_failed").alias("_f0"))
-        outcomes = (outcomes.join(prev, list(BATCH_KEYS), "left")
-                    .withColumn("n_docs", F.col("n_docs") + F.coalesce("_d0", F.lit(0)))
-                    .withColumn("n_failed", F.col("n_failed") + F.coalesce("_f0", F.lit(0)))
-                    .withColumn("status", F.when(F.col("n_failed") == 0, "processed")
-                                .otherwise("pending"))
-                    .select(*BATCH_KEYS, "n_docs", "n_failed", "status", "run"))
-    new_ledger = upsert(ledger, outcomes, [F.col(k) for k in BATCH_KEYS], [F.col("run")])
-    store.ledger.write(new_ledger)
-    counts = outcomes.agg(F.count(F.lit(1)).alias("batches"), F.sum("n_docs").alias("docs"),
-                          F.sum("n_failed").alias("failed")).first()
+    keys = ([F.col(doc_id).cast("string")] if doc_id else []) + [
+        F.col("post.platform_post_id"), F.col("doc_hash")]
+    store.documents.append(extracted.select(
+        *BATCH_KEYS, F.coalesce(*keys).alias("doc_key"), "doc_hash",
+        F.col("doc_crawled").alias("extracted_at"), F.col("error").isNotNull().alias("failed"),
+        F.lit(not incremental).alias("whole"), delivery.alias("run")), run)
+    counts = batch_outcomes(extracted).agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("n_docs").alias("docs"),
+        F.sum("n_failed").alias("failed")).first()
     return {"run": run, "batches": counts["batches"], "docs": counts["docs"] or 0,
             "failed": counts["failed"] or 0}

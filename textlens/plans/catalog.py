@@ -244,12 +244,12 @@ def labelled_posts(spark: SparkSession, sf_dir: str, pending_only: bool = False)
     return label_posts(ok, lexicon_scorer(spark, sf_dir), "lexicon-v1")
 
 
-def flat_labels(df: DataFrame) -> DataFrame:
+def flat_labels(df: DataFrame, keys: tuple[str, ...] = ("conv_id",)) -> DataFrame:
     item = lambda x: F.struct(x["sentiment"].alias("s"), x["sentiment_score"].alias("c"),
                               x["model_version"].alias("m"))
     texts = F.concat(F.array(item(F.col("post"))), F.transform(F.col("post.comments"), item))
-    return df.select("conv_id", F.posexplode(texts).alias("pos", "r")).select(
-        "conv_id", F.col("pos").cast("bigint").alias("pos"), F.col("r.s").alias("sentiment"),
+    return df.select(*keys, F.posexplode(texts).alias("pos", "r")).select(
+        *keys, F.col("pos").cast("bigint").alias("pos"), F.col("r.s").alias("sentiment"),
         F.round("r.c", 6).alias("sentiment_score"), F.col("r.m").alias("model_version"))
 
 
@@ -258,6 +258,17 @@ def q_label_posts(spark, sf_dir):
     return flat_labels(labelled_posts(spark, sf_dir))
 
 
+@query("label_posts_repeats")
+def q_label_posts_repeats(spark, sf_dir):
+    """Every post delivered twice, the second time with other text: each copy keeps its own label."""
+    ok = cut_lineage(ext.valid_posts(ext.extract(T.envelopes(spark, sf_dir), keep=("conv_id",))))
+    twice = F.concat_ws(" ", F.col("post.content"), F.col("post.content"))
+    again = ok.withColumn("post", F.col("post").withField("content", twice))
+    both = ok.withColumn("copy", F.lit(1)).unionByName(again.withColumn("copy", F.lit(2)))
+    labelled = label_posts(both, lexicon_scorer(spark, sf_dir), "lexicon-v1")
+    return flat_labels(labelled, ("conv_id", "copy"))
+
+
 @query("pending_batches")
 def q_pending_batches(spark, sf_dir):
     return ing.pending_batches(T.envelopes(spark, sf_dir))
@@ -338,7 +349,7 @@ def q_ingest_stream(spark, sf_dir):
     env.repartitionByRange(3, "conv_id").write.parquet(src)
     store = ing.IngestStore(spark, scratch_path(spark, "ingest"))
     q = start_ingest_stream(spark, src, env.schema, lexicon_scorer(spark, sf_dir), store,
-                            scratch_path(spark, "stream-ckpt"), "lexicon-v1", max_files_per_trigger=1)
+                            scratch_path(spark, "stream-ckpt"), "lexicon-v1", max_files_per_trigger=1, doc_id="conv_id")
     q.awaitTermination()
     posts = store.posts.current()
     return posts.select("platform", F.col("post.platform_post_id").alias("platform_post_id"),
@@ -347,6 +358,40 @@ def q_ingest_stream(spark, sf_dir):
                         F.size("post.comments").cast("bigint").alias("n_comments"))
 
 
+def ledger_and_posts(store: ing.IngestStore) -> DataFrame:
+    """The ledger with the posts that each batch has delivered."""
+    posts = store.posts.current().groupBy(*ing.BATCH_KEYS).agg(F.count(F.lit(1)).alias("n_posts"))
+    return (store.ledger.current().join(posts, list(ing.BATCH_KEYS), "left")
+            .select(*ing.BATCH_KEYS, "n_docs", "n_failed", "status",
+                    F.coalesce("n_posts", F.lit(0)).cast("bigint").alias("n_posts")))
+
+
+@query("ingest_late_arrivals")
+def q_ingest_late_arrivals(spark, sf_dir):
+    """Two runs: a seventh of the documents reach their batches only after the first."""
+    env = T.envelopes(spark, sf_dir)
+    store = ing.IngestStore(spark, scratch_path(spark, "ingest"))
+    scorer = lexicon_scorer(spark, sf_dir)
+    ing.ingest(env.filter(F.col("conv_id") % 7 != 3), scorer, store, doc_id="conv_id")
+    ing.ingest(env, scorer, store, doc_id="conv_id")
+    return ledger_and_posts(store)
+
+
+@query("ingest_stream_retry")
+def q_ingest_stream_retry(spark, sf_dir):
+    """A stream of all documents, then of the failed ones once more, mended."""
+    env = T.envelopes(spark, sf_dir)
+    src = scratch_path(spark, "envelopes")
+    env.coalesce(1).write.parquet(src)
+    mended = T.envelopes(spark, sf_dir, faults=False).filter(F.col("conv_id") % 17 == 5)
+    mended.coalesce(1).write.mode("append").parquet(src)
+    store = ing.IngestStore(spark, scratch_path(spark, "ingest"))
+    q = start_ingest_stream(spark, src, env.schema, lexicon_scorer(spark, sf_dir), store,
+                            scratch_path(spark, "stream-ckpt"), "lexicon-v1", max_files_per_trigger=1, doc_id="conv_id")
+    q.awaitTermination()
+    return ledger_and_posts(store)
+
+
 @query("csv_curate_corpus")
 def q_csv_curate_corpus(spark, sf_dir):
     """The corpus written as CSV batches, loaded back through S1-S3 and curated."""

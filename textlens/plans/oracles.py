@@ -389,6 +389,19 @@ select txt.conv_id, cast(txt.pos as bigint) as pos, lower(sc.pred) as sentiment,
 from txt join sc on sc.rid = txt.tid
 """
 
+ORACLES["label_posts_repeats"] = f"""
+with {MODEL_CTE}, {CONV_CTE},
+copies as (select conv_id, k, 1 as copy, coalesce(text, '') as text from t union all
+           select conv_id, k, 2, case when k = 0 then coalesce(text, '') || ' ' || coalesce(text, '') else coalesce(text, '') end
+           from t),
+txt as (select conv_id, copy, k as pos, {clean_sql("text")} as ctext,
+          concat_ws('#', conv_id, k, copy) as tid from copies where conv_id % 17 <> 5),
+{scored_cte('sc', 'txt', 'tid', 'ctext')}
+select txt.conv_id, txt.copy, cast(txt.pos as bigint) as pos, lower(sc.pred) as sentiment,
+  round(sc.confidence, 6) as sentiment_score, 'lexicon-v1' as model_version
+from txt join sc on sc.rid = txt.tid
+"""
+
 ORACLES["pending_batches"] = f"""
 with {CONV_CTE}, {_ENV}
 select platform, batch_id, count(*) as n_docs, count_if(status = 'pending') as n_pending
@@ -498,6 +511,19 @@ select p.platform, p.id as platform_post_id, lower(sc.pred) as sentiment,
 from posts p join sc on sc.rid = p.conv_id
 """
 
+ORACLES["ingest_late_arrivals"] = f"""
+with {CONV_CTE}, {_ENV}
+select platform, batch_id, count(*) as n_docs, count_if(bad) as n_failed,
+  case when count_if(bad) = 0 then 'processed' else 'pending' end as status, count_if(not bad) as n_posts
+from env where status = 'pending' group by platform, batch_id
+"""
+
+ORACLES["ingest_stream_retry"] = f"""
+with {CONV_CTE}, {_ENV}
+select platform, batch_id, count(*) as n_docs, cast(0 as bigint) as n_failed, 'processed' as status, count(*) as n_posts
+from env where status = 'pending' group by platform, batch_id
+"""
+
 ORACLES["csv_curate_corpus"] = "with " + CURATED_CTE + "select text, sentiment, source_file from curated"
 
 

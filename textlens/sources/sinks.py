@@ -1,17 +1,17 @@
-"""Sinks: CSV/parquet writers (S8, S9) and versioned snapshot tables used for
-the idempotent upsert (S11) and the batch ledger (S12).
-
-Without a table format on the classpath, a table is a folder of immutable
-snapshots ``<root>/v=<n>``; a snapshot is visible once its ``_SUCCESS``
-marker exists, so a failed write leaves the previous version current and
-a re-run simply writes the next version.  Readers take the newest complete
-snapshot.  (With Delta/Iceberg available, ``MERGE INTO`` replaces this.)
+"""Sinks: CSV/parquet writers (S8, S9) and append-only tables used for the
+idempotent upsert (S11) and the batch ledger (S12).
+
+A table is a folder of parquet parts ``<root>/part=<n>``, one per delivery.
+A delivery writes its own rows only; nothing delivered before is rewritten.
+What the rows mean together (the latest version of a post, the state of a
+batch) is an aggregation on read.  A part counts once its ``_SUCCESS`` marker
+exists, so a failed write leaves the table as it was.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,32 +23,47 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str):
+class AppendTable:
+    """Parts under ``root``; ``current()`` is ``resolve`` of all their rows."""
+
+    def __init__(self, spark: SparkSession, root: str,
+                 resolve: Callable[[DataFrame], DataFrame] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.resolve = resolve
 
-    def versions(self) -> list[int]:
+    def _folders(self) -> list[tuple[int, bool]]:
         fs, p, jvm = _fs(self.spark, self.root)
         if not fs.exists(p):
             return []
         out = []
         for st in fs.listStatus(p):
             name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(
-                    st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
+            if name.startswith("part="):
+                done = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
+                out.append((int(name[5:]), done))
         return sorted(out)
 
+    def parts(self) -> list[int]:
+        return [n for n, done in self._folders() if done]
+
+    def rows(self) -> DataFrame | None:
+        """Every delivered row; None before the first delivery."""
+        paths = [f"{self.root}/part={n}" for n in self.parts()]
+        return self.spark.read.parquet(*paths) if paths else None
+
     def current(self) -> DataFrame | None:
-        v = self.versions()
-        return self.spark.read.parquet(f"{self.root}/v={v[-1]}") if v else None
-
-    def write(self, df: DataFrame) -> int:
-        v = self.versions()
-        nxt = (v[-1] + 1) if v else 1
-        df.write.mode("overwrite").parquet(f"{self.root}/v={nxt}")
-        return nxt
+        rows = self.rows()
+        return rows if rows is None or self.resolve is None else self.resolve(rows)
+
+    def last(self) -> int:
+        """Highest part number in use, complete or not."""
+        return max((n for n, _ in self._folders()), default=0)
+
+    def append(self, df: DataFrame, part: int | None = None) -> int:
+        part = part if part is not None else self.last() + 1
+        df.write.mode("errorifexists").parquet(f"{self.root}/part={part}")
+        return part
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column]) -> DataFrame:

@@ -65,6 +65,9 @@ from events
 group by user_id, datediff(cast(ts as date), date '2024-01-01') + 1
 """
 
+#: the envelopes that carry no readable time
+FAULTY = "conv_id % 17 = 5"
+
 # Raw post+comments envelopes of three platforms, built from conversations:
 # lowest turn = the post, later turns = comments.  Spark SQL only (the DuckDB
 # oracles derive expected values from conversations directly).
@@ -118,5 +121,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, RUN_LOG_SQL, ("events",))
 
 
-def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, ENVELOPES_SQL, ("conversations",))
+def envelopes(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataFrame:
+    """Every conversation as an envelope; ``faults=False`` mends those with a bad time."""
+    sql = ENVELOPES_SQL if faults else ENVELOPES_SQL.replace(FAULTY, "false")
+    return _view(spark, sf_dir, sql, ("conversations",))

@@ -3,8 +3,9 @@
 A file source feeds micro-batches to the same ``ingest`` function used in
 batch mode (incremental flavour: exactly the pending documents that
 arrived).  Progress lives in the stream checkpoint; delivery state lives in
-the ledger and the upserted posts table, so a restarted query re-delivers at
-most one micro-batch and the upsert absorbs the replay.
+the store's append-only tables, each micro-batch adding its own rows.  A
+restarted query re-delivers at most one micro-batch; the posts' keys and the
+documents' keys absorb the replay.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ def start_ingest_stream(spark: SparkSession, source_dir: str, schema: StructType
                         store: IngestStore, checkpoint_location: str,
                         model_version: str = DEFAULT_MODEL_VERSION,
                         max_files_per_trigger: int | None = None,
-                        available_now: bool = True) -> StreamingQuery:
+                        available_now: bool = True, doc_id: str | None = None) -> StreamingQuery:
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -31,7 +32,7 @@ def start_ingest_stream(spark: SparkSession, source_dir: str, schema: StructType
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        ingest(batch, scorer, store, model_version, incremental=True)
+        ingest(batch, scorer, store, model_version, incremental=True, doc_id=doc_id)
 
     writer = (stream.writeStream.foreachBatch(on_batch)
               .option("checkpointLocation", checkpoint_location))
