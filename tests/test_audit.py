@@ -50,3 +50,9 @@ def test_audit_csv_round_trip(spark, tmp_folder):
     rows = pd.concat(pd.read_csv(p) for p in glob.glob(os.path.join(out.replace("file://", ""), "*.csv")))
     assert list(rows.columns) == ["source", "text", "sentiment", "pred", "conf"]
     assert rows["text"].tolist() == ["one two"]
+    # a second round finds the first one by itself, a third finds an empty one
+    again = audit_csv(spark, f"file://{corpus}", [f"file://{prev}"], sc, f"file://{tmp_folder}/rounds", stamp="t2")
+    assert not any(len(pd.read_csv(p)) for p in glob.glob(os.path.join(again.replace("file://", ""), "*.csv")))
+    third = audit_csv(spark, f"file://{corpus}", [], sc, f"file://{tmp_folder}/rounds", stamp="t3")
+    rows = pd.concat(pd.read_csv(p) for p in glob.glob(os.path.join(third.replace("file://", ""), "*.csv")))
+    assert rows["text"].tolist() == ["seen before"]

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from textlens.sources.csv_files import load_dataset, sniff
+from textlens.sources.csv_files import load_dataset, read_csv, sniff
 
 
 def write(folder, name, data: bytes):
@@ -31,3 +31,13 @@ def test_unreadable_file_raises(spark, tmp_folder):
     write(tmp_folder, "x.csv", b"onlyonecolumn\n1\n")
     with pytest.raises(ValueError):
         sniff(spark, f"file://{tmp_folder}/x.csv")
+
+
+def test_only_files_with_broken_lines_are_read_whole(spark, tmp_folder):
+    write(tmp_folder, "plain.csv", 'text,label\n"a, ""b"" c d",0\ne f g h,1\n'.encode())
+    write(tmp_folder, "broken.csv", 'text,label\n"a b\nc d",0\ne f g h,1\n'.encode())
+    write(tmp_folder, "latin.csv", 'text,label\n"caf\xe9",0\n"a\xe9\nb",1\n'.encode("latin-1"))
+    got = {n: sniff(spark, f"file://{tmp_folder}/{n}.csv") for n in ("plain", "broken", "latin")}
+    assert [got[n].multiline for n in ("plain", "broken", "latin")] == [False, True, True]
+    assert [r.text for r in read_csv(spark, f"file://{tmp_folder}/plain.csv").orderBy("_row").collect()] == ['a, "b" c d', "e f g h"]
+    assert [r.text for r in read_csv(spark, f"file://{tmp_folder}/latin.csv").orderBy("_row").collect()] == ["caf\xe9", "a\xe9\nb"]

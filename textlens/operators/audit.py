@@ -62,16 +62,28 @@ def audit_candidates(df: DataFrame, scorer: Scorer, earlier: Sequence[DataFrame]
     return cand
 
 
+def _file_system(spark, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def written_rounds(spark, root: str) -> list[str]:
+    """The audit rounds that were written in full under ``root``."""
+    fs, p = _file_system(spark, root)
+    if not fs.exists(p):
+        return []
+    found = [st.getPath().toString() for st in fs.listStatus(p) if st.getPath().getName().startswith("round=")]
+    return [r for r in found if fs.exists(_file_system(spark, f"{r}/_SUCCESS")[1])]
+
+
 def earlier_rounds(spark, paths: Sequence[str]) -> list[DataFrame]:
     """A17 inputs: earlier audit CSVs in name order; missing files are skipped."""
     from textlens.sources.csv_files import read_csv
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     out = []
-    for p in sorted(paths, key=lambda s: s.rsplit("/", 1)[-1]):
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        if hp.getFileSystem(conf).exists(hp):
-            out.append(read_csv(spark, p))
+    for path in sorted(paths, key=lambda s: s.rsplit("/", 1)[-1]):
+        fs, p = _file_system(spark, path)
+        if fs.exists(p):
+            out.append(read_csv(spark, path))
     return out
 
 
@@ -79,10 +91,14 @@ def audit_csv(spark, corpus_path: str, earlier_paths: Sequence[str], scorer: Sco
               threshold: float = AUDIT_THRESHOLD, top_n: int | None = None,
               stamp: str | None = None) -> str:
     """M6 end to end: corpus CSV (``text``, ``label``[, ``source_file``]) ->
-    candidates, most confident first, written as a new audit round (S9)."""
+    candidates, most confident first, written as a new audit round (S9).
+
+    The rounds already under ``out_root`` count as earlier ones, besides
+    ``earlier_paths``.  Files of a round follow the order of its rows.
+    """
     from textlens.sources.csv_files import read_csv
     from textlens.sources.sinks import write_audit_round
     corpus = read_csv(spark, corpus_path).withColumnRenamed("_row", "row_id")
-    cand = audit_candidates(corpus, scorer, earlier_rounds(spark, earlier_paths), threshold, top_n)
-    ordered = cand.orderBy(F.desc("conf"), "text", "row_id").drop("row_id")
-    return write_audit_round(ordered.coalesce(1), out_root, stamp)
+    earlier = earlier_rounds(spark, [*earlier_paths, *written_rounds(spark, out_root)])
+    cand = audit_candidates(corpus, scorer, earlier, threshold, top_n)
+    return write_audit_round(cand.orderBy(F.desc("conf"), "text", "row_id").drop("row_id"), out_root, stamp)

@@ -17,12 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlens.constants import LABEL_COLS, NA_TOKENS, SOURCE_COL, TEXT_COL_PRIORITY
+from textlens.session import cut_lineage
 
 
 @dataclass
 class CsvDialect:
     sep: str
     encoding: str       # "UTF-8" or "ISO-8859-1"
+    multiline: bool = True      # a field may hold a line break, so the file cannot be split
 
 
 @dataclass
@@ -50,8 +52,11 @@ def _fields(line: str, sep: str) -> list[str]:
 def sniff(spark: SparkSession, path: str) -> CsvDialect:
     """Resolve separator and encoding; raise when no combination works."""
     lines = spark.read.text(path)
-    valid = lines.agg(F.bool_and(F.is_valid_utf8(F.col("value"))).alias("ok")).first()["ok"]
-    encodings = (["UTF-8"] if valid in (True, None) else []) + ["ISO-8859-1"]
+    # quotes are counted on bytes: a line break inside a field leaves a line with an odd count
+    quotes = F.size(F.split(F.decode(F.col("value").cast("binary"), "ISO-8859-1"), '"', -1)) - 1
+    seen = lines.agg(F.bool_and(F.is_valid_utf8(F.col("value"))).alias("ok"),
+                     F.bool_or(quotes % 2 == 1).alias("odd")).first()
+    encodings = (["UTF-8"] if seen["ok"] in (True, None) else []) + ["ISO-8859-1"]
     # the text source keeps each line's raw bytes: the header line as bytes
     raw = lines.select(F.col("value").cast("binary").alias("head")).first()
     head = bytes(raw["head"]) if raw and raw["head"] is not None else b""
@@ -63,7 +68,7 @@ def sniff(spark: SparkSession, path: str) -> CsvDialect:
                 continue
             first = text.lstrip("﻿").splitlines()[0] if text.strip() else ""
             if len(_fields(first, sep)) > 1:
-                return CsvDialect(sep, enc)
+                return CsvDialect(sep, enc, bool(seen["odd"]))
     raise ValueError(f"{path.rsplit('/', 1)[-1]}: the header has one field with every separator and encoding tried")
 
 
@@ -77,7 +82,7 @@ def read_csv(spark: SparkSession, path: str, dialect: CsvDialect | None = None,
     pandas' NA tokens become nulls; ``_row`` keeps the file's row order."""
     d = dialect or sniff(spark, path)
     df = (spark.read.option("header", True).option("sep", d.sep).option("encoding", d.encoding)
-          .option("multiLine", True).option("escape", '"').option("inferSchema", False)
+          .option("multiLine", d.multiline).option("escape", '"').option("inferSchema", False)
           .option("mode", "PERMISSIVE").csv(path))
     names = df.columns if keep_names else [c.lower().strip() for c in df.columns]
     df = df.toDF(*names)
@@ -132,6 +137,8 @@ def load_dataset(spark: SparkSession, folder: str, conventions=None):
     """The curated corpus of a folder of labelled CSVs plus the load report."""
     from textlens.operators.curate import curate
     loaded, report = load_labelled(spark, folder)
+    # parsed once; the generated row numbers are read more than once
+    loaded = cut_lineage(loaded, "csv")
     for r in usable_per_file(loaded, conventions).collect():     # one row per file
         report.usable[r["file"]] = r["n_usable"]
     for path in list_csv(spark, folder):
