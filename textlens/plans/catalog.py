@@ -174,8 +174,8 @@ def q_label_table(spark, sf_dir):
 @query("audit_candidates")
 def q_audit_candidates(spark, sf_dir):
     # the merged, curated corpus with named labels is what gets audited
-    merged = curated_corpus(spark, sf_dir).select(
-        "row_id", "text", F.col("sentiment").alias("label"), "source_file")
+    merged = cut_lineage(curated_corpus(spark, sf_dir).select(
+        "row_id", "text", F.col("sentiment").alias("label"), "source_file"), "curated")
     reviewed = labelled_docs(spark, sf_dir).select("text")     # an earlier round
     out = aud.audit_candidates(merged, lexicon_scorer(spark, sf_dir), [reviewed])
     return out.withColumn("conf", F.round("conf", 6))
