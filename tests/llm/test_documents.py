@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import warnings
 import zlib
 from collections import Counter, defaultdict
 
@@ -258,6 +259,36 @@ def test_mixing(docs, rows, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def _marginals(cells, dims):
+    """The largest deviation of each dimension's marginal from its target."""
+    return {d: max(abs(sum(c.weight for c in cells if c[d] == v) - next(c[f"want_{d}"] for c in cells if c[d] == v))
+                   for v in {c[d] for c in cells}) for d in dims}
+
+
+@pytest.mark.parametrize("sources", [1, 20])
+def test_mixing_meets_every_marginal(spark, sources):
+    # topic goes with language, and the larger a source's number the more
+    dims, rng = ["source", "lang", "topic"], random.Random(2)
+    rows = [(f"vs{s}", f"v{g}", f"v{t}", rng.randrange(1, 9) * (40 + 3 * s if t == g else 2))
+            for s in range(sources) for g in ("en", "de", "fr") for t in ("en", "de", "fr")]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    for d, target in zip(dims, (0.5, {"en": 0.5}, 0.7)):
+        cells = mixing._targets(cells, d, target)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", RuntimeWarning)
+        got = mixing.rake(cells.cache(), dims).collect()
+    assert len(got) == len(rows) and max(_marginals(got, dims).values()) < 1e-8
+
+
+def test_mixing_reports_targets_that_cannot_be_met(spark):
+    rows = [("va", "ven", "vx", 5), ("vb", "vde", "vx", 7)]  # source and language are one
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    for d, target in zip(("source", "lang", "topic"), ({"a": 0.9, "b": 0.1}, {"en": 0.2, "de": 0.8}, 1.0)):
+        cells = mixing._targets(cells, d, target)
+    with pytest.warns(RuntimeWarning, match="not met: raking leaves a marginal off by 0.7"):
+        assert len(mixing.rake(cells, ["source", "lang", "topic"]).collect()) == 2
+
+
 def test_classifier(spark, empty):
     rng = random.Random(5)
     good = [(i, " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(30))) for i in range(60)]

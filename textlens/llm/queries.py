@@ -24,7 +24,8 @@ def quality_model(docs: DataFrame, labels: DataFrame) -> nbsvm.Model:
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_defaults(spark)
-    return mixing.mix(table(spark, sf_dir, "documents")).select(
+    # as many sweeps as its SQL has; a warning tells where they are too few
+    return mixing.mix(table(spark, sf_dir, "documents"), sweeps=mixing.SWEEPS).select(
         "doc_id", "source", "lang", "topic", "tokens", F.round("p", 6).alias("p"), "kept")
 
 
