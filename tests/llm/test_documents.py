@@ -225,6 +225,18 @@ def test_pii(docs, rows, empty):
     assert pii.digest(pii.find(empty)).count() == 0
 
 
+def _found(spark, kind, texts):
+    rows = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return [[s.text for s in r.spans if s.kind == kind] for r in sorted(rows)]
+
+
+def test_pii_bank_accounts_end_where_their_country_says(spark):
+    plain, spaced, other = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    texts = [f"IBAN {plain} BIC COBADEFFXXX", f"IBAN: {spaced} Please pay", f"{plain} 2 times", f"{spaced} {other} NO9386011117947 A",
+             f"{plain}1", f"{plain[:-1]}1 X", f"{plain}."]
+    assert _found(spark, "iban", texts) == [[plain], [spaced], [plain], [spaced, other, "NO9386011117947"], [], [], [plain]]
+
+
 def test_licenses(docs, rows, empty):
     want = Counter()
     for r in rows:
