@@ -237,6 +237,17 @@ def test_pii_bank_accounts_end_where_their_country_says(spark):
     assert _found(spark, "iban", texts) == [[plain], [spaced], [plain], [spaced, other, "NO9386011117947"], [], [], [plain]]
 
 
+def test_pii_one_word_serves_a_list(spark):
+    ssns = [f"{n}-45-6789" for n in range(123, 133)]
+    keys = [f"{n:040x}" for n in range(10 ** 40, 10 ** 40 + 4)]
+    far = "." * 33
+    texts = ["SSNs: " + ", ".join(ssns), f"ssn 000-45-6789, {ssns[0]}", f"ssn {ssns[0]}{far}{ssns[1]}", ", ".join(ssns),
+             "Test SSNs: " + ", ".join(ssns)]
+    assert _found(spark, "ssn", texts) == [ssns, [ssns[0]], [ssns[0]], [], []]
+    texts = ["secret tokens: " + " ".join(keys), " ".join(keys), f"example token {keys[0]} and token {keys[1]} {keys[2]}"]
+    assert _found(spark, "secret", texts) == [keys, [], keys[1:3]]
+
+
 def test_licenses(docs, rows, empty):
     want = Counter()
     for r in rows:

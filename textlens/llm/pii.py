@@ -3,9 +3,10 @@
 Regular expressions propose spans of each kind (leftmost, not overlapping).
 Validators confirm them: Luhn for cards, mod-97 for bank accounts (IBAN), value
 ranges for addresses, digit counts for phones.  A span's score starts from its
-kind and rises or falls with words near before it; kinds without a checksum of
-their own stand only with such a word.  A bank account is as long as its
-country has it.
+kind and rises or falls with words near before it, in the text as it is; a
+match that follows one of its kind as near shares the words of that one, so
+that one word serves a whole list, unless a word of its own stands between.  Kinds without a checksum of their own stand
+only with such a word.  A bank account is as long as its country has it.
 
 Only DataFrame functions are used and nothing is shuffled.  A match is
 marked in the text by a sign that no pattern can contain, and positions are
@@ -88,18 +89,27 @@ def _spans(k: Kind, rank: int) -> str:
     """SQL for the array of (start, rank, kind, end, x, before) of a kind's valid matches in ``t``."""
     kind = "struct<start: int, rank: int, kind: string, end: int, x: string, before: string>"
     parts = f"split(regexp_replace(t, {_quoted('(' + k.pattern + ')')}, '{_MARK}$1{_MARK}'), '{_MARK}', -1)"
-    # gaps and matches take turns: a match is every second part
-    found = (f"aggregate({parts}, named_struct('at', 0, 'odd', false, 'gap', '', 'out', cast(array() as array<{kind}>)), "
-             f"(a, x) -> named_struct('at', a.at + length(x), 'odd', not a.odd, 'gap', if(a.odd, '', right(x, {NEAR})), 'out', "
+    # gaps and matches take turns: a match is every second part; 'tail' is the end of the text so far
+    found = (f"aggregate({parts}, named_struct('at', 0, 'odd', false, 'tail', '', 'out', cast(array() as array<{kind}>)), "
+             f"(a, x) -> named_struct('at', a.at + length(x), 'odd', not a.odd, 'tail', right(concat(a.tail, right(x, {NEAR})), {NEAR}), 'out', "
              f"if(a.odd and ({k.valid}), concat(a.out, array(named_struct('start', a.at, 'rank', {rank}, 'kind', '{k.name}', "
-             "'end', a.at + length(x), 'x', x, 'before', a.gap))), a.out)), a -> a.out)")
+             "'end', a.at + length(x), 'x', x, 'before', a.tail))), a.out)), a -> a.out)")
     return f"if({k.hint}, {found}, cast(array() as array<{kind}>))"
 
 
-def _scored(k: Kind) -> str:
-    near = "lower(concat(s.before, if(s.kind = 'secret', s.x, '')))"
-    plus = f"if(rlike({near}, '{k.context}'), {STEP}, 0.0)" if k.context else "0.0"
-    return f"{k.score} + {plus} - if(rlike(lower(s.before), '{AGAINST}'), {STEP}, 0.0)"
+def _told(k: Kind, spans: str) -> str:
+    """SQL for ``spans`` with ``plus`` and ``less``: a word that raises or lowers the score is near, or told by the match before."""
+    # what lies before the match before is that one's to tell
+    before = f"lower(right(s.before, least({NEAR}, coalesce(s.start - get({spans}, i - 1).end, {NEAR}))))"
+    near = f"concat({before}, lower(s.x))" if k.name == "secret" else before
+    own = (f"transform({spans}, (s, i) -> named_struct('start', s.start, 'rank', s.rank, 'kind', s.kind, 'end', s.end, 'x', s.x, "
+           f"'plus', {f"rlike({near}, '{k.context}')" if k.context else 'false'}, 'less', rlike({before}, '{AGAINST}')))")
+    kind = "struct<start: int, rank: int, kind: string, end: int, x: string, plus: boolean, less: boolean>"
+    linked = f"not s.plus and s.start - a.end <= {NEAR}"
+    plus, less = f"s.plus or (a.plus and {linked})", f"s.less or (a.less and {linked})"
+    return (f"aggregate({own}, named_struct('end', 0, 'plus', false, 'less', false, 'out', cast(array() as array<{kind}>)), "
+            f"(a, s) -> named_struct('end', s.end, 'plus', {plus}, 'less', {less}, 'out', concat(a.out, array(named_struct("
+            f"'start', s.start, 'rank', s.rank, 'kind', s.kind, 'end', s.end, 'x', s.x, 'plus', {plus}, 'less', {less})))), a -> a.out)")
 
 
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
@@ -114,8 +124,8 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", kin
     rows = rows.selectExpr("doc_id", *(f"{_spans(k, i)} as k{i}" for i, k in enumerate(kinds)))
     scored = []
     for i, k in enumerate(kinds):
-        full = (f"transform(k{i}, s -> named_struct('start', s.start, 'rank', s.rank, 'kind', s.kind, 'end', s.end, "
-                f"'text', s.x, 'score', cast(round({_scored(k)}, 2) as double), 'base', {str(k.base).lower()}))")
+        full = (f"transform({_told(k, f'k{i}')}, s -> named_struct('start', s.start, 'rank', s.rank, 'kind', s.kind, 'end', s.end, "
+                f"'text', s.x, 'score', cast(round({k.score} + if(s.plus, {STEP}, 0.0) - if(s.less, {STEP}, 0.0), 2) as double), 'base', {str(k.base).lower()}))")
         scored.append(full if k.base else f"filter({full}, s -> s.score >= {k.score + STEP / 2 if k.needs_context else BAR})")
     return rows.selectExpr("doc_id", f"array_sort(concat({', '.join(scored)})) as spans")
 
