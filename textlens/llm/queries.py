@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlens.llm import contain, licenses, mixing, nbsvm, partjoin, pii, shards, subspace, superkmer, url_lm
+from textlens.llm import (contain, filter_audit, hardneg, licenses, mixing, nbsvm, partjoin, pii, shards, subspace,
+                          superkmer, topk, url_lm)
 from textlens.llm.common import table
 from textlens.session import apply_defaults
 
@@ -80,6 +81,22 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_defaults(spark)
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_defaults(spark)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_defaults(spark)
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_url_filter, op3_embedding_near_dedup, op4_sharding, op5_pii,
                                    op6_substring_dedup, op7_ngram_jaccard, op8_quality, op9_decontamination,
-                                   op10_license_scan)}
+                                   op10_license_scan, op11_topk_search, op12_hard_negatives, op13_filter_audit)}

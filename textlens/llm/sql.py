@@ -53,6 +53,34 @@ select d.doc_id, d.source, d.lang, d.topic, d.tokens::bigint as tokens, round(p.
 from d join p on d.source is not distinct from p.source and d.lang is not distinct from p.lang and d.topic = p.topic"""
 
 
+#: Embeddings that take part in operators 11 and 12, as whole numbers.
+_WHOLE = """list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"""
+
+_OP13 = r"""with t as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+f as (select doc_id, part, (len(w) < 100)::int + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::int
+    + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text))::int
+    + 8 * regexp_matches(text, '[#$%&*|]')::int + 16 * (doc_id > min(doc_id) over (partition by text))::int as fails,
+    coalesce(doc_id in (select doc_id from labels where quality = 1), false) as good,
+    coalesce(doc_id in (select doc_id from labels where toxic = 1), false) as toxic from t),
+c as (select part, fails, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from f group by all),
+l as (select * from (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) as l(name, bit)),
+o as (select a.name || b.name || c.name || d.name || e.name as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+  from l a join l b on b.bit <> a.bit join l c on c.bit not in (a.bit, b.bit) join l d on d.bit not in (a.bit, b.bit, c.bit)
+  join l e on e.bit not in (a.bit, b.bit, c.bit, d.bit)),
+s as (select filter_order, step, bits[step] as bit, coalesce(list_sum(bits[:step - 1]), 0)::int as before
+  from (select *, unnest(range(1, 6)) as step from o)),
+r as (select part, filter_order, step, bit,
+    coalesce(sum(n) filter (fails & (before | bit) = 0), 0)::bigint as kept,
+    coalesce(sum(n) filter (fails & before = 0 and fails & bit > 0), 0)::bigint as removed,
+    coalesce(sum(n) filter (fails & before > 0 and fails & bit > 0), 0)::bigint as redundant,
+    coalesce(sum(n) filter (fails = bit), 0)::bigint as unique_fails,
+    coalesce(sum(good) filter (fails & before = 0 and fails & bit > 0), 0)::bigint as good_lost,
+    coalesce(sum(toxic) filter (fails & before = 0 and fails & bit > 0), 0)::bigint as toxic_lost
+  from c cross join s group by part, filter_order, step, bit)
+select * exclude (bit), sum(removed) over (partition by part, bit)::bigint as shapley from r"""
+
 _COMPONENTS = """reach(a, b) as (select a, b from links union select reach.a, links.b from reach join links on reach.b = links.a),
 comp as (select a as id, least(a, min(b)) as component_id from reach group by a)"""
 
@@ -88,4 +116,19 @@ n as (select item_id, count(*) as n_item from bs group by item_id),
 k as (select doc_id, item_id, count(*) as n_common from ds join bs using (s) group by all)
 select doc_id, item_id, n_item, n_common, round(n_common / n_item, 6) as containment
 from k join n using (item_id) where 100 * n_common >= 75 * n_item""",
+    "op11_topk_search": f"""with v as (select vec_id, {_WHOLE}),
+s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score from v q join v c on q.vec_id <> c.vec_id
+  where q.vec_id % 50 = 0)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from s
+qualify rank <= 5""",
+    "op12_hard_negatives": f"""with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+  {_WHOLE} and label is not null),
+s as (select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, list_inner_product(a.e, c.e)::bigint as score
+  from v a join v c on a.vec_id <> c.vec_id where a.vec_id % 50 = 0),
+p as (select * from s where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, p.vec_id as positive_id, row_number() over (partition by p.anchor_id, p.vec_id order by s.score desc, s.vec_id)::int as rank,
+  s.vec_id as negative_id, p.score as positive_score, s.score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not s.same and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score
+qualify rank <= 3""",
+    "op13_filter_audit": _OP13,
 }
