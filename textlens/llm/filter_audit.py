@@ -206,7 +206,9 @@ def lists(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, par
     # texts are read once; repeated rows meet map-side
     facts = cut_lineage(facts.groupBy(*key).agg(F.min("fails").alias("fails")), "facts")
     same = facts.filter("doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    repeats = facts.join(same.filter("last > first").select("h1", "h2", "first"), ["h1", "h2"]).filter("doc_id > first")
+    # written, so that both sides of the join are dealt anew and a text with very many copies is split
+    same = cut_lineage(same.filter("last > first").select("h1", "h2", "first"), "same")
+    repeats = facts.join(same, ["h1", "h2"]).filter("doc_id > first")
     own = F.filter(F.array(F.lit(ALL), *(F.when(F.col("fails").bitwiseAND(1 << i) > 0, F.lit(i)) for i in range(4))),
                    lambda x: x.isNotNull())
     out = facts.select(*key, F.explode(own).alias("list")).unionByName(repeats.select(*key, F.lit(4).alias("list")))
