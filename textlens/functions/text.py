@@ -80,11 +80,12 @@ def explode_ngrams(df, form: str, keep: list[str], out: str = "term"):
     last one with null), giving the unigram and, where present, the bigram.
     """
     t = F.regexp_extract_all(F.col(form), F.lit(NEAR_DUP_TOKEN_RE), 0)
-    pairs = df.select(*keep, F.explode(F.arrays_zip(t.alias("a"), F.slice(t, 2, 1 << 30).alias("b")))
+    # outer: for a plain explode Spark infers a filter on the list's size, which makes the tokens once more
+    pairs = df.select(*keep, F.explode_outer(F.arrays_zip(t.alias("a"), F.slice(t, 2, 1 << 30).alias("b")))
                       .alias("_p"))
     grams = F.array(F.col("_p.a"), F.when(F.col("_p.b").isNotNull(),
                                           F.concat_ws(" ", F.col("_p.a"), F.col("_p.b"))))
-    return pairs.select(*keep, F.explode(grams).alias(out)).filter(F.col(out).isNotNull())
+    return pairs.select(*keep, F.explode_outer(grams).alias(out)).filter(F.col(out).isNotNull())
 
 
 def has_token(form: Column | str) -> Column:
@@ -112,6 +113,16 @@ def with_bigrams(tokens: Column) -> Column:
     return F.concat(tokens, bigrams)
 
 
+# slots of a hashed vocabulary: a fixed size, whatever the corpus
+SLOT_BITS = 18
+N_SLOTS = 1 << SLOT_BITS
+
+
+def hashed_slots(terms: Column) -> Column:
+    """The slot (0 to N_SLOTS - 1) of each term: the leading bits of its md5."""
+    return F.transform(terms, lambda t: F.shiftright(F.conv(F.substring(F.md5(t), 1, 5), 16, 10).cast("int"), 20 - SLOT_BITS))
+
+
 def is_integer_string(c: Column | str) -> Column:
     """Digits with an optional leading minus."""
     return _c(c).rlike(r"^-?[0-9]+$")

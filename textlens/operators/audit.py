@@ -48,10 +48,14 @@ def audit_candidates(df: DataFrame, scorer: Scorer, earlier: Sequence[DataFrame]
         rows = rows.join(seen, rows[text] == seen["text"], "left_anti")
     # the scorer cleans what it is given, as the prediction helper does: the
     # audited text is cleaned twice (cleaning is not idempotent on every input)
-    rows = rows.withColumn("_rid", F.col(id_col)).withColumn("_text", clean_text(F.col(text)))
-    preds = scorer(rows.select("_rid", "_text")).select(
-        "_rid", F.col("label").alias("_pred"), F.col("confidence").alias("_conf"))
-    scored = rows.join(preds, "_rid")
+    if hasattr(scorer, "column"):
+        scored = rows.withColumn("_s", scorer.column(clean_text(F.col(text)))).withColumns(
+            {"_pred": F.col("_s.label"), "_conf": F.col("_s.confidence")})
+    else:
+        rows = rows.withColumn("_rid", F.col(id_col)).withColumn("_text", clean_text(F.col(text)))
+        preds = scorer(rows.select("_rid", "_text")).select(
+            "_rid", F.col("label").alias("_pred"), F.col("confidence").alias("_conf"))
+        scored = rows.join(preds, "_rid")
     cand = scored.filter((F.col("_pred") != F.col(label)) & (F.col("_conf") >= threshold))
     cols = ([F.col(SOURCE_COL).alias("source")] if SOURCE_COL in df.columns else []) + [
         F.col(text).alias("text"), F.col(label).alias("sentiment"),

@@ -1,8 +1,9 @@
 """M7: score a post together with all its comments and copy results back.
 
-N2 flattens post + comments into one text list (position 0 = the post),
-the scorer runs on the flat rows, N3 re-nests the results by position.  The
-re-nested list is the document's own comment array, so its size is bounded
+N2 flattens post + comments into one text list (position 0 = the post).  A
+scorer with a column expression scores the list in place (N3 is by position);
+any other one runs on the flat rows, and the results are re-nested by position.
+The re-nested list is the document's own comment array, so its size is bounded
 by the input record, not by a key's popularity.
 """
 
@@ -29,22 +30,28 @@ def label_posts(posts: DataFrame, scorer: Scorer,
                 model_version: str = DEFAULT_MODEL_VERSION) -> DataFrame:
     """Every post row with sentiment, score and model version set on the post
     and on each comment (P9, P10)."""
+    texts = F.concat(F.array(F.col("post.content")), F.transform(F.col("post.comments"), lambda c: c["content"]))
+    if hasattr(scorer, "columns"):
+        cleaned = F.transform(texts, lambda t: clean_text(F.coalesce(t, F.lit(""))))
+        scored = F.transform(scorer.columns(cleaned), lambda r: F.struct(to_sentiment(r["label"]).alias("s"), r["confidence"].alias("c")))
+        return _with_results(posts.withColumn("_res", scored), model_version).drop("_res")
     # every row is a document of its own, however often a post is delivered; its id is
     # written with it, as it is used on both sides of the join
     keyed = cut_lineage(posts.withColumn("_pk", F.monotonically_increasing_id()), "posts")
-    texts = keyed.select(F.posexplode(F.concat(
-        F.array(F.col("post.content")),
-        F.transform(F.col("post.comments"), lambda c: c["content"]))).alias("_pos", "_txt"),
-        "_pk")
+    flat = keyed.select(F.posexplode(texts).alias("_pos", "_txt"), "_pk")
     # the row id carries (post, position): results re-nest without a join back
-    rows = texts.select(F.struct("_pk", "_pos").alias("_rid"),
+    rows = flat.select(F.struct("_pk", "_pos").alias("_rid"),
                         clean_text(F.coalesce(F.col("_txt"), F.lit(""))).alias("_text"))
     scored = scorer(rows)
     res = (scored.groupBy(F.col("_rid._pk").alias("_pk"))
                  .agg(F.sort_array(F.collect_list(F.struct(
                      F.col("_rid._pos").alias("_pos"), to_sentiment(F.col("label")).alias("s"),
                      F.col("confidence").alias("c")))).alias("_res")))
-    out = keyed.join(res, "_pk", "left")
+    return _with_results(keyed.join(res, "_pk", "left"), model_version).drop("_pk", "_res")
+
+
+def _with_results(out: DataFrame, model_version: str) -> DataFrame:
+    """``_res`` (post first, then its comments) copied into the post."""
     first = F.col("_res")[0]
     mv = F.lit(model_version)
     comments = F.transform(F.col("post.comments"), lambda c, i: c.withField(
@@ -54,4 +61,4 @@ def label_posts(posts: DataFrame, scorer: Scorer,
                          .withField("sentiment_score", first["c"])
                          .withField("model_version", mv)
                          .withField("comments", comments))
-    return out.withColumn("post", post).drop("_pk", "_res")
+    return out.withColumn("post", post)

@@ -3,22 +3,33 @@ whole-table labelling (M3) and ad-hoc texts (M4).
 
 A scorer is any ``Callable[[DataFrame], DataFrame]`` that takes rows with a
 cleaned ``_text`` column and a unique ``_rid`` and returns ``_rid, label,
-confidence``.  The linear scorer keeps all work in the JVM: tokens are
-exploded, joined to the weight table (broadcast only when the table's row
-count is checked to be small), and summed per row; softmax and argmax are
-column arithmetic.
+confidence``.  There are two kinds:
+
+* ``IteratorScorer`` plugs in any model: it is loaded once per task and scores
+  Arrow batches of texts (or of what a column expression makes of them) inside
+  a projection, so nothing is exploded, joined or shuffled.  ``HashedModel`` is
+  the linear model that ships with it: weights in vectors of a fixed number of
+  slots, so its size does not grow with the vocabulary; ``TermModel`` holds up
+  to ``MAX_TERMS`` exact terms.
+* ``LinearScorer`` keeps a weight table of any number of exact terms: tokens are
+  exploded, joined to it as their sizes ask, and summed per row.
+  ``linear_scorer`` takes it where a table has more terms than a ``TermModel`` may hold.
 """
 
 from __future__ import annotations
 
+import json
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlens.constants import LABELS
-from textlens.functions.text import clean_text, word_tokens
+from textlens.functions.text import N_SLOTS, clean_text, hashed_slots, with_bigrams, word_tokens
 from textlens.session import cut_lineage
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -45,6 +56,213 @@ def softmax_argmax(logits: Sequence[Column], labels: Sequence[str] = LABELS) ->
     return name, conf
 
 
+SCORED = "struct<label:string,confidence:double>"
+
+
+class IteratorScorer:
+    """A model that is loaded once per task and asked in batches.
+
+    ``load()`` runs in the task; ``predict(model, inputs)`` gets an Arrow array of
+    ``batch`` inputs of about the same length (all of an Arrow batch where
+    ``batch`` is None) and returns an (inputs x labels) array of probabilities.
+    ``prepare`` makes the input of a cleaned text inside the JVM.  A null input
+    never reaches the model: it is labelled null.
+    """
+
+    def __init__(self, load: Callable[[], object], predict: Callable[[object, pa.Array], np.ndarray],
+                 labels: Sequence[str] = LABELS, batch: int | None = 64,
+                 prepare: Callable[[Column], Column] = lambda text: text):
+        self.load, self.predict, self.labels, self.batch, self.prepare = load, predict, tuple(labels), batch, prepare
+
+    def _scored(self) -> Callable[[object, pa.Array], pa.Array]:
+        predict, labels, batch = self.predict, pa.array(self.labels, pa.string()), self.batch
+
+        def run(model, inputs: pa.Array) -> pa.Array:
+            best, top = np.full(len(inputs), -1), np.zeros(len(inputs))
+            size = lengths(inputs)
+            # texts of one batch are about as long, so that little of it is padding; ties keep their order
+            order = np.argsort(size, kind="stable")
+            order = order[size[order] >= 0]
+            for at in range(0, len(order), batch or max(len(order), 1)):
+                rows = order[at:at + (batch or len(order))]
+                p = np.asarray(predict(model, inputs.take(pa.array(rows))))
+                best[rows], top[rows] = p.argmax(1), p.max(1)
+            none = best < 0
+            return pa.StructArray.from_arrays([labels.take(pa.array(best, mask=none)), pa.array(top, mask=none)],
+                                              ["label", "confidence"])
+        return run
+
+    def column(self, text: Column) -> Column:
+        """Label and confidence of a cleaned text, as one expression."""
+        load, run = self.load, self._scored()
+
+        @F.arrow_udf(SCORED)
+        def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            model = load()
+            for batch in batches:
+                yield run(model, batch)
+        return scored(self.prepare(text))
+
+    def columns(self, texts: Column) -> Column:
+        """Label and confidence of each of an array of cleaned texts, without taking the array apart."""
+        load, run = self.load, self._scored()
+
+        @F.arrow_udf(f"array<{SCORED}>")
+        def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            model = load()
+            for batch in batches:
+                ends = batch.offsets.to_numpy()
+                yield pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), run(model, batch.flatten()))
+        return scored(F.transform(F.coalesce(texts, F.array().cast("array<string>")), self.prepare))
+
+    def __call__(self, rows: DataFrame) -> DataFrame:
+        return rows.select("_rid", self.column(F.col("_text")).alias("_s")).select("_rid", "_s.label", "_s.confidence")
+
+
+def lengths(inputs: pa.Array) -> np.ndarray:
+    """Length of each text or list; -1 for nulls."""
+    ends = np.frombuffer(inputs.buffers()[1], np.int32, len(inputs) + 1, 4 * inputs.offset) if len(inputs) else np.zeros(1, np.int32)
+    return np.where(inputs.is_valid().to_numpy(zero_copy_only=False), np.diff(ends), -1)
+
+
+def softmax(logits: np.ndarray) -> np.ndarray:
+    e = np.exp(logits - logits.max(1, keepdims=True))
+    return e / e.sum(1, keepdims=True)
+
+
+def rows_of(slots: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, value) of every entry of a list array."""
+    ends = slots.offsets.to_numpy()
+    values = slots.values.to_numpy(zero_copy_only=False)[ends[0]:ends[-1]]
+    return np.repeat(np.arange(len(slots)), np.diff(ends)), values
+
+
+@dataclass
+class HashedModel:
+    """A linear model over hashed terms; ``weights`` is N_SLOTS x labels.
+
+    Without ``idf`` a text's features are the counts of its words; with it they
+    are sublinear TF-IDF weights of its 1-2-grams, L2-normalised, where a slot
+    of idf 0 is unknown.
+    """
+    weights: np.ndarray
+    intercepts: np.ndarray
+    idf: np.ndarray | None = None
+    labels: tuple[str, ...] = LABELS
+    version: str = "1"
+    #: fingerprint of the split that the model was fitted on ("" = not recorded)
+    trained_on: str = ""
+
+    def features(self, text: Column) -> Column:
+        tokens = tokens_of(text)
+        return hashed_slots(tokens if self.idf is None else with_bigrams(tokens))
+
+    def predict(self, slots: pa.Array) -> np.ndarray:
+        row, slot = rows_of(slots)
+        x = np.ones(len(slot))
+        if self.idf is not None:
+            row, slot, tf = counted(row, slot)
+            row, slot, x = tfidf(row, slot, tf, self.idf, len(slots))
+        return softmax(logits(row, slot, x, self.weights, self.intercepts, len(slots)))
+
+    def scorer(self, spark: SparkSession) -> IteratorScorer:
+        """The model as a scorer; its vectors have a fixed size (about 8 MB) and are sent to the tasks."""
+        sent = spark.sparkContext.broadcast(self)
+        return IteratorScorer(lambda: sent.value, lambda model, slots: model.predict(slots), self.labels, None, self.features)
+
+    def column(self, text: Column) -> Column:
+        return self.scorer(SparkSession.active()).column(text)
+
+    def columns(self, texts: Column) -> Column:
+        return self.scorer(SparkSession.active()).columns(texts)
+
+    def __call__(self, rows: DataFrame) -> DataFrame:
+        return self.scorer(rows.sparkSession)(rows)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Weights and idf as one row per used slot, and what belongs to the model as a whole as one row."""
+        used = np.flatnonzero(np.any(self.weights != 0, 1) | (self.idf > 0 if self.idf is not None else False))
+        cols = {"slot": used.astype(np.int32), **{f"w{k}": self.weights[used, k] for k in range(len(self.labels))}}
+        if self.idf is not None:
+            cols["idf"] = self.idf[used]
+        spark.createDataFrame(pa.table(cols)).write.parquet(f"{path}/weights")
+        meta = {"version": self.version, "labels": list(self.labels), "n_slots": N_SLOTS, "n_used": len(used),
+                "intercepts": [float(b) for b in self.intercepts], "idf": self.idf is not None, "trained_on": self.trained_on}
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").write.parquet(f"{path}/meta")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> HashedModel:
+        """A saved model; raises where its parts do not belong together."""
+        meta = json.loads(spark.read.parquet(f"{path}/meta").first()["meta"])
+        if meta["n_slots"] != N_SLOTS:
+            raise ValueError(f"the model has {meta['n_slots']} slots, this library has {N_SLOTS}")
+        table = spark.read.parquet(f"{path}/weights").toArrow()        # N_SLOTS rows at most
+        slot = table["slot"].to_numpy()
+        if len(np.unique(slot)) != len(slot) or len(slot) != meta["n_used"]:
+            raise ValueError(f"the model should have {meta['n_used']} weights, {len(slot)} were read")
+        weights, idf = np.zeros((N_SLOTS, len(meta["labels"]))), np.zeros(N_SLOTS)
+        for k in range(len(meta["labels"])):
+            weights[slot, k] = table[f"w{k}"].to_numpy()
+        if meta["idf"]:
+            idf[slot] = table["idf"].to_numpy()
+        return cls(weights, np.array(meta["intercepts"]), idf if meta["idf"] else None, tuple(meta["labels"]),
+                   meta["version"], meta["trained_on"])
+
+
+def counted(row: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, slot, occurrences), each pair once, in order."""
+    pair, n = np.unique(row.astype(np.int64) * N_SLOTS + slot, return_counts=True)
+    return pair // N_SLOTS, pair % N_SLOTS, n
+
+
+def tfidf(row: np.ndarray, slot: np.ndarray, tf: np.ndarray, idf: np.ndarray,
+          n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, slot, weight): sublinear tf times idf, L2-normalised by row, unknown slots left out."""
+    known = idf[slot] > 0
+    row, slot = row[known], slot[known]
+    x = (1 + np.log(tf[known])) * idf[slot]
+    norm = np.sqrt(np.bincount(row, x * x, n))
+    return row, slot, x / norm[row]
+
+
+def logits(row: np.ndarray, slot: np.ndarray, x: np.ndarray, weights: np.ndarray, intercepts: np.ndarray, n: int) -> np.ndarray:
+    return np.stack([np.bincount(row, x * weights[slot, k], n) for k in range(weights.shape[1])], 1) + intercepts
+
+
+#: Terms that a model sent to every task may hold (64 MB with three labels).
+MAX_TERMS = 1 << 21
+
+
+@dataclass
+class TermModel:
+    """A linear model over exact terms: the sorted 64-bit hashes of the terms and their weights."""
+    keys: np.ndarray
+    weights: np.ndarray
+    intercepts: np.ndarray
+
+    def predict(self, tokens: pa.Array) -> np.ndarray:
+        row, key = rows_of(tokens)
+        at = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
+        known = self.keys[at] == key if len(self.keys) else np.zeros(len(key), bool)
+        return softmax(logits(row[known], at[known], 1.0, self.weights, self.intercepts, len(tokens)))
+
+
+def linear_scorer(weights: DataFrame, intercepts: Sequence[float], labels: Sequence[str] = LABELS) -> Scorer:
+    """The scorer of a weight table (term, w0, w1 ...): in one projection where the table is checked to hold at most
+    ``MAX_TERMS`` terms, by a join with the table beyond.  Both score alike."""
+    spark = weights.sparkSession
+    table = LinearScorer(weights, intercepts, labels)           # written once
+    if table.weights.count() > MAX_TERMS:
+        return table
+    got = table.weights.select(F.xxhash64("_term").alias("key"), *[f"w{k}" for k in range(len(labels))]).toArrow()
+    order = np.argsort(got["key"].to_numpy())
+    model = TermModel(got["key"].to_numpy()[order], np.stack([got[f"w{k}"].to_numpy()[order] for k in range(len(labels))], 1),
+                      np.array([float(b) for b in intercepts]))
+    sent = spark.sparkContext.broadcast(model)
+    return IteratorScorer(lambda: sent.value, lambda m, tokens: m.predict(tokens), labels, None,
+                          lambda text: F.transform(tokens_of(text), lambda t: F.xxhash64(t)))
+
+
 class LinearScorer:
     """logit_k = b_k + sum over token occurrences of w(token, k)."""
 
@@ -81,11 +299,12 @@ def lexicon_weights(labelled: DataFrame, text: str = "text", label: str = "label
     queries): w(t,k) = ln((n_tk + 1) / (n_t + k)), b_k = ln((N_k + 1) / (N + k))."""
     docs = labelled.select(F.col(label).alias("_y"),
                            F.array_distinct(tokens_of(clean_text(F.col(text)))).alias("_t"))
-    post = docs.select("_y", F.explode("_t").alias("term"))
+    # outer: a plain explode would have the tokens made once more, in a filter below the exchange
+    post = docs.select("_y", F.explode_outer("_t").alias("term"))
     per = post.groupBy("term").agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.count_if(F.col("_y") == i).alias(f"_n{i}") for i in range(n_labels)])
-    per = per.filter(F.col("_n") >= min_df)
+    per = per.filter((F.col("_n") >= min_df) & F.col("term").isNotNull())
     w = per.select("term", *[F.log((F.col(f"_n{i}") + 1) / (F.col("_n") + n_labels)).alias(f"w{i}")
                              for i in range(n_labels)])
     prior = labelled.agg(F.count(F.lit(1)).alias("n"),
@@ -94,9 +313,33 @@ def lexicon_weights(labelled: DataFrame, text: str = "text", label: str = "label
     return w, b
 
 
+def lexicon_model(labelled: DataFrame, text: str = "text", label: str = "label_id", n_labels: int = len(LABELS),
+                  min_df: int = 2, version: str = "lexicon-v1") -> HashedModel:
+    """``lexicon_weights`` by slot instead of by term: one aggregation, N_SLOTS rows at most to the driver."""
+    docs = labelled.select(F.col(label).alias("_y"), F.array_distinct(hashed_slots(tokens_of(clean_text(F.col(text))))).alias("_s"))
+    per = docs.select("_y", F.explode(F.concat(F.array(F.lit(-1)), F.coalesce("_s", F.array().cast("array<int>")))).alias("slot"))
+    per = per.groupBy("slot").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("_y") == i).alias(f"n{i}") for i in range(n_labels)])
+    got = per.filter((F.col("n") >= min_df) | (F.col("slot") < 0)).toArrow()
+    slot, n = got["slot"].to_numpy(), got["n"].to_numpy()
+    share = np.stack([np.log((got[f"n{i}"].to_numpy() + 1) / (n + n_labels)) for i in range(n_labels)], 1)
+    weights = np.zeros((N_SLOTS, n_labels))
+    weights[slot[slot >= 0]] = share[slot >= 0]
+    # slot -1 counts the rows themselves
+    prior = share[slot < 0][0] if (slot < 0).any() else np.full(n_labels, math.log(1 / n_labels))
+    return HashedModel(weights, prior, version=version)
+
+
 def score(df: DataFrame, scorer: Scorer, text: str = "text", id_col: str | None = None,
           fill_null: bool = True) -> DataFrame:
-    """M2: clean -> score -> ``label``, ``confidence`` appended to every row."""
+    """M2: clean -> score -> ``label``, ``confidence`` appended to every row.
+
+    A scorer with a column expression adds its results in place; for any other
+    one, rows are scored by id and joined back.
+    """
+    if hasattr(scorer, "column"):
+        text_col = F.coalesce(F.col(text), F.lit("")) if fill_null else F.col(text)
+        scored = df.withColumn("_s", scorer.column(clean_text(text_col)))
+        return scored.withColumns({"label": F.col("_s.label"), "confidence": F.col("_s.confidence")}).drop("_s")
     if id_col:
         rows = df.withColumn("_rid", F.col(id_col))
     else:

@@ -130,43 +130,56 @@ def q_split_summary(spark, sf_dir):
 
 # --- scoring and audit -----------------------------------------------------
 
+from textlens.functions.labels import label_name  # noqa: E402
 from textlens.operators import audit as aud  # noqa: E402
+from textlens.operators import evaluate as ev  # noqa: E402
 from textlens.operators import scoring as sco  # noqa: E402
 
 
 def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a human label (labels table): toxic -> Negative,
-    quality -> Positive, else Neutral."""
+    quality -> Positive, else Neutral; dealt by id, as their texts are taken apart."""
     T.register_tables(spark, sf_dir, ("documents", "labels"))
     return spark.sql("""
         select d.doc_id, d.text,
           case when l.toxic = 1 then 2 when l.quality = 1 then 0 else 1 end as label_id
-        from labels l join documents d on l.doc_id = d.doc_id""")
+        from labels l join documents d on l.doc_id = d.doc_id""").repartition("doc_id")
 
 
-_SCORERS: dict[tuple[str, str], sco.LinearScorer] = {}
+def lexicon_scorer(spark: SparkSession, sf_dir: str) -> sco.Scorer:
+    """The lexicon model of a dataset, fitted on each call."""
+    return sco.linear_scorer(*sco.lexicon_weights(labelled_docs(spark, sf_dir)))
 
 
-def lexicon_scorer(spark: SparkSession, sf_dir: str) -> sco.LinearScorer:
-    """The fitted lexicon model for a dataset (fitted once per session)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _SCORERS:
-        w, b = sco.lexicon_weights(labelled_docs(spark, sf_dir))
-        _SCORERS[key] = sco.LinearScorer(w, b)
-    return _SCORERS[key]
+def predictions(out: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    return out.select(id_col, F.col("label").alias("pred"), F.round("confidence", 6).alias("confidence"))
 
 
 @query("score_linear")
 def q_score_linear(spark, sf_dir):
+    """Weights of any number of terms, joined to the exploded tokens."""
     docs = T.read_table(spark, sf_dir, "documents")
-    out = sco.score(docs, lexicon_scorer(spark, sf_dir), "text", "doc_id")
-    return out.select("doc_id", F.col("label").alias("pred"),
-                      F.round("confidence", 6).alias("confidence"))
+    scorer = sco.LinearScorer(*sco.lexicon_weights(labelled_docs(spark, sf_dir)))
+    return predictions(sco.score(docs, scorer, "text", "doc_id"))
+
+
+@query("score_projection")
+def q_score_projection(spark, sf_dir):
+    """The rows of ``score_linear`` from a model that each task loads once: no token leaves its row."""
+    docs = T.read_texts(spark, sf_dir, "documents", "doc_id")
+    return predictions(sco.score(docs, lexicon_scorer(spark, sf_dir), "text", "doc_id"))
+
+
+@query("score_hashed")
+def q_score_hashed(spark, sf_dir):
+    """The lexicon model by slot: vectors of a fixed size, whatever the vocabulary."""
+    docs = T.read_texts(spark, sf_dir, "documents", "doc_id")
+    return predictions(sco.score(docs, sco.lexicon_model(labelled_docs(spark, sf_dir)), "text", "doc_id"))
 
 
 @query("label_table")
 def q_label_table(spark, sf_dir):
-    docs = T.read_table(spark, sf_dir, "documents")
+    docs = T.read_texts(spark, sf_dir, "documents", "doc_id")
     out = sco.label_table(docs, lexicon_scorer(spark, sf_dir), "text", "doc_id")
     return out.select("doc_id", "lang", "source", "sentiment", "confidence")
 
@@ -406,20 +419,45 @@ def q_csv_curate_corpus(spark, sf_dir):
     return curated.select("text", "sentiment", "source_file")
 
 
-@query("baseline_metrics")
-def q_baseline_metrics(spark, sf_dir):
-    """M1 + M5: curate -> near-dup groups -> grouped split -> fit -> report."""
-    from textlens.functions.labels import label_name
+#: gradient steps of the registered baseline; its oracle takes as many
+BASELINE_STEPS = 30
+
+
+def baseline_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: curate -> near-dup groups -> grouped split -> fit -> the scored validation rows."""
     from textlens.operators.baseline import fit_baseline
     data = cut_lineage(corpus_with_groups(spark, sf_dir), "grouped")
     split = cut_lineage(spl.grouped_split(data), "split")
-    model = fit_baseline(split.filter(F.col("split") == "train"))
-    val = split.filter(F.col("split") == "val")
-    pred = sco.score(val, model, "text", "row_id")
+    model = fit_baseline(split.filter(F.col("split") == "train"), max_iter=BASELINE_STEPS)
+    return sco.score(split.filter(F.col("split") == "val"), model, "text", "row_id")
+
+
+@query("baseline_scores")
+def q_baseline_scores(spark, sf_dir):
+    return predictions(baseline_predictions(spark, sf_dir), "row_id")
+
+
+@query("baseline_metrics")
+def q_baseline_metrics(spark, sf_dir):
+    """M1 + M5: the report of the baseline on its validation rows."""
+    pred = baseline_predictions(spark, sf_dir)
     return met.classification_report(pred.select(label_name(F.col("label_id")).alias("actual"),
                                                  F.col("label").alias("predicted")))
 
 
+@query("evaluate_stored")
+def q_evaluate_stored(spark, sf_dir):
+    """M5: a model and a split are written, then read back, checked and evaluated; nothing is fitted by steps."""
+    docs = T.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), F.col("n_chars").alias("dup_group"))
+    rows = labelled_docs(spark, sf_dir).withColumnRenamed("doc_id", "row_id").join(docs, "row_id")
+    split = cut_lineage(spl.grouped_split(rows), "split")
+    model_path, split_path = scratch_path(spark, "model"), scratch_path(spark, "stored-split")
+    model = sco.lexicon_model(split.filter(F.col("split") == "train"))
+    model.trained_on = ev.save_split(split, split_path)
+    model.save(spark, model_path)
+    return ev.evaluate_stored(spark, model_path, split_path)["classification_report"]
+
+
 @query("post_payloads")
 def q_post_payloads(spark, sf_dir):
     """Labelled posts serialised as whole-record JSON."""

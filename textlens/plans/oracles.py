@@ -290,6 +290,76 @@ with {MODEL_CTE}, {scored_cte('sc', 'documents', 'doc_id', clean_sql("coalesce(t
 select rid as doc_id, pred, round(confidence, 6) as confidence from sc
 """
 
+# the same model and rows as score_linear, by another plan
+ORACLES["score_projection"] = ORACLES["score_linear"]
+
+
+def slots_sql(terms: str) -> str:
+    """The slot of each term of a list: the 18 leading bits of its md5."""
+    return f"list_transform({terms}, lambda x: cast('0x' || substr(md5(x), 1, 5) as integer) >> 2)"
+
+
+def hashed_model_cte(src: str) -> str:
+    """The lexicon model by slot, of the rows (text, label_id) of ``src``."""
+    return f"""
+hm_lt as (select label_id, unnest(list_distinct({slots_sql(tokens_sql(clean_sql('text')))})) as slot from {src}),
+hm_w as (select slot, ln((count_if(label_id = 0) + 1) / (count(*) + 3)) as w0, ln((count_if(label_id = 1) + 1) / (count(*) + 3)) as w1,
+           ln((count_if(label_id = 2) + 1) / (count(*) + 3)) as w2 from hm_lt group by slot having count(*) >= 2),
+hm_b as (select ln((count_if(label_id = 0) + 1) / (count(*) + 3)) as b0, ln((count_if(label_id = 1) + 1) / (count(*) + 3)) as b1,
+           ln((count_if(label_id = 2) + 1) / (count(*) + 3)) as b2 from {src})"""
+
+
+def argmax_sql(name: str, logits: str, id_col: str) -> str:
+    """Prediction and confidence from the logits l0, l1, l2."""
+    return f"""
+{name} as (select {id_col}, case when l0 >= l1 and l0 >= l2 then 'Positive' when l1 >= l2 then 'Neutral' else 'Negative' end as pred,
+    1.0 / (exp(l0 - greatest(l0, l1, l2)) + exp(l1 - greatest(l0, l1, l2)) + exp(l2 - greatest(l0, l1, l2))) as confidence
+  from {logits})"""
+
+
+def hashed_scores_cte(src: str, id_col: str) -> str:
+    cleaned = clean_sql("coalesce(text, '')")
+    return f"""
+hs_s as (select {id_col}, unnest({slots_sql(tokens_sql(cleaned))}) as slot from {src}),
+hs_sum as (select {id_col}, sum(w0) as s0, sum(w1) as s1, sum(w2) as s2 from hs_s join hm_w using (slot) group by all),
+hs_l as (select r.{id_col}, b0 + coalesce(s0, 0) as l0, b1 + coalesce(s1, 0) as l1, b2 + coalesce(s2, 0) as l2
+  from {src} r left join hs_sum using ({id_col}) cross join hm_b),
+{argmax_sql('hs', 'hs_l', id_col)}"""
+
+
+_LABELLED_CTE = """labelled as (select d.doc_id, d.text, d.n_chars,
+    case when l.toxic = 1 then 2 when l.quality = 1 then 0 else 1 end as label_id
+  from labels l join documents d on l.doc_id = d.doc_id)"""
+
+ORACLES["score_hashed"] = f"""
+with {_LABELLED_CTE}, {hashed_model_cte('labelled')}, {hashed_scores_cte('documents', 'doc_id')}
+select doc_id, pred, round(confidence, 6) as confidence from hs
+"""
+
+REPORT_SELECT = """
+tot as (select sum(support) as total, sum(tp) as correct from m)
+select label, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1,
+       cast(support as bigint) as support from m
+union all select 'accuracy', null::double, null::double,
+       round(case when total > 0 then correct / total else 0.0 end, 6), cast(total as bigint) from tot
+union all select 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+       cast((select total from tot) as bigint) from m
+union all select 'weighted avg', round(sum(precision * support) / sum(support), 6),
+       round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+       cast(sum(support) as bigint) from m
+"""
+
+_NAME = "['Positive', 'Neutral', 'Negative'][label_id + 1]"
+
+ORACLES["evaluate_stored"] = "with " + split_walk(_LABELLED_CTE + """,
+split_input as (select doc_id as row_id, n_chars as dup_group, label_id from labelled)""") + f""",
+ev_train as (select l.text, l.label_id from split s join labelled l on l.doc_id = s.row_id where split = 'train'),
+ev_val as (select s.row_id, l.text, l.label_id from split s join labelled l on l.doc_id = s.row_id where split = 'val'),
+{hashed_model_cte('ev_train')}, {hashed_scores_cte('ev_val', 'row_id')},
+scores as (select row_id as doc_id, {_NAME} as actual, pred as predicted from hs join ev_val using (row_id)),
+{_PER_CLASS}, {REPORT_SELECT}
+"""
+
 ORACLES["label_table"] = f"""
 with {MODEL_CTE}, {scored_cte('sc', 'documents', 'doc_id', clean_sql("coalesce(text, '')"))}
 select d.doc_id, d.lang, d.source, sc.pred as sentiment, round(sc.confidence, 4) as confidence
@@ -536,3 +606,55 @@ ORACLES["corpus_dup_groups"] = f"with recursive {_CORPUS_GROUPS} select doc_id a
 ORACLES["corpus_split_summary"] = "with " + split_walk(
     _CORPUS_GROUPS + """, split_input as (select c.row_id, g.dup_group, c.label_id
                          from curated c join nd_groups g on g.doc_id = c.row_id)""") + SPLIT_SUMMARY_SELECT
+
+
+# --- the baseline: the same features and gradient steps --------------------------------------
+
+def baseline_cte(steps: int) -> str:
+    """Predictions ``bl`` (row_id, pred, confidence) of the validation rows after ``steps`` accelerated gradient steps.
+
+    The intercept is slot -1, which every row holds with weight 1 and which is not regularised.
+    """
+    tokens = tokens_sql(clean_sql("text"))
+    ctes = [f"""bl_t as (select row_id, s.label_id, split, {tokens} as t from split s join curated c using (row_id))""",
+            f"""bl_g as (select row_id, unnest({slots_sql("t || list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])")}) as slot from bl_t)""",
+            "bl_tf as (select row_id, slot, count(*) as tf from bl_g group by all)",
+            "bl_n as (select count(*)::double as n from bl_t where split = 'train')",
+            """bl_idf as (select slot, ln((1 + any_value(n)) / (1 + count(*))) + 1 as idf from bl_tf join bl_t using (row_id) cross join bl_n
+  where split = 'train' group by slot having count(*) >= 2)""",
+            "bl_w as (select row_id, slot, (1 + ln(tf)) * idf as x from bl_tf join bl_idf using (slot))",
+            """bl_x as materialized (select row_id, slot, x / sqrt(sum(x * x) over (partition by row_id)) as x from bl_w
+  union all select row_id, -1, 1.0 from bl_t)""",
+            """bl_y as materialized (select row_id, label_id, (select n from bl_n) / ((select count(distinct label_id) from bl_t where split = 'train')
+    * count(*) over (partition by label_id)) as b from bl_t where split = 'train')""",
+            """st0 as materialized (select slot, 0.0::double as w0, 0.0::double as w1, 0.0::double as w2, 0.0::double as v0, 0.0::double as v1,
+    0.0::double as v2 from (select slot from bl_idf union all select -1))"""]
+    t = 1.0
+    for i in range(steps):
+        new = (1 + (1 + 4 * t * t) ** 0.5) / 2
+        factor, t = (t - 1) / new, new
+        top = "greatest(l0, l1, l2)"
+        ctes.append(f"""er{i} as materialized (select row_id, {', '.join(f"b * (exp(l{k} - {top}) / (exp(l0 - {top}) + exp(l1 - {top}) + exp(l2 - {top})) - (label_id = {k})::int) as e{k}" for k in range(3))}
+  from (select row_id, label_id, b, sum(x * v0) as l0, sum(x * v1) as l1, sum(x * v2) as l2
+    from bl_y join bl_x using (row_id) join st{i} using (slot) group by all))""")
+        grad = ", ".join(f"sum(x * e{k}) as g{k}" for k in range(3))
+        step = "(1 / (1 + 1 / n) / n)"
+        ws = ", ".join(f"v{k} - {step} * (coalesce(g{k}, 0) + case when slot = -1 then 0 else v{k} end) as n{k}" for k in range(3))
+        ctes.append(f"""st{i + 1} as materialized (select slot, {', '.join(f'n{k} as w{k}' for k in range(3))},
+    {', '.join(f'n{k} + {factor!r} * (n{k} - w{k}) as v{k}' for k in range(3))}
+  from (select slot, w0, w1, w2, {ws} from st{i} left join (select slot, {grad} from er{i} join bl_x using (row_id) group by slot)
+    using (slot) cross join bl_n))""")
+    ctes.append(f"""bl_l as (select row_id, sum(x * w0) as l0, sum(x * w1) as l1, sum(x * w2) as l2
+  from bl_t join bl_x using (row_id) join st{steps} using (slot) where split = 'val' group by row_id)""")
+    return ",\n".join(ctes) + "," + argmax_sql("bl", "bl_l", "row_id")
+
+
+_BASELINE = "with " + split_walk(
+    _CORPUS_GROUPS + """, split_input as (select c.row_id, g.dup_group, c.label_id
+                         from curated c join nd_groups g on g.doc_id = c.row_id)""") + ", " + baseline_cte(30)
+
+ORACLES["baseline_scores"] = _BASELINE + " select row_id, pred, round(confidence, 6) as confidence from bl"
+
+ORACLES["baseline_metrics"] = _BASELINE + f""",
+scores as (select row_id as doc_id, {_NAME} as actual, pred as predicted from bl join bl_t using (row_id)),
+{_PER_CLASS}, {REPORT_SELECT}"""

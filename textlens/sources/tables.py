@@ -21,6 +21,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def read_texts(spark: SparkSession, sf_dir: str, name: str, id_col: str) -> DataFrame:
+    """A table of texts, dealt by row id.
+
+    A scan is split at row groups only, so a file of few, large ones leaves all
+    work on its texts to few tasks.  Cleaning and tokenising a text costs some
+    thirty times as much as moving it, so texts are always dealt first.
+    """
+    return read_table(spark, sf_dir, name).repartition(id_col)
+
+
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     apply_defaults(spark)
     for n in names:
@@ -106,7 +116,8 @@ def _view(spark: SparkSession, sf_dir: str, sql: str, needs: tuple[str, ...]) ->
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, CORPUS_SQL, ("documents",))
+    """The labelled corpus, dealt by row id (see ``read_texts``)."""
+    return _view(spark, sf_dir, CORPUS_SQL, ("documents",)).repartition("row_id")
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
