@@ -410,7 +410,7 @@ def q_csv_curate_corpus(spark, sf_dir):
     """The corpus written as CSV batches, loaded back through S1-S3 and curated."""
     folder = scratch_path(spark, "csv")
     corpus = T.corpus(spark, sf_dir).withColumnRenamed("label_raw", "sentiment")
-    (corpus.repartitionByRange(2, "row_id").sortWithinPartitions("row_id")
+    (corpus.repartitionByRange("row_id").sortWithinPartitions("row_id")
            .select("text", "sentiment", "source_file")
            .write.option("header", True).option("escape", '"')
            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -419,6 +419,61 @@ def q_csv_curate_corpus(spark, sf_dir):
     return curated.select("text", "sentiment", "source_file")
 
 
+#: CSV batches of the corpus: separator, encoding, header -> column
+CSV_BATCHES = (
+    (",", "UTF-8", {"text": "text", "label": "label_raw", "source_file": "source_file"}),
+    ("\t", "UTF-8", {"Tweet": "text", "source_file": "source_file", "Sentiment": "label_raw"}),
+    (",", "ISO-8859-1", {"id": "row_id", " TARGET": "label_raw", "Text": "text", "source_file": "source_file"}),
+    ("\t", "ISO-8859-1", {"sentence": "text", "class": "label_raw"}),
+    # two text and two label columns: the first by priority, the first by place
+    (",", "UTF-8", {"content": "row_id", "label": "label_raw", "text": "text", "class": "row_id", "source_file": "source_file"}),
+    (",", "UTF-8", {"id": "row_id", "text": "text"}),
+)
+
+
+def csv_batches(spark: SparkSession, sf_dir: str) -> str:
+    """The corpus as a folder of CSV files named ``b<batch>-...``, with line breaks and quotes inside the texts."""
+    folder, fs = scratch_path(spark, "csv-batches"), spark._jvm.org.apache.hadoop.fs
+    root = fs.Path(folder)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(root)
+    broken = F.expr("replace(replace(text, '. ', concat('.', chr(10))), ' the ', ' \"the\" ')")
+    corpus = T.corpus(spark, sf_dir).withColumn("text", broken)
+    for k, (sep, encoding, columns) in enumerate(CSV_BATCHES):
+        part = corpus.filter(F.col("row_id") % len(CSV_BATCHES) == k)
+        if encoding != "UTF-8":
+            part = part.withColumn("text", F.regexp_replace("text", r"[^\x{00}-\x{FF}]", "?"))
+        out = scratch_path(spark, "csv-batch")
+        (part.select(*[F.col(c).cast("string").alias(name) for name, c in columns.items()])
+             .write.option("header", True).option("escape", '"').option("sep", sep).option("encoding", encoding)
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(out))
+        for st in files.listStatus(fs.Path(out)):
+            name = st.getPath().getName()
+            if name.endswith(".csv"):
+                files.rename(st.getPath(), fs.Path(root, f"b{k}-{name}"))
+    return folder
+
+
+def batch_of(file: str = "file"):
+    return F.substring(file, 2, 1).cast("int")
+
+
+@query("csv_dialects")
+def q_csv_dialects(spark, sf_dir):
+    """Both separators, both encodings and fields with line breaks, read back row by row."""
+    rows, _ = csv_files.load_labelled(spark, csv_batches(spark, sf_dir))
+    return rows.select(batch_of().alias("batch"), F.md5("text").alias("text_md5"), "label_raw", "source_file")
+
+
+@query("csv_folder_report")
+def q_csv_folder_report(spark, sf_dir):
+    """S3: usable rows and skipped files, by batch."""
+    report = csv_files.file_report(spark, csv_batches(spark, sf_dir), T.CORPUS_CONVENTIONS)
+    return report.groupBy(batch_of().alias("batch"), "sep").agg(
+        F.sum("n_usable").alias("n_usable"), F.bool_or("multiline").alias("multiline"),
+        F.bool_and(F.coalesce(F.col("skipped") == csv_files.NO_COLUMNS, F.lit(False))).alias("unlabelled"))
+
+
 #: gradient steps of the registered baseline; its oracle takes as many
 BASELINE_STEPS = 30
 

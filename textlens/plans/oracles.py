@@ -7,6 +7,7 @@ regex literals and the view definitions.
 
 from __future__ import annotations
 
+from textlens.constants import NA_TOKENS
 from textlens.functions.text import (EDGE_WS_RE, MENTION_RE, URL_RE, WORD_TOKEN_RE,
                                      WS_RUN_RE)
 from textlens.sources.tables import CORPUS_SQL, SCORES_SQL, SPLIT_INPUT_SQL
@@ -597,6 +598,32 @@ from env where status = 'pending' group by platform, batch_id
 ORACLES["csv_curate_corpus"] = "with " + CURATED_CTE + "select text, sentiment, source_file from curated"
 
 
+_NA = ", ".join("'" + x + "'" for x in NA_TOKENS)
+
+_BATCHES_CTE = f"""
+corpus as ({CORPUS_SQL}),
+b0 as (select row_id, row_id % 6 as batch, source_file, label_raw,
+    replace(replace(text, '. ', concat('.', chr(10))), ' the ', ' "the" ') as text from corpus),
+b1 as (select row_id, cast(batch as integer) as batch, source_file, case when label_raw in ({_NA}) then null else label_raw end as label_raw,
+    case when batch in (2, 3) then regexp_replace(text, '[^\\x{{00}}-\\x{{FF}}]', '?', 'g') else text end as text from b0),
+b2 as (select row_id, batch, label_raw, case when batch <> 3 and source_file not in ({_NA}) then source_file end as source_file,
+    case when text in ({_NA}) then null else text end as text from b1)"""
+
+ORACLES["csv_dialects"] = f"""
+with {_BATCHES_CTE} select batch, md5(text) as text_md5, label_raw, source_file from b2 where batch <> 5
+"""
+
+ORACLES["csv_folder_report"] = f"""
+with {_BATCHES_CTE},
+n0 as (select *, regexp_replace(label_raw, '{EDGE_WS_RE}', '', 'g') as l from b2),
+n1 as (select *, {cap_sql(f"(case when source_file = 'src4' then {_src4_map('l')} else {_default_map('l')} end)")} as label from n0)
+select batch, case when batch in (1, 3) then chr(9) else ',' end as sep,
+  count_if(batch <> 5 and text is not null and label in ('Positive', 'Neutral', 'Negative')) as n_usable,
+  bool_or(contains(text, chr(10))) as multiline, batch = 5 as unlabelled
+from n1 group by batch
+"""
+
+
 # --- the reference flow: curate -> near-duplicate groups -> grouped split -----------------
 
 _CORPUS_GROUPS = CURATED_CTE.strip() + ", " + near_dup_cte("curated", "row_id", "text").strip() + GROUPS_TAIL

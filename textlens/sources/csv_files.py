@@ -1,30 +1,34 @@
 """Labelled CSV batches (S1-S3, P1-P5) and the CSV labelling job (M3 + S8).
 
-Per file: separator and encoding are resolved like the reproduced loader
-(',' before tab, UTF-8 before Latin-1; the first giving more than one
-column wins).  UTF-8 validity is checked on the raw bytes of every line by
-a distributed ``is_valid_utf8`` aggregation; the header is the only thing
-the driver reads.  Values equal to pandas' missing-value tokens are nulls.
+All files of a folder are found, understood and parsed by a constant number of
+jobs (``csv_scan``): separator and encoding per file, text and label column by
+name, records split at line breaks outside quotes.  Values equal to pandas'
+missing-value tokens are nulls.
 """
 
 from __future__ import annotations
 
-import csv
-import io
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlens.constants import LABEL_COLS, NA_TOKENS, SOURCE_COL, TEXT_COL_PRIORITY
+from textlens.constants import SOURCE_COL
 from textlens.session import cut_lineage
+from textlens.sources import csv_scan
+from textlens.sources.csv_scan import resolve_columns
+
+__all__ = ["CsvDialect", "LoadReport", "file_report", "label_csv", "list_csv", "load_dataset", "load_labelled", "read_csv",
+           "resolve_columns", "sniff", "usable_per_file"]
+
+NO_COLUMNS, NO_ROWS = "no text or label column", "no usable rows"
 
 
 @dataclass
 class CsvDialect:
     sep: str
     encoding: str       # "UTF-8" or "ISO-8859-1"
-    multiline: bool = True      # a field may hold a line break, so the file cannot be split
+    multiline: bool = True      # a field holds a line break
 
 
 @dataclass
@@ -45,85 +49,78 @@ def list_csv(spark: SparkSession, folder: str) -> list[str]:
     return sorted(out, key=lambda s: s.rsplit("/", 1)[-1])
 
 
-def _fields(line: str, sep: str) -> list[str]:
-    return next(csv.reader(io.StringIO(line), delimiter=sep), [])
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The file, or the files of the folder, in name order."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.getFileStatus(p).isDirectory():
+        return [path]
+    return sorted(st.getPath().toString() for st in fs.listStatus(p)
+                  if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
+
+
+def _known(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The blocks of all files; raises for files that cannot be read."""
+    known = csv_scan.blocks(spark, paths, SOURCE_COL)
+    bad = known.filter("error is not null").select("file", "error").distinct().limit(20).collect()
+    if bad:
+        raise ValueError("; ".join(f"{r['file']}: {r['error']}" for r in bad))
+    if known.select("file").distinct().count() < len(paths):
+        there = {r["file"] for r in known.select("file").distinct().collect()}      # no more than were listed
+        raise ValueError("; ".join(f"{p.rsplit('/', 1)[-1]}: the file is empty" for p in paths if p.rsplit("/", 1)[-1] not in there))
+    return known
 
 
 def sniff(spark: SparkSession, path: str) -> CsvDialect:
     """Resolve separator and encoding; raise when no combination works."""
-    lines = spark.read.text(path)
-    # quotes are counted on bytes: a line break inside a field leaves a line with an odd count
-    quotes = F.size(F.split(F.decode(F.col("value").cast("binary"), "ISO-8859-1"), '"', -1)) - 1
-    seen = lines.agg(F.bool_and(F.is_valid_utf8(F.col("value"))).alias("ok"),
-                     F.bool_or(quotes % 2 == 1).alias("odd")).first()
-    encodings = (["UTF-8"] if seen["ok"] in (True, None) else []) + ["ISO-8859-1"]
-    # the text source keeps each line's raw bytes: the header line as bytes
-    raw = lines.select(F.col("value").cast("binary").alias("head")).first()
-    head = bytes(raw["head"]) if raw and raw["head"] is not None else b""
-    for sep in (",", "\t"):
-        for enc in encodings:
-            try:
-                text = head.decode("utf-8" if enc == "UTF-8" else "latin-1")
-            except UnicodeDecodeError:
-                continue
-            first = text.lstrip("﻿").splitlines()[0] if text.strip() else ""
-            if len(_fields(first, sep)) > 1:
-                return CsvDialect(sep, enc, bool(seen["odd"]))
-    raise ValueError(f"{path.rsplit('/', 1)[-1]}: the header has one field with every separator and encoding tried")
-
-
-def quoted(name: str) -> str:
-    """A column name as one identifier, whatever signs it holds."""
-    return "`" + name.replace("`", "``") + "`"
-
-
-def read_csv(spark: SparkSession, path: str, dialect: CsvDialect | None = None, keep_names: bool = False) -> DataFrame:
-    """All columns as strings; header names lower-cased and stripped (P1) unless ``keep_names``;
-    pandas' NA tokens become nulls; ``_row`` keeps the file's row order."""
-    d = dialect or sniff(spark, path)
-    df = (spark.read.option("header", True).option("sep", d.sep).option("encoding", d.encoding)
-          .option("multiLine", d.multiline).option("escape", '"').option("inferSchema", False)
-          .option("mode", "PERMISSIVE").csv(path))
-    names = df.columns if keep_names else [c.lower().strip() for c in df.columns]
-    df = df.toDF(*names)
-    nulls = [F.when(F.col(quoted(c)).isin(*NA_TOKENS), None).otherwise(F.col(quoted(c))).alias(c) for c in names]
-    return df.select(*nulls).withColumn("_row", F.monotonically_increasing_id())
-
-
-def resolve_columns(columns: list[str]) -> tuple[str | None, str | None]:
-    """P2 text column by priority list; P3 first label column in file order."""
-    ranked = {name: rank for rank, name in enumerate(TEXT_COL_PRIORITY)}
-    texts = sorted((ranked[c], c) for c in columns if c in ranked)
-    labels = [c for c in columns if c in set(LABEL_COLS)]
-    return (texts[0][1] if texts else None), (labels[0] if labels else None)
-
-
-def load_labelled(spark: SparkSession, folder: str) -> tuple[DataFrame, LoadReport]:
-    """Every usable file as ``file, row_id, text, label_raw,
-    source_file, origin``; unusable files are skipped and reported."""
+    r = _known(spark, [path]).first()
+    return CsvDialect(r["sep"], r["encoding"], r["multiline"])
+
+
+def _about(at) -> list:
+    return ["file", "block", "case", "carry", F.struct("sep", "encoding", "head_at", at.alias("at")).alias("about")]
+
+
+def read_csv(spark: SparkSession, path: str, keep_names: bool = False) -> DataFrame:
+    """All columns of a file, or of a folder's files, as strings; header names lower-cased and stripped
+    unless ``keep_names``; pandas' NA tokens become nulls; ``_row`` follows the order of files and rows.
+
+    The columns are those of the first file; those of other files are found by their names.
+    """
+    paths = _files(spark, path)
+    known = _known(spark, paths)
+    base = paths[0].rsplit("/", 1)[-1]
+    names = known.filter(F.col("file") == base).first()["names"]
+    picked = F.transform(F.array(*[F.lit(c) for c in names]), lambda c: (F.array_position("names", c) - 1).cast("int"))
+    own = F.array(*[F.lit(i) for i in range(len(names))])
+    at = F.when(F.col("names") == F.array(*[F.lit(c) for c in names]), own).otherwise(picked)
+    rows = csv_scan.parsed(spark, paths, known.select(*_about(at)), len(names))
+    order = F.col("place")
+    if len(paths) > 1:
+        number = spark.createDataFrame([(p.rsplit("/", 1)[-1], i) for i, p in enumerate(paths)], "file string, _n long")
+        rows, order = rows.join(number, "file"), F.shiftleft("_n", 44) + F.col("place")     # files under 16 TB
+    out = names if keep_names else [c.lower().strip() for c in names]
+    return rows.select(*[F.col(f"c{i}") for i in range(len(names))], order.alias("_row")).toDF(*out, "_row")
+
+
+def load_labelled(spark: SparkSession, folder: str, known: DataFrame | None = None) -> tuple[DataFrame, LoadReport]:
+    """Every usable file as ``file, row_id, text, label_raw, source_file, origin``; unusable
+    files are skipped and reported.  ``row_id`` is the place of a row in its file."""
     paths = list_csv(spark, folder)
     if not paths:
         raise FileNotFoundError(f"{folder} holds no .csv file")
+    known = _known(spark, paths) if known is None else known
     report = LoadReport()
-    frames = []
-    for path in paths:
-        name = path.rsplit("/", 1)[-1]
-        df = read_csv(spark, path)
-        text, label = resolve_columns([c for c in df.columns if c != "_row"])
-        if text is None or label is None:
-            report.skipped[name] = "no text or label column"
-            continue
-        src = F.col(SOURCE_COL) if SOURCE_COL in df.columns else F.lit(None).cast("string")
-        origin = F.col(SOURCE_COL) if SOURCE_COL in df.columns else F.lit(name)
-        frames.append(df.select(F.lit(name).alias("file"), F.col("_row").alias("row_id"),
-                                F.col(text).alias("text"), F.col(label).alias("label_raw"),
-                                src.alias("source_file"), origin.alias("origin")))
-    if not frames:
+    for r in known.filter("text_at < 0 or label_at < 0").select("file").distinct().collect():
+        report.skipped[r["file"]] = NO_COLUMNS
+    if len(report.skipped) == len(paths):
         raise ValueError(f"none of the {len(paths)} files in {folder} has a text and a label column")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out, report
+    used = known.filter("text_at >= 0 and label_at >= 0")
+    rows = csv_scan.parsed(spark, paths, used.select(*_about(F.array("text_at", "label_at", "source_at"))), 3)
+    return rows.select("file", F.col("place").alias("row_id"), F.col("c0").alias("text"), F.col("c1").alias("label_raw"),
+                       F.col("c2").alias("source_file"),
+                       F.when(F.col("own"), F.col("c2")).otherwise(F.col("file")).alias("origin")), report
 
 
 def usable_per_file(loaded: DataFrame, conventions=None) -> DataFrame:
@@ -133,18 +130,29 @@ def usable_per_file(loaded: DataFrame, conventions=None) -> DataFrame:
     return rows.groupBy("file").agg(F.count(F.lit(1)).alias("n_usable"))
 
 
+def file_report(spark: SparkSession, folder: str, conventions=None) -> DataFrame:
+    """S3 as a table: ``file, sep, encoding, multiline, n_usable, skipped`` (the reason, or null) of every file."""
+    known = _known(spark, list_csv(spark, folder))
+    loaded, _ = load_labelled(spark, folder, known)
+    files = known.filter("block = 0").select("file", "sep", "encoding", "multiline",
+                                             ((F.col("text_at") < 0) | (F.col("label_at") < 0)).alias("_no"))
+    out = files.join(usable_per_file(loaded, conventions), "file", "left")
+    n = F.coalesce("n_usable", F.lit(0))
+    return out.select("file", "sep", "encoding", "multiline", n.alias("n_usable"),
+                      F.when(F.col("_no"), NO_COLUMNS).when(n == 0, NO_ROWS).alias("skipped"))
+
+
 def load_dataset(spark: SparkSession, folder: str, conventions=None):
     """The curated corpus of a folder of labelled CSVs plus the load report."""
     from textlens.operators.curate import curate
     loaded, report = load_labelled(spark, folder)
-    # parsed once; the generated row numbers are read more than once
-    loaded = cut_lineage(loaded, "csv")
+    loaded = cut_lineage(loaded, "csv")         # parsed once
     for r in usable_per_file(loaded, conventions).collect():     # one row per file
         report.usable[r["file"]] = r["n_usable"]
     for path in list_csv(spark, folder):
         name = path.rsplit("/", 1)[-1]
         if name not in report.usable and name not in report.skipped:
-            report.skipped[name] = "no usable rows"
+            report.skipped[name] = NO_ROWS
     curated = curate(loaded, "text", "label_raw", "origin", ("file", "row_id"), conventions,
                      keep=("text", "sentiment", "source_file"))
     return curated, report
