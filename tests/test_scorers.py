@@ -187,3 +187,14 @@ def test_oracles(spark, name):
 def test_no_token_leaves_its_row(spark):
     p = plan(E.queries()["score_projection"](spark, SF))
     assert "Generate" not in p and "Join" not in p and p.count("Exchange") == 1      # the texts, dealt by id
+
+
+def test_ranks_count_rows_in_order(spark):
+    from textlens.operators.rank import with_rank
+    rng = np.random.default_rng(2)
+    rows = [(int(i), float(x)) for i, x in enumerate(rng.integers(0, 20, 500) / 4)]
+    df = spark.createDataFrame(rows, "id long, x double").repartition(6)
+    got = sorted((r["rank"], r.x, r.id) for r in with_rank(df, [F.desc("x"), F.asc("id")]).collect())
+    assert [(x, i) for _, x, i in got] == sorted(((x, i) for i, x in rows), key=lambda r: (-r[0], r[1]))
+    assert [n for n, _, _ in got] == list(range(1, 501))
+    assert with_rank(df.limit(0), [F.asc("x")]).count() == 0

@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlens.functions.labels import label_name
-from textlens.operators.metrics import evaluate
+from textlens.operators.metrics import classification_report, confusion_matrix, evaluate
 from textlens.operators.scoring import HashedModel, score
+from textlens.operators.split import split_summary
+from textlens.session import cut_lineage
 
 
 def fingerprint(split: DataFrame, id_col: str = "row_id", label: str = "label_id") -> tuple[int, str]:
@@ -60,3 +62,30 @@ def scored_split(spark: SparkSession, model_path: str, split_path: str, side: st
 def evaluate_stored(spark: SparkSession, model_path: str, split_path: str) -> dict[str, DataFrame]:
     """The classification report and the confusion matrix of the stored validation rows."""
     return evaluate(scored_split(spark, model_path, split_path))
+
+
+def _long(section: str, df: DataFrame, names: list[str], values: list[str]) -> DataFrame:
+    """Rows (section, name, value): every value column of every row, named by the row's names and the column."""
+    long = df.select(*names, *[F.col(v).cast("double").alias(v) for v in values]).unpivot(names, values, "_column", "value")
+    parts = [*names, *(["_column"] if len(values) > 1 else [])]
+    return long.select(F.lit(section).alias("section"), F.concat_ws(".", *parts).alias("name"), "value").filter("value is not null")
+
+
+def run_report(spark: SparkSession, model_path: str, split_path: str, parameters: dict[str, float]) -> DataFrame:
+    """One long table (section, name, value) of a run: parameters, split sizes, labels of the training rows,
+    classification report and confusion matrix.  The validation rows are scored once."""
+    rows, _ = load_split(spark, split_path)
+    scored = cut_lineage(scored_split(spark, model_path, split_path).select("actual", "predicted"), "scored")
+    sizes = split_summary(rows)
+    labels = (rows.filter("split = 'train'").groupBy(label_name(F.col("label_id")).alias("label"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    given = spark.createDataFrame([(k, float(v)) for k, v in parameters.items()], "name string, value double")
+    parts = [_long("parameter", given, ["name"], ["value"]),
+             _long("split", sizes, [], [c for c in sizes.columns if c != "empty_labels"]),
+             _long("train_label", labels, ["label"], ["n"]),
+             _long("report", classification_report(scored), ["label"], ["precision", "recall", "f1", "support"]),
+             _long("confusion", confusion_matrix(scored), ["actual", "predicted"], ["n"])]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

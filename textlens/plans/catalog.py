@@ -132,7 +132,9 @@ def q_split_summary(spark, sf_dir):
 
 from textlens.functions.labels import label_name  # noqa: E402
 from textlens.operators import audit as aud  # noqa: E402
+from textlens.constants import SPLIT_SEED, TEST_SIZE  # noqa: E402
 from textlens.operators import evaluate as ev  # noqa: E402
+from textlens.operators.rank import with_rank  # noqa: E402
 from textlens.operators import scoring as sco  # noqa: E402
 
 
@@ -500,9 +502,8 @@ def q_baseline_metrics(spark, sf_dir):
                                                  F.col("label").alias("predicted")))
 
 
-@query("evaluate_stored")
-def q_evaluate_stored(spark, sf_dir):
-    """M5: a model and a split are written, then read back, checked and evaluated; nothing is fitted by steps."""
+def stored_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """A split of the labelled documents and the hashed lexicon model of its training rows, written."""
     docs = T.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), F.col("n_chars").alias("dup_group"))
     rows = labelled_docs(spark, sf_dir).withColumnRenamed("doc_id", "row_id").join(docs, "row_id")
     split = cut_lineage(spl.grouped_split(rows), "split")
@@ -510,7 +511,25 @@ def q_evaluate_stored(spark, sf_dir):
     model = sco.lexicon_model(split.filter(F.col("split") == "train"))
     model.trained_on = ev.save_split(split, split_path)
     model.save(spark, model_path)
-    return ev.evaluate_stored(spark, model_path, split_path)["classification_report"]
+    return model_path, split_path
+
+
+@query("evaluate_stored")
+def q_evaluate_stored(spark, sf_dir):
+    """M5: a written model and a written split are read back, checked and evaluated; nothing is fitted by steps."""
+    return ev.evaluate_stored(spark, *stored_run(spark, sf_dir))["classification_report"]
+
+
+@query("run_report")
+def q_run_report(spark, sf_dir):
+    """Parameters, split, labels, report and confusion matrix of a stored run as one table."""
+    return ev.run_report(spark, *stored_run(spark, sf_dir), {"test_size": TEST_SIZE, "seed": SPLIT_SEED})
+
+
+@query("audit_ranked")
+def q_audit_ranked(spark, sf_dir):
+    """O1: the audit's candidates with their place, most confident first."""
+    return with_rank(q_audit_candidates(spark, sf_dir), [F.desc("conf"), F.asc("text"), F.asc("row_id")])
 
 
 @query("post_payloads")

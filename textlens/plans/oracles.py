@@ -352,14 +352,27 @@ union all select 'weighted avg', round(sum(precision * support) / sum(support),
 
 _NAME = "['Positive', 'Neutral', 'Negative'][label_id + 1]"
 
-ORACLES["evaluate_stored"] = "with " + split_walk(_LABELLED_CTE + """,
+_STORED = "with " + split_walk(_LABELLED_CTE + """,
 split_input as (select doc_id as row_id, n_chars as dup_group, label_id from labelled)""") + f""",
 ev_train as (select l.text, l.label_id from split s join labelled l on l.doc_id = s.row_id where split = 'train'),
 ev_val as (select s.row_id, l.text, l.label_id from split s join labelled l on l.doc_id = s.row_id where split = 'val'),
 {hashed_model_cte('ev_train')}, {hashed_scores_cte('ev_val', 'row_id')},
 scores as (select row_id as doc_id, {_NAME} as actual, pred as predicted from hs join ev_val using (row_id)),
-{_PER_CLASS}, {REPORT_SELECT}
-"""
+{_PER_CLASS}"""
+
+ORACLES["evaluate_stored"] = _STORED + ", " + REPORT_SELECT
+
+ORACLES["run_report"] = _STORED + f""",
+rep as (with {REPORT_SELECT}), sm as ({SPLIT_SUMMARY_SELECT}),
+long as (
+  select 'parameter' as section, 'test_size' as name, 0.2::double as value union all select 'parameter', 'seed', 42
+  union all select 'split', c, v from (select unnest(['n_train', 'n_val', 'achieved', 'val_0', 'val_1', 'val_2']) as c,
+    unnest([n_train::double, n_val::double, achieved::double, val_0::double, val_1::double, val_2::double]) as v from sm)
+  union all select 'train_label', {_NAME}, count(*) from ev_train group by label_id
+  union all select 'report', label || '.' || c, v from (select label, unnest(['precision', 'recall', 'f1', 'support']) as c,
+    unnest([precision, recall, f1, support::double]) as v from rep)
+  union all select 'confusion', actual || '.' || predicted, n from cm)
+select section, name, value from long where value is not null"""
 
 ORACLES["label_table"] = f"""
 with {MODEL_CTE}, {scored_cte('sc', 'documents', 'doc_id', clean_sql("coalesce(text, '')"))}
@@ -382,6 +395,10 @@ from a2 join sc on sc.rid = a2.row_id
 where sc.pred <> a2.label and sc.confidence >= 0.9
 """
 
+ORACLES["audit_ranked"] = f"""
+select *, row_number() over (order by conf desc, text, row_id) as rank from ({ORACLES['audit_candidates']})
+"""
+
 # --- ingest: extraction --------------------------------------------------------------
 
 CONV_CTE = """
