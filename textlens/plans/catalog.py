@@ -356,16 +356,22 @@ from textlens.sources import csv_files  # noqa: E402
 from textlens.streaming.ingest_stream import start_ingest_stream  # noqa: E402
 
 
+def streamed(spark: SparkSession, sf_dir: str, deliveries: list[DataFrame]) -> ing.IngestStore:
+    """A store fed by one Structured Streaming query that is started anew, from its checkpoint, on each delivery
+    of files; a delivery has as many files as Spark makes of it."""
+    src, progress = scratch_path(spark, "envelopes"), scratch_path(spark, "stream-ckpt")
+    store, scorer = ing.IngestStore(spark, scratch_path(spark, "ingest")), lexicon_scorer(spark, sf_dir)
+    for rows in deliveries:
+        rows.write.mode("append").parquet(src)
+        start_ingest_stream(spark, src, rows.schema, scorer, store, progress, "lexicon-v1", doc_id="conv_id").awaitTermination()
+    return store
+
+
 @query("ingest_stream")
 def q_ingest_stream(spark, sf_dir):
-    """Envelopes land as files; a Structured Streaming query ingests them."""
+    """Envelopes land as files in two deliveries; a Structured Streaming query ingests them."""
     env = T.envelopes(spark, sf_dir)
-    src = scratch_path(spark, "envelopes")
-    env.repartitionByRange(3, "conv_id").write.parquet(src)
-    store = ing.IngestStore(spark, scratch_path(spark, "ingest"))
-    q = start_ingest_stream(spark, src, env.schema, lexicon_scorer(spark, sf_dir), store,
-                            scratch_path(spark, "stream-ckpt"), "lexicon-v1", max_files_per_trigger=1, doc_id="conv_id")
-    q.awaitTermination()
+    store = streamed(spark, sf_dir, [env.filter(F.col("conv_id") % 3 != 0), env.filter(F.col("conv_id") % 3 == 0)])
     posts = store.posts.current()
     return posts.select("platform", F.col("post.platform_post_id").alias("platform_post_id"),
                         F.col("post.sentiment").alias("sentiment"),
@@ -395,15 +401,8 @@ def q_ingest_late_arrivals(spark, sf_dir):
 @query("ingest_stream_retry")
 def q_ingest_stream_retry(spark, sf_dir):
     """A stream of all documents, then of the failed ones once more, mended."""
-    env = T.envelopes(spark, sf_dir)
-    src = scratch_path(spark, "envelopes")
-    env.coalesce(1).write.parquet(src)
     mended = T.envelopes(spark, sf_dir, faults=False).filter(F.col("conv_id") % 17 == 5)
-    mended.coalesce(1).write.mode("append").parquet(src)
-    store = ing.IngestStore(spark, scratch_path(spark, "ingest"))
-    q = start_ingest_stream(spark, src, env.schema, lexicon_scorer(spark, sf_dir), store,
-                            scratch_path(spark, "stream-ckpt"), "lexicon-v1", max_files_per_trigger=1, doc_id="conv_id")
-    q.awaitTermination()
+    store = streamed(spark, sf_dir, [T.envelopes(spark, sf_dir), mended])
     return ledger_and_posts(store)
 
 
