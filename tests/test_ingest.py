@@ -47,6 +47,39 @@ def test_upsert_latest_wins(spark):
     assert out == {"a": "new", "b": "keep"}
 
 
+def test_a_part_begun_under_a_token_is_completed(spark, tmp_folder):
+    from textlens.sources.sinks import AppendTable
+    t = AppendTable(spark, tmp_folder)
+    t.append(spark.range(4).toDF("id"), 1, "q-0")
+    os.remove(os.path.join(tmp_folder, "part=1-q-0", "_SUCCESS"))
+    assert t.rows() is None and t.part_of("q-0") == 1 and t.part_of("q-1") is None and t.last() == 1
+    t.append(spark.range(3).toDF("id"), 1, "q-0")
+    t.append(spark.range(9).toDF("id"), 1, "q-0")            # whole already
+    t.append(spark.range(2).toDF("id"), 2, "q-1")
+    assert t.parts() == [1, 2] and t.rows().count() == 5
+
+
+def test_latest_version_is_found_on_narrow_rows(spark, tmp_folder):
+    from textlens.sources.sinks import latest_per_key
+    rows = [(f"k{i % 5}", i // 2, "wide " * 50 + str(i)) for i in range(40)] + [(None, 1, "n1"), (None, 2, "n2")]
+    spark.createDataFrame(rows, "k string, v long, `_at` string").repartition(4).write.parquet(tmp_folder + "/t")
+    out = latest_per_key(spark.read.parquet(tmp_folder + "/t"), ["k"], [F.col("v")])
+    want = {}
+    for k, v, s in rows:
+        want[k] = max(want.get(k, -1), v)
+    assert {r.k: r.v for r in out.select("k", "v").collect()} == want and out.count() == 6
+
+
+def test_only_the_target_collection_is_ingested(spark, tmp_folder):
+    from textlens.operators.ingest import batch_targets
+    docs = frame(spark, [envelope(0), envelope(1, batch="tiktok-2"), envelope(2, batch="tiktok-2"), envelope(3, batch="tiktok-3")])
+    docs = docs.withColumn("collection", F.when(F.col("batch_id") == "tiktok-2", "profiles")
+                           .when(F.col("batch_id") == "tiktok-1", "posts_with_comments"))
+    assert [tuple(r) for r in batch_targets(docs).collect()] == [("tiktok", 3, 1, 2)]
+    store = IngestStore(spark, tmp_folder)
+    assert ingest(docs, scorer, store)["docs"] == 1 and state(store) == {("tiktok-1", 1, 0, "processed")}
+
+
 def envelope(i, batch="tiktok-1", **post):
     body = {"id": f"p{i}", "desc": f"text {i}", "createTime": 1700000000 + i, **post}
     body = {k: v for k, v in body.items() if v is not None}

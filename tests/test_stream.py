@@ -39,3 +39,30 @@ def test_stream_equals_batch(spark):
     ledger = {(r.platform, r.batch_id): (r.n_docs, r.status) for r in stream.ledger.current().collect()}
     want = {(r.platform, r.batch_id): (r.n_docs, r.status) for r in batch.ledger.current().collect()}
     assert ledger == want
+
+
+def test_a_replayed_micro_batch_adds_no_part(spark, monkeypatch):
+    """The run dies between posts and documents; the replay of the epoch completes its parts."""
+    env = T.envelopes(spark, SF)
+    src, progress = scratch_path(spark, "env"), scratch_path(spark, "ck")
+    env.repartitionByRange(3, "conv_id").write.parquet(src)
+    store = IngestStore(spark, scratch_path(spark, "stream"))
+
+    def run():
+        start_ingest_stream(spark, src, env.schema, scorer, store, progress, max_files_per_trigger=1).awaitTermination()
+
+    def stop(*args):
+        raise RuntimeError("lost between posts and documents")
+    with monkeypatch.context() as m:
+        m.setattr("textlens.operators.ingest.ext.failures", stop)
+        with pytest.raises(Exception, match="lost between"):
+            run()
+    assert store.posts.parts() == [1] and store.documents.parts() == []
+    first = store.posts.rows().inputFiles()
+    run()
+    assert store.posts.parts() == store.quarantine.parts() == store.documents.parts() == [1, 2, 3]
+    assert set(first) <= set(store.posts.rows().inputFiles())
+    whole = IngestStore(spark, scratch_path(spark, "batch"))
+    ingest(env, scorer, whole)
+    assert snapshot(store) == snapshot(whole)
+    assert store.posts.rows().count() == whole.posts.rows().count()

@@ -40,6 +40,9 @@ LABEL_TO_SENTIMENT: dict[str, str] = {
 # --- fixed values: ingest platforms, in processing order ------------------
 PLATFORMS: tuple[str, ...] = ("instagram", "x", "tiktok")
 
+# --- fixed value: the collection of batches that is ingested --------------
+TARGET_COLLECTION = "posts_with_comments"
+
 # --- fixed values: pandas' default missing-value tokens (read_csv) --------
 NA_TOKENS: tuple[str, ...] = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",

@@ -6,7 +6,8 @@ document that arrives after its batch was processed is seen to be new, a fixed
 re-delivery replaces the failure of the same document, and a replay (of a run
 or of a micro-batch) changes no count.  Order of commits (I3): posts, then
 quarantine, then documents; a crash in between re-reads the batch
-(at-least-once; the upsert makes the replay harmless).
+(at-least-once; the upsert makes the replay harmless).  A run with a ``token``
+(a micro-batch) keeps its number and its parts when it is replayed.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlens.constants import PLATFORMS
+from textlens.constants import PLATFORMS, TARGET_COLLECTION
 from textlens.operators import extract as ext
 from textlens.operators.labeler import DEFAULT_MODEL_VERSION, label_posts
 from textlens.operators.scoring import Scorer
@@ -27,6 +28,21 @@ from textlens.sources.sinks import AppendTable, latest_per_key
 BATCH_KEYS = ("platform", "batch_id")
 
 
+def in_collection(envelopes: DataFrame, collection: str = TARGET_COLLECTION) -> DataFrame:
+    """The documents of the target collection; all, where envelopes name none."""
+    return envelopes.filter(F.col("collection") == collection) if "collection" in envelopes.columns else envelopes
+
+
+def batch_targets(envelopes: DataFrame, platforms: Sequence[str] = PLATFORMS,
+                  collection: str = TARGET_COLLECTION) -> DataFrame:
+    """A14 per platform: pending batches of any collection, those of the target one, and those skipped for another."""
+    batches = (envelopes.filter(F.col("platform").isin(*platforms) & (F.col("status") == "pending"))
+                        .groupBy(*BATCH_KEYS).agg(F.bool_or(F.col("collection") == collection).alias("target")))
+    return batches.groupBy("platform").agg(
+        F.count(F.lit(1)).alias("n_pending"), F.count_if("target").alias("n_target"),
+        F.count_if(~F.coalesce("target", F.lit(False))).alias("n_skipped"))
+
+
 def pending_batches(envelopes: DataFrame, platforms: Sequence[str] = PLATFORMS) -> DataFrame:
     """S4/S5/S6/A15/F10 in one aggregation: batches with at least one pending
     document, with the count of all their documents (whatever their status)."""
@@ -119,8 +135,11 @@ class IngestStore:
     def ledger(self) -> AppendTable:
         return AppendTable(self.spark, f"{self.root}/documents", ledger_of)
 
-    def next_run(self) -> int:
-        return max(t.last() for t in (self.posts, self.quarantine, self.documents)) + 1
+    def next_run(self, token: str | None = None) -> int:
+        """A number above all others; of a replayed delivery the one that it began with."""
+        tables = (self.posts, self.quarantine, self.documents)
+        begun = [n for n in (t.part_of(token) for t in tables) if n is not None] if token else []
+        return begun[0] if begun else max(t.last() for t in tables) + 1
 
 
 def document_hash(envelopes: DataFrame, doc_id: str | None = None) -> Column:
@@ -138,7 +157,9 @@ def unread_batches(envelopes: DataFrame, documents: DataFrame | None,
     """S4 against the ledger: batches with a pending document that no run has read without failure."""
     pend = envelopes.filter(F.col("platform").isin(*platforms) & (F.col("status") == "pending"))
     if documents is not None:
-        read = documents.filter(~F.col("failed")).select(*BATCH_KEYS, "doc_hash")
+        # only what was read of the batches at hand is compared: a run shuffles no more of the history than that
+        read = (documents.filter(~F.col("failed")).select(*BATCH_KEYS, "doc_hash")
+                         .join(pend.select(*BATCH_KEYS).distinct(), list(BATCH_KEYS), "left_semi"))
         pend = (pend.select(*BATCH_KEYS, document_hash(envelopes, doc_id).alias("doc_hash"))
                     .join(read, [*BATCH_KEYS, "doc_hash"], "left_anti"))
     return pend.select(*BATCH_KEYS).distinct()
@@ -147,7 +168,7 @@ def unread_batches(envelopes: DataFrame, documents: DataFrame | None,
 def ingest(envelopes: DataFrame, scorer: Scorer, store: IngestStore,
            model_version: str = DEFAULT_MODEL_VERSION,
            platforms: Sequence[str] = PLATFORMS, incremental: bool = False,
-           doc_id: str | None = None) -> dict:
+           doc_id: str | None = None, token: str | None = None) -> dict:
     """Process the batches that hold a pending document not read yet.
 
     Batch mode reads such a batch whole, so its list of documents starts anew.
@@ -155,7 +176,11 @@ def ingest(envelopes: DataFrame, scorer: Scorer, store: IngestStore,
     documents of this input and adds them to what the ledger knows.
     ``doc_id`` names the column that identifies a document in its batch;
     without it (or where it is null) that is the post's id, else the content.
+    ``token`` names a delivery of the same documents whenever it is replayed;
+    its parts are then written once.  Envelopes with a ``collection`` are
+    read from the target collection only.
     """
+    envelopes = in_collection(envelopes)
     if incremental:
         docs = envelopes.filter(F.col("platform").isin(*platforms)
                                 & (F.col("status") == "pending"))
@@ -167,15 +192,15 @@ def ingest(envelopes: DataFrame, scorer: Scorer, store: IngestStore,
     extracted = cut_lineage(ext.extract(docs, keep=tuple(
         c for c in docs.columns if c not in ("platform", "batch_id", "raw_payload", "status",
                                              "extracted_at"))))
-    run = store.next_run()
+    run = store.next_run(token)
     delivery = F.lit(run).cast("bigint")
 
     # S11 first: deliver every valid post (idempotent on replay)
     valid = ext.valid_posts(extracted).drop("doc_hash", "doc_crawled")
-    store.posts.append(label_posts(valid, scorer, model_version).withColumn("delivery", delivery), run)
+    store.posts.append(label_posts(valid, scorer, model_version).withColumn("delivery", delivery), run, token)
 
     # Failures are kept, not raised
-    store.quarantine.append(ext.failures(extracted).withColumn("delivery", delivery), run)
+    store.quarantine.append(ext.failures(extracted).withColumn("delivery", delivery), run, token)
 
     # S12 after the upsert committed
     keys = ([F.col(doc_id).cast("string")] if doc_id else []) + [
@@ -183,7 +208,7 @@ def ingest(envelopes: DataFrame, scorer: Scorer, store: IngestStore,
     store.documents.append(extracted.select(
         *BATCH_KEYS, F.coalesce(*keys).alias("doc_key"), "doc_hash",
         F.col("doc_crawled").alias("extracted_at"), F.col("error").isNotNull().alias("failed"),
-        F.lit(not incremental).alias("whole"), delivery.alias("run")), run)
+        F.lit(not incremental).alias("whole"), delivery.alias("run")), run, token)
     counts = batch_outcomes(extracted).agg(
         F.count(F.lit(1)).alias("batches"), F.sum("n_docs").alias("docs"),
         F.sum("n_failed").alias("failed")).first()

@@ -132,7 +132,7 @@ def q_split_summary(spark, sf_dir):
 
 from textlens.functions.labels import label_name  # noqa: E402
 from textlens.operators import audit as aud  # noqa: E402
-from textlens.constants import SPLIT_SEED, TEST_SIZE  # noqa: E402
+from textlens.constants import SPLIT_SEED, TARGET_COLLECTION, TEST_SIZE  # noqa: E402
 from textlens.operators import evaluate as ev  # noqa: E402
 from textlens.operators.rank import with_rank  # noqa: E402
 from textlens.operators import scoring as sco  # noqa: E402
@@ -303,6 +303,13 @@ def q_ingest_summary(spark, sf_dir):
     return ing.ingest_summary(ing.batch_outcomes(ext.extract(ing.batch_documents(env, pend))), pend)
 
 
+@query("ingest_targets")
+def q_ingest_targets(spark, sf_dir):
+    """Pending batches by whether they are in the target collection; every eighth batch is in another."""
+    other = F.when(F.col("conv_id") % 8 == 3, "profiles").otherwise(TARGET_COLLECTION)
+    return ing.batch_targets(T.envelopes(spark, sf_dir).withColumn("collection", other))
+
+
 @query("upsert_posts")
 def q_upsert_posts(spark, sf_dir):
     """Two deliveries: every valid post, then a replay of the pending batches."""
@@ -538,6 +545,34 @@ def q_post_payloads(spark, sf_dir):
     return lp.select("conv_id", ext.to_payload(F.col("post")).alias("payload"))
 
 
+@query("payload_posts")
+def q_payload_posts(spark, sf_dir):
+    """The posts' fields, read back from the payloads; raw documents must be JSON values, not text."""
+    return payload_fields(spark, sf_dir, ("platform", "platform_post_id", "author_handle", "author_name", "content", "url",
+                                          "published_at", "crawled_at", "model_version"),
+                          ("like_count", "comment_count", "share_count", "view_count"), "$")
+
+
+@query("payload_comments")
+def q_payload_comments(spark, sf_dir):
+    """The comments nested in the payloads, by place."""
+    return payload_fields(spark, sf_dir, ("platform_comment_id", "author_handle", "content", "published_at", "model_version"),
+                          ("like_count",), "$.comments")
+
+
+def payload_fields(spark: SparkSession, sf_dir: str, texts: tuple, counts: tuple, path: str) -> DataFrame:
+    doc = q_post_payloads(spark, sf_dir).select("conv_id", F.parse_json("payload").alias("v"))
+    if path != "$":
+        doc = (doc.select("conv_id", F.posexplode(F.variant_get("v", path, "array<variant>")).alias("pos", "v"))
+                  .withColumn("pos", F.col("pos").cast("bigint")))
+    return doc.select(*[c for c in doc.columns if c != "v"],
+                      *[F.variant_get("v", f"$.{c}", "string").alias(c) for c in texts],
+                      *[F.variant_get("v", f"$.{c}", "bigint").alias(c) for c in counts],
+                      F.variant_get("v", "$.sentiment", "string").alias("sentiment"),
+                      F.round(F.variant_get("v", "$.sentiment_score", "double"), 6).alias("sentiment_score"),
+                      F.expr("schema_of_variant(variant_get(v, '$.raw_payload', 'variant')) like 'OBJECT%'").alias("raw_is_object"))
+
+
 # --- the reference flow: curate -> near-duplicate groups -> grouped split ----
 
 def corpus_with_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -514,6 +514,31 @@ select platform, count(*) as n_pending_batches, cast(count_if(n_failed = 0) as b
 from o group by platform
 """
 
+ORACLES["ingest_targets"] = f"""
+with {CONV_CTE}, {_ENV},
+pb as (select platform, batch_id, min(conv_id % 8) = 3 as other from env where status = 'pending' group by all)
+select platform, count(*) as n_pending, count_if(not other) as n_target, count_if(other) as n_skipped from pb group by platform
+"""
+
+_PAYLOAD_CTE = f"""{MODEL_CTE}, {CONV_CTE},
+txt as (select conv_id, k as pos, {clean_sql("coalesce(text, '')")} as ctext,
+          cast(conv_id as varchar) || '#' || cast(k as varchar) as tid from t where conv_id % 17 <> 5),
+{scored_cte('sc', 'txt', 'tid', 'ctext')},
+told as (select txt.conv_id, txt.pos, 'lexicon-v1' as model_version, lower(sc.pred) as sentiment,
+           round(sc.confidence, 6) as sentiment_score, true as raw_is_object from txt join sc on sc.rid = txt.tid)"""
+
+ORACLES["payload_posts"] = f"""
+with {_PAYLOAD_CTE},
+flat as ({' union all '.join(f"select * exclude (batch_id, n_comments) from ({ORACLES['extract_' + p]})"
+                             for p in ('x', 'instagram', 'tiktok'))})
+select flat.*, told.* exclude (conv_id, pos) from flat join told on told.conv_id = flat.conv_id and told.pos = 0
+"""
+
+ORACLES["payload_comments"] = f"""
+with {_PAYLOAD_CTE}, flat as (select * exclude (platform) from ({ORACLES['extract_comments']}))
+select flat.*, told.* exclude (conv_id, pos) from flat join told on told.conv_id = flat.conv_id and told.pos = flat.pos + 1
+"""
+
 ORACLES["upsert_posts"] = f"""
 with {MODEL_CTE}, {CONV_CTE},
 txt as (select conv_id, {clean_sql("coalesce(text, '')")} as ctext from posts where conv_id % 17 <> 5),

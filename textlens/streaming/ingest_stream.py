@@ -4,8 +4,9 @@ A file source feeds micro-batches to the same ``ingest`` function used in
 batch mode (incremental flavour: exactly the pending documents that
 arrived).  Progress lives in the stream checkpoint; delivery state lives in
 the store's append-only tables, each micro-batch adding its own rows.  A
-restarted query re-delivers at most one micro-batch; the posts' keys and the
-documents' keys absorb the replay.
+restarted query re-delivers at most one micro-batch.  Its parts are named by
+the query's id, which the checkpoint keeps, and the epoch, so a replay
+completes the parts that the first attempt began and adds none.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ def start_ingest_stream(spark: SparkSession, source_dir: str, schema: StructType
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        ingest(batch, scorer, store, model_version, incremental=True, doc_id=doc_id)
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        ingest(batch, scorer, store, model_version, incremental=True, doc_id=doc_id, token=f"{query}-{epoch_id}")
 
     writer = (stream.writeStream.foreachBatch(on_batch)
               .option("checkpointLocation", checkpoint_location))
