@@ -129,6 +129,17 @@ def test_jaccard_components(docs, rows, empty, small, monkeypatch):
         assert partjoin.components(empty).count() == 0
 
 
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
+    rng = random.Random(6)
+    base = [f"b{rng.randrange(999)}" for _ in range(80)]
+    near, other = " ".join(["new", *base[1:]]), " ".join(f"o{i}" for i in range(40))
+    base = " ".join(base)
+    rows = [(1, base), (1, other), (2, near), (7, base), (7, other + " end"), (9, "lone text of some six words"), (9, "")]
+    got = Counter(tuple(r) for r in partjoin.components(spark.createDataFrame(rows, "doc_id long, text string"))
+                  .drop("text_key", "group_key").collect())
+    assert got == Counter([(1, 76, 1), (1, 36, 1), (2, 76, 1), (7, 76, 1), (7, 37, 1), (9, 2, 9), (9, 0, 9)])
+
+
 def test_pigeonhole_keys_meet():
     """Random sets at and above the bar share an index key, whatever their size."""
     import numpy as np
@@ -154,9 +165,10 @@ def test_decontamination(spark, docs, rows, empty):
     for i, t in items:
         if i is not None:
             item_sets[i] |= _sets([(0, (t or "").lower())])[0]
-    want = set()
+    want, short = set(), {len(words(t)) for _, t in items} & {1, 2, 3, 4}
     for r in rows:
-        own = _sets([(0, (r[1] or "").lower())])[0]
+        w = words((r[1] or "").lower())
+        own = _sets([(0, (r[1] or "").lower())])[0] | {tuple(w[k:k + n]) for n in short for k in range(len(w) - n + 1)}
         for i, s in item_sets.items():
             if s and 100 * len(own & s) >= 75 * len(s):
                 want.add((r[0], i, len(s), len(own & s)))
@@ -166,6 +178,17 @@ def test_decontamination(spark, docs, rows, empty):
     assert contain.contained(empty, bench).count() == 0 and contain.contained(docs, bench.limit(0)).count() == 0
 
 
+def test_short_items_are_found_inside_long_documents(spark):
+    texts = {1: "zero one two three four five six seven", 2: "one two three", 3: "one two four three five six", 4: "One\tTWO three",
+             5: "two", 6: "zero two zero", 7: None, 8: "", 9: "x " * 4000 + "one two three " + "y " * 4000}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "one two three"), (2, "two"), (3, "one two four three")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in contain.contained(docs, bench).collect()}
+    want = {(d, i) for d, t in texts.items() for i, s in ((1, "one two three"), (2, "two"), (3, "one two four three"))
+            if f" {s} " in " " + " ".join(words(t)) + " "}
+    assert got == want and len(want) == 12
+
+
 def test_shards(docs, rows, empty):
     got = shards.place(docs, shards=7).collect()
     texts = {r[0]: r[1] for r in rows}
@@ -248,6 +271,37 @@ def test_pii_one_word_serves_a_list(spark):
     assert _found(spark, "secret", texts) == [keys, [], keys[1:3]]
 
 
+def test_pii_walks_long_lists_in_stretches(spark, monkeypatch):
+    """Positions, context and what a match hands on do not depend on where a stretch ends."""
+    rng = random.Random(8)
+    pool = ["bob@example.org", "10.0.0.1", "999.1.1.1", "123-45-6789", "4111 1111 1111 1111", "+1 (555) 010-9999", "ssn", "test", "é",
+            "DE89370400440532013000", "a5" * 12, "token", ", ", "-" * 20, "filler words " * 4]
+    texts = [" ".join(rng.choice(pool) for _ in range(n)) for n in (0, 1, 2, 3, 5, 9, 40, 200, 700)]
+    texts += ["SSNs: " + ", ".join(["123-45-6789"] * 700), "a@b.c " * 300]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = sorted(pii.digest(pii.find(docs)).collect())
+    assert [r.n_ssn for r in want if r.doc_id == 9] == [700] and want[10].n_any == 300
+    for r in want:
+        for kind, a, b in (x.rsplit(":", 2) for x in r.spans.split(",") if x):
+            assert texts[r.doc_id][int(a):int(b)].strip() == texts[r.doc_id][int(a):int(b)], kind
+    for stretch in (2, 6, 1 << 20):
+        monkeypatch.setattr(pii, "STRETCH", stretch)
+        assert sorted(pii.digest(pii.find(docs)).collect()) == want
+
+
+def test_pii_costs_time_in_proportion_to_matches(spark):
+    import time
+
+    def seconds(n):
+        docs = spark.createDataFrame([(1, " ".join(f"user{i}@example.org" for i in range(n)))], "doc_id long, text string")
+        t = time.time()
+        assert pii.digest(pii.find(docs)).first().n_email == n
+        return time.time() - t
+    seconds(100)
+    few, many = seconds(4000), seconds(40000)
+    assert many < 20 * few + 2
+
+
 def test_licenses(docs, rows, empty):
     want = Counter()
     for r in rows:

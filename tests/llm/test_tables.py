@@ -155,3 +155,64 @@ def test_pipeline(spark):
         ids, docs = set(left), out
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF).collect()} == ids
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontaminate", "mix", "shard"]
+
+
+CLASHES = ("_quality", "_id", "_key", "_cell", "topic", "tokens", "p", "kept", "score", "text_key", "node", "rows", "a.b", "component_id", "row")
+
+
+@pytest.fixture(scope="module")
+def odd_tables(spark, tmp_path_factory):
+    """Documents with repeated ids and rows, nulls and clashing columns, and the tables that stages read."""
+    rng = random.Random(4)
+    base = [f"b{rng.randrange(9999)}" for _ in range(90)]
+    near, item = " ".join(["new", *base[1:]]), " ".join(f"item{i}" for i in range(20))
+    base = " ".join(base)
+    good, bad = [" ".join(rng.choice(w) for _ in range(30)) for w in (["alpha", "beta", "gamma"], ["BUY!!", "NOW!!", "WIN!!"])]
+    rows = [(1, base), (1, "clean text that shares the id of a group"), (2, near), (2, "another clean text under a used id"), (3, base), (3, base),
+            (4, near), (None, base), (None, "x " + item), (5, None), (5, None), (6, ""), (7, good), (7, good), (8, bad), (8, good + " more"),
+            (9, item + " tail"), (9, "no item at all here"), (10, "a " * 5000)]
+    folder = str(tmp_path_factory.mktemp("odd"))
+    schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in CLASHES)
+    docs = [(i, t, rng.choice(["en", "de", None]), rng.choice(["a", "b", None]), *[f"{c} {n}" for c in CLASHES])
+            for n, (i, t) in enumerate(rows)]
+    spark.createDataFrame(docs, schema).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, item), (2, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([(1, 1), (7, 1), (8, 0), (None, 1)], "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    return folder, docs
+
+
+def test_stages_on_odd_tables(spark, odd_tables):
+    folder, rows = odd_tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    empty = docs.limit(0)
+
+    def stage(name, df=docs):
+        out = dict(corpus_pipeline.STAGES)[name](spark, df, folder)
+        assert name == "shard" or out.columns == df.columns
+        return Counter(tuple(r) for r in out.collect())
+    for name, _ in corpus_pipeline.STAGES:
+        assert not stage(name, empty), name
+    whole = Counter(rows)
+    model = queries.quality_model(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    scores = {r.text: r.s for r in queries.nbsvm.score(docs.select("text"), model, out_col="s").collect()}
+    assert stage("quality") == Counter(r for r in rows if scores[r[1]] >= 0.3)
+    assert stage("decontaminate") == Counter(r for r in rows if "item0 item1 " not in (r[1] or ""))
+
+    # near copies: one group is of ids 1 to 4, one of 7 and 8; repeated texts of one id count once
+    left = stage("near_duplicates")
+    assert not left - whole
+    base, near, good = rows[0][1], rows[2][1], rows[12][1]
+    kept = Counter((r[0], r[1]) for r in left.elements())
+    want = Counter((r[0], r[1]) for r in rows if not (r[0] is not None and r[1] in (base, near)))
+    want[(7, good)] = 1
+    del want[(8, good + " more")]
+    want[(1, base)] = 1
+    assert kept == want
+
+    kept = stage("mix")
+    assert not kept - whole and kept
+    p = {}
+    for r in queries.mixing.mix(docs.select("doc_id", "text", "lang", "source")).collect():
+        p[(r.doc_id, r.text, r.lang, r.source)] = r.kept
+    assert kept == Counter(r for r in rows if p[r[:4]])
+    assert sum(stage("shard").values()) == len(rows)

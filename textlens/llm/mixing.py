@@ -38,9 +38,7 @@ SEED = 11
 #: Production targets: flatten sources and topics, half of the tokens English.
 TARGETS = {"source": 0.5, "lang": {"en": 0.5}, "topic": 0.7}
 BUDGET = 0.7
-SWEEPS_PER_JOB, TOLERANCE, FALL, STALLS = 2, 1e-9, 1e-3, 3
-#: Sweeps of op1_mixing, as its SQL has them; other calls have no fixed number.
-SWEEPS = 12
+SWEEPS_PER_JOB, TOLERANCE, FALL, STALLS = 2, 1e-12, 1e-3, 3
 # Topic rules in order of precedence: (topic, a literal that marks it).
 TOPIC_MARKS = (("tables", " | "), ("licences", "icense"), ("shouting", "!!"), ("secrets", "password="), ("mail", "@"))
 
@@ -132,7 +130,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
         seed: int = SEED, sweeps: int | None = None) -> DataFrame:
     """All rows and columns of ``docs`` with ``topic``, ``tokens``, ``p`` (probability) and ``kept``.
 
-    ``sweeps`` bounds the raking, to compare with SQL of a fixed number of steps; None sweeps until the targets hold.
+    ``sweeps`` bounds the raking, to compare with others of a fixed number of steps; None sweeps until the targets hold.
     """
     targets, dims = targets or TARGETS, ["source", "lang", "topic"]
     docs = docs.drop("topic", "tokens", "p", "kept")

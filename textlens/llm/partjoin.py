@@ -27,7 +27,7 @@ bit) before the sets themselves are compared.
 Defined results: a null or blank text has the empty set and links with
 nothing; fewer than ``SHINGLE`` words make one shingle; equal sets share a
 component; rows with a null id get a null component and link with nothing;
-rows that repeat an id are one document with the shingles of any of its rows;
+rows that repeat an id are each judged by their own text;
 an empty table gives an empty result; other columns do not matter.
 """
 
@@ -174,8 +174,8 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flat, n, _ = _flat(sets)
             node = node_ids(flat, n)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n), pa.array(T.signed(node)), pa.array([sketch(s) for s in sets], pa.binary())],
-                ["doc_id", "n_shingles", "node", "sketch"])
+                [part.column(0), part.column(2), pa.array(n), pa.array(T.signed(node)), pa.array([sketch(s) for s in sets], pa.binary())],
+                ["doc_id", "text_key", "n_shingles", "node", "sketch"])
 
 
 def _indexer(partitions: int):
@@ -257,8 +257,9 @@ def _setter(bits: bytes):
             batch = batch.filter(pa.array(have[T.longs(batch, "bit")] > 0))
             for part, data, at in T.chunks(batch):
                 sets = shingle_sets(data, at)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())],
-                                                 ["doc_id", "shingles"])
+                flat, n, _ = _flat(sets)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(T.signed(node_ids(flat, n))),
+                                                  pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "node", "shingles"])
     return run
 
 
@@ -341,11 +342,16 @@ def _pairs_of_runs(bar: float, cross: bool):
 
 
 def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", bar: float = 0.75) -> DataFrame:
-    """One row per row of ``docs``: (doc_id, n_shingles, component_id). The pigeonhole bounds are for 0.75 and more."""
+    """One row per row of ``docs``: (doc_id, text_key, group_key, n_shingles, component_id). The bounds are for 0.75 and more.
+
+    ``text_key`` is the md5 of the text (null for null); with the id it names the row.  ``group_key`` names the component
+    where ids repeat (two may have the same smallest id); null for the empty set.
+    """
     if bar < 0.75:
         raise ValueError("bar is 0.75 at least")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = cut_lineage(docs.mapInArrow(_nodes, "doc_id long, n_shingles long, node long, sketch binary"), "sets")
+    rows = cut_lineage(docs.withColumn("text_key", F.md5("text")).mapInArrow(
+        _nodes, "doc_id long, text_key string, n_shingles long, node long, sketch binary"), "sets")
     nodes = cut_lineage(rows.filter("n_shingles > 0 and doc_id is not null").groupBy("node")
                         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
                              F.first("sketch").alias("sketch")), "nodes")
@@ -380,9 +386,9 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     # components are of nodes; name each by its smallest document
     named = nodes.select("node", "rep").join(comp, "node", "left").withColumn("c", F.coalesce("c", "node"))
     least = named.groupBy("c").agg(F.min("rep").alias("component_id"))
-    named = named.join(least, "c").select("node", "component_id")
-    return rows.select("doc_id", "n_shingles", "node").join(named, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce(
+    named = named.join(least, "c").select("node", "component_id", F.col("c").alias("group_key"))
+    return rows.select("doc_id", "text_key", "n_shingles", "node").join(named, "node", "left").select(
+        "doc_id", "text_key", "group_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce(
             F.when(F.col("n_shingles") > 0, F.col("component_id")), "doc_id")).alias("component_id"))
 
 
@@ -392,13 +398,14 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, bar: float) -
         return nodes.select(F.col("node").alias(x), F.col("rep").alias(f"rep_{x}"))
 
     near = cut_lineage(pairs.join(side("a"), "a").join(side("b"), "b"), "near")
-    need = near.select(F.explode(F.array("rep_a", "rep_b")).alias("doc_id")).distinct()
+    ends = F.explode(F.array(*(F.struct(F.col(f"rep_{x}").alias("doc_id"), F.col(x).alias("node")) for x in "ab")))
+    need = near.select(ends.alias("end")).select("end.*").distinct()
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS))
     bits = bitmap(need.withColumn("bit", bit), "bit", BITMAP_BITS)
-    # a bitmap of fixed size lets most texts go before the exact join
+    # a bitmap of fixed size lets most texts go before the exact join; a set is its node's, whatever else its id names
     sets = docs.withColumn("bit", bit).filter("doc_id is not null").mapInArrow(
-        _setter(bits), "doc_id long, shingles binary").join(need, "doc_id", "left_semi")
-    sets = cut_lineage(sets.groupBy("doc_id").agg(F.min("shingles").alias("shingles")), "shingles")
-    both = (near.join(sets.select(F.col("doc_id").alias("rep_a"), F.col("shingles").alias("x")), "rep_a")
-            .join(sets.select(F.col("doc_id").alias("rep_b"), F.col("shingles").alias("y")), "rep_b"))
+        _setter(bits), "doc_id long, node long, shingles binary").join(need, ["doc_id", "node"], "left_semi")
+    sets = cut_lineage(sets.groupBy("node").agg(F.min("shingles").alias("shingles")), "shingles")
+    both = (near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+            .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"))
     return both.filter(_exact(bar)("x", "y")).select("a", "b")

@@ -25,8 +25,7 @@ def quality_model(docs: DataFrame, labels: DataFrame) -> nbsvm.Model:
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_defaults(spark)
-    # as many sweeps as its SQL has; a warning tells where they are too few
-    return mixing.mix(table(spark, sf_dir, "documents"), sweeps=mixing.SWEEPS).select(
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "source", "lang", "topic", "tokens", F.round("p", 6).alias("p"), "kept")
 
 
@@ -59,7 +58,7 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_defaults(spark)
-    return partjoin.components(table(spark, sf_dir, "documents"))
+    return partjoin.components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

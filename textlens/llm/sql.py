@@ -16,6 +16,10 @@ def _shingled(table: str, key: str, name: str, words: str = _WORDS) -> str:
   from (select {key}, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from {name}_w where len(w) > 0))"""
 
 
+#: More than raking needs on any of the tables to bring every marginal to its target.
+SWEEPS = 60
+
+
 def _op1() -> str:
     topic = "case when text is null then 'none' " + " ".join(
         f"when contains(text, '{mark}') then '{t}'" for t, mark in mixing.TOPIC_MARKS) + " else 'prose' end"
@@ -36,7 +40,7 @@ def _op1() -> str:
     ctes.append("x0 as materialized (select c.*, want_source, want_lang, want_topic, tokens::double as weight from c "
                 + " ".join(f"join t_{x} on c.{x} is not distinct from t_{x}.{x}" for x in dims) + ")")
     n = 0
-    for _ in range(mixing.SWEEPS):
+    for _ in range(SWEEPS):
         for dim in dims:
             ctes.append(f"""x{n + 1} as materialized (select * exclude (weight), case when sum(weight) over (partition by {dim}) > 0
   then weight * want_{dim} / sum(weight) over (partition by {dim}) else 0 end as weight from x{n})""")
