@@ -344,14 +344,14 @@ def _pairs_of_runs(bar: float, cross: bool):
 def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", bar: float = 0.75) -> DataFrame:
     """One row per row of ``docs``: (doc_id, text_key, group_key, n_shingles, component_id). The bounds are for 0.75 and more.
 
-    ``text_key`` is the md5 of the text (null for null); with the id it names the row.  ``group_key`` names the component
+    ``text_key`` is xxhash64 of the text; with the id it names the row.  ``group_key`` names the component
     where ids repeat (two may have the same smallest id); null for the empty set.
     """
     if bar < 0.75:
         raise ValueError("bar is 0.75 at least")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = cut_lineage(docs.withColumn("text_key", F.md5("text")).mapInArrow(
-        _nodes, "doc_id long, text_key string, n_shingles long, node long, sketch binary"), "sets")
+    rows = cut_lineage(docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(
+        _nodes, "doc_id long, text_key long, n_shingles long, node long, sketch binary"), "sets")
     nodes = cut_lineage(rows.filter("n_shingles > 0 and doc_id is not null").groupBy("node")
                         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
                              F.first("sketch").alias("sketch")), "nodes")
