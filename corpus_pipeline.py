@@ -51,7 +51,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: of its smallest id the text with the smallest md5.
+    """One document of each group of near copies: of its smallest id the text with the smallest hash.
 
     Rows without words or without an id are in no group and stay.  Rows that
     share an id are told apart by their texts; of rows that share both, one stays.
@@ -62,17 +62,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     first = texts.filter("doc_id = component_id").groupBy("group_key").agg(F.min("text_key").alias("least"))
     texts = texts.join(first, "group_key").withColumn(
         "goes", (F.col("doc_id") != F.col("component_id")) | (F.col("text_key") != F.col("least")))
+    # written, so that what is narrow and of known size meets the documents, and is made once
+    texts = cut_lineage(texts.filter("goes or rows > 1").select("doc_id", "text_key", "goes", "rows"), "copies")
 
     def keys(rows: str) -> DataFrame:
         return texts.filter(rows).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
 
     rows, own = _aside(docs, "_id", "_key")
-    same = (F.col("doc_id") == F.col("_id")) & (F.md5("text") == F.col("_key"))
+    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
     left = rows.join(keys("goes"), same, "left_anti")
     again = cut_lineage(keys("not goes and rows > 1"), "again")
     if again.isEmpty():
         return left.select(*own)
-    one = left.join(again, same, "left_semi").withColumn("_key", F.md5("text")).dropDuplicates(["doc_id", "_key"])
+    one = left.join(again, same, "left_semi").withColumn("_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_key"])
     return left.join(again, same, "left_anti").select(*own).unionByName(one.select(*own))
 
 
