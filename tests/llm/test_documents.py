@@ -113,9 +113,9 @@ def _components(sets):
     return {i: find(i) for i in ids}
 
 
-@pytest.mark.parametrize("small", [32, 2])
-def test_jaccard_components(docs, rows, empty, small, monkeypatch):
-    monkeypatch.setattr(partjoin, "SMALL", small)
+@pytest.mark.parametrize("chunk", [2048, 3])
+def test_jaccard_components(docs, rows, empty, chunk, monkeypatch):
+    monkeypatch.setattr(partjoin, "CHUNK", chunk)
     sets = _sets([r for r in rows if r[0] is not None])
     comp = _components(sets)
     got = partjoin.components(docs).collect()
@@ -125,10 +125,41 @@ def test_jaccard_components(docs, rows, empty, small, monkeypatch):
             assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), comp[r.doc_id]), r
         else:
             assert r.component_id is None
-    if small == 2:
+    if chunk == 3:
         assert partjoin.components(empty).count() == 0
 
 
+def test_large_runs_are_dealt_into_tiles(spark, monkeypatch):
+    """Small documents of a common line (one long run of unlike texts) and near copies that a leader does not reach."""
+    monkeypatch.setattr(partjoin, "CHUNK", 100)
+    rng = random.Random(8)
+    line = "this line is found in very many of them"
+    texts = [f"{line} {rng.choice('abcdef')}{i // 3} tail{i // 3} end{i // 3}" + (f" x{i}" if i % 3 else "") for i in range(1500)]
+    rows = list(enumerate(texts))
+    sets = _sets([(i, t) for i, t in rows])
+    held = defaultdict(set)
+    for i, s in sets.items():
+        for x in s:
+            held[x].add(i)
+    # by brute force over the documents that share more than the common line
+    near = {i: i for i in sets}
+
+    def find(x):
+        while near[x] != x:
+            x = near[x]
+        return x
+
+    for i in sets:
+        for j in range(max(0, i - 5), i):
+            if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                x, y = find(i), find(j)
+                near[max(x, y)] = min(x, y)
+    assert max(len(h) for h in held.values()) == len(rows)
+    got = partjoin.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: find(i) for i in sets}
+    assert len({find(i) for i in sets}) > 400
+
+
 def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
     rng = random.Random(6)
     base = [f"b{rng.randrange(999)}" for _ in range(80)]

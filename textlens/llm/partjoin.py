@@ -15,12 +15,13 @@ without slack (small or uneven ones) also emits the one-deletion neighbourhoods
 of its segments, and single shingles where even these give no guarantee.
 
 Keys travel as sorted blocks to their partition.  There, documents that share
-a key are a run.  A run of up to ``SMALL`` members compares them all.  In a
-larger one the members are first verified against its ``LEADERS`` most central
-members (those in most runs: of near copies the ones closest to the original)
-and the links found are contracted to components; then only members of different
-components are compared, so a group of near copies costs pairs in proportion to
-its size and no link between components is lost.
+a key are a run.  A run's members are first verified against its two leaders (the member
+that is in most runs: of near copies the one closest to the original; and the
+one of the smallest hash, the same one in many runs) and the links found are contracted to components;
+then, in runs that are still of several components, the members outside the
+largest one are compared with those of other components.  So a group of near copies costs pairs in
+proportion to its size and no link between components is lost.  Nothing gathers
+a run: it is dealt into chunks of about ``CHUNK`` members, and a task sees a tile of two.
 Pairs pass an exact bound (parity sketches: each differing shingle flips one
 bit) before the sets themselves are compared.
 
@@ -50,7 +51,7 @@ from textlens.operators.components import connected_components
 SHINGLE = 5
 BUCKET_BYTES = 10 << 20
 FLUSH_KEYS = 3_000_000
-LEADERS, SMALL, SALTS = 2, 32, 8
+CHUNK = 2048
 BITMAP_BITS = 1 << 23
 _U = np.uint64
 _C = [_U(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
@@ -281,63 +282,73 @@ def _exact(bar: float):
     return linked
 
 
+def _rows_of(sketches: list[bytes], size: int) -> np.ndarray:
+    """Sketches of one length as rows of 64-bit words, folded to ``size`` bytes."""
+    v = np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1)
+    while v.shape[1] * 8 > size:
+        v = v[:, :v.shape[1] // 2] ^ v[:, v.shape[1] // 2:]
+    return v
+
+
 def _folded(sketches: list[bytes]) -> np.ndarray:
     """Sketches as rows of 64-bit words, folded to the size of the smallest."""
-    least = min(map(len, sketches))
+    length = np.array([len(x) for x in sketches])
+    least = int(length.min())
     out = np.empty((len(sketches), least // 8), np.uint64)
-    for i, x in enumerate(sketches):
-        v = np.frombuffer(x, np.uint64)
-        while len(v) * 8 > least:
-            v = v[:len(v) // 2] ^ v[len(v) // 2:]
-        out[i] = v
+    for size in np.unique(length):
+        at = np.flatnonzero(length == size)
+        out[at] = _rows_of([sketches[i] for i in at], least)
     return out
 
 
-def _possible(rows: np.ndarray, row_n: np.ndarray, every: np.ndarray, n: np.ndarray, top: int) -> np.ndarray:
-    """Which pairs of sets (rows by every) the size and sketch bounds allow."""
-    d = np.zeros((len(rows), len(every)), np.int64)
-    for w in range(every.shape[1]):
-        d += np.bitwise_count(rows[:, w, None] ^ every[None, :, w])
-    s = row_n[:, None] + n[None]
-    np.maximum(d, np.abs(row_n[:, None] - n[None]), out=d)
+def _within(n: np.ndarray, m: np.ndarray, bits: np.ndarray, top: int) -> np.ndarray:
+    """Whether sets of sizes n and m can reach the bar, if their sketches differ in ``bits`` places."""
+    s, d = n + m, np.maximum(bits, np.abs(n - m))
     return 100 * (s - d) >= top * (s + d)
 
 
-def _pairs_of_runs(bar: float, cross: bool):
-    """Pairs of a run that the bounds allow: all of a small one, those with a leader of others; with ``cross``
-    those of different components.
-    """
+def _may_link(bar: float):
+    """The exact bound on rows of two sets."""
+    top = _percent(bar)
+
+    @F.pandas_udf("boolean")
+    def possible(n: pd.Series, m: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+        out = np.zeros(len(n), bool)
+        n, m = n.to_numpy(np.int64), m.to_numpy(np.int64)
+        x, y = x.to_numpy(object), y.to_numpy(object)
+        shape = np.array([(len(a), len(b)) for a, b in zip(x, y)], np.int64).reshape(-1, 2)
+        for lx, ly in np.unique(shape, axis=0):
+            at = np.flatnonzero((shape == (lx, ly)).all(axis=1))
+            size = int(min(lx, ly))
+            d = np.bitwise_count(_rows_of(list(x[at]), size) ^ _rows_of(list(y[at]), size)).sum(axis=1, dtype=np.int64)
+            out[at] = _within(n[at], m[at], d, top)
+        return pd.Series(out)
+    return possible
+
+
+def _pairs_of_tiles(bar: float):
+    """Pairs (home, guest) of a tile, of different components, that the bounds allow."""
     top, strip = _percent(bar), 128
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sent: set[tuple[int, int]] = set()
         for frame in frames:
             for members in frame["members"]:
-                node = np.array([m["node"] for m in members])
-                group = np.array([m["by"] for m in members])
-                n = np.array([m["n"] for m in members])
+                node, group, n = (np.array([m[c] for m in members]) for c in ("node", "by", "n"))
+                home, guest = (np.flatnonzero([m[c] for m in members]) for c in ("home", "guest"))
+                if not len(home) or not len(guest):
+                    continue
                 bits = _folded([m["sketch"] for m in members])
-                if cross:
-                    # those outside the largest component, against all
-                    kinds, which, size = np.unique(group, return_inverse=True, return_counts=True)
-                    rows = np.flatnonzero(which != size.argmax())
-                elif len(node) <= SMALL:
-                    rows = np.arange(len(node) - 1)
-                else:
-                    rows = np.lexsort((node, -group))[:LEADERS]
-                for k in range(0, len(rows), strip):
-                    own = rows[k:k + strip]
-                    ok = _possible(bits[own], n[own], bits, n, top) & (node[own][:, None] != node[None])
-                    if cross:
-                        ok &= group[own][:, None] != group[None]
+                found = []
+                for k in range(0, len(home), strip):
+                    own = home[k:k + strip]
+                    d = np.zeros((len(own), len(guest)), np.int64)
+                    for w in range(bits.shape[1]):
+                        d += np.bitwise_count(bits[own, w][:, None] ^ bits[guest, w][None])
+                    ok = _within(n[own][:, None], n[guest][None], d, top) & (group[own][:, None] != group[guest][None])
                     i, j = np.nonzero(ok)
-                    a, b = node[own[i]], node[j]
-                    new = set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())) - sent
-                    if new:
-                        sent |= new
-                        yield pd.DataFrame(sorted(new), columns=["a", "b"])
-                    if len(sent) > 2_000_000:
-                        sent.clear()
+                    a, b = node[own[i]], node[guest[j]]
+                    found.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0))
+                yield pd.DataFrame(np.concatenate(found), columns=["a", "b"])
     return run
 
 
@@ -363,25 +374,10 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     # a run is named by its members: the same on every attempt (two runs of one name would only be compared together)
     wide = cut_lineage(runs.select(F.xxhash64("members").alias("run"), F.size("members").alias("k"),
                                    F.explode("members").alias("node")), "wide")
-
-    def pairs(members: DataFrame, cross: bool) -> DataFrame:
-        """members: (run, node, by).  Runs of the same first leader, or largest component, share ``SALTS`` tasks, which
-        send a pair once each."""
-        first = F.mode("by") if cross else F.max_by("node", F.struct("by", "node"))
-        lead = members.groupBy("run").agg(first.alias("lead"))
-        lead = lead.select("run", F.xxhash64("lead", F.col("run") % SALTS).alias("place"))
-        lists = (members.join(lead, "run").join(nodes.drop("rep"), "node").repartition("place").groupBy("place", "run")
-                 .agg(F.collect_list(F.struct("node", "by", "n", "sketch")).alias("members")).select("members"))
-        return lists.mapInPandas(_pairs_of_runs(bar, cross), "a long, b long").distinct()
-
-    central = wide.groupBy("node").agg(F.count(F.lit(1)).alias("by"))
-    stars = pairs(wide.join(central, "node").select("run", "node", "by"), False)
+    stars = _star_pairs(wide, nodes, bar)
     first = cut_lineage(_verified(docs, nodes, stars, bar), "links")
     comp = cut_lineage(connected_components(first, "a", "b").withColumnRenamed("component", "c"), "comp")
-    wide = wide.filter(F.col("k") > SMALL).join(comp, "node", "left").select("run", "node", F.coalesce("c", "node").alias("by"))
-    mixed = wide.groupBy("run").agg(F.min("by").alias("x"), F.max("by").alias("y")).filter("x <> y")
-    cross = pairs(wide.join(mixed.select("run"), "run"), True)
-    links = first.unionByName(_verified(docs, nodes, cross, bar))
+    links = first.unionByName(_verified(docs, nodes, _cross_pairs(wide, comp, nodes, bar), bar))
     comp = connected_components(links, "a", "b").select("node", F.col("component").alias("c"))
     # components are of nodes; name each by its smallest document
     named = nodes.select("node", "rep").join(comp, "node", "left").withColumn("c", F.coalesce("c", "node"))
@@ -392,6 +388,56 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
             F.when(F.col("n_shingles") > 0, F.col("component_id")), "doc_id")).alias("component_id"))
 
 
+def _dealt(members: DataFrame, per_run: DataFrame) -> DataFrame:
+    """Members (run, k, node, ...) joined with their run's rows of ``per_run`` (run, k, ...), ``CHUNK`` members or so at a time."""
+    parts = F.col("k").cast("long")
+    each = per_run.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(parts / CHUNK)))).drop("k")
+    return members.withColumn("deal", F.pmod(F.xxhash64("node"), F.floor(parts / CHUNK) + 1)).join(each, ["run", "deal"]).drop("deal")
+
+
+def _star_pairs(wide: DataFrame, nodes: DataFrame, bar: float) -> DataFrame:
+    """Each run's members with its leaders: the member in most runs, and the one of the smallest hash."""
+    central = wide.groupBy("node").agg(F.count(F.lit(1)).alias("by"))
+    lead = wide.join(central, "node").groupBy("run").agg(
+        F.max("k").alias("k"), F.max(F.struct("by", "node"))["node"].alias("x"),
+        F.min(F.struct(F.xxhash64("node").alias("h"), "node"))["node"].alias("y"))
+    lead = lead.select("run", "k", F.explode(F.array_distinct(F.array("x", "y"))).alias("lead"))
+    pairs = _dealt(wide, lead).filter("node <> lead").select(
+        F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+
+    def side(x: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.filter(_may_link(bar)("n_a", "n_b", "sketch_a", "sketch_b")).select("a", "b")
+
+
+def _cross_pairs(wide: DataFrame, comp: DataFrame, nodes: DataFrame, bar: float) -> DataFrame:
+    """Pairs of a run's members that the links found so far leave in different components.
+
+    Homes, those outside the run's largest component, meet all its members, the
+    guests.  Both are dealt into chunks; a tile is one chunk of homes and one of guests.
+    """
+    named = wide.join(comp, "node", "left").select("run", "k", "node", F.coalesce("c", "node").alias("by"))
+    size = named.groupBy("run", "by").agg(F.count(F.lit(1)).alias("size"), F.max("k").alias("k"))
+    size = size.groupBy("run").agg(F.max("k").alias("k"), F.sum("size").alias("all"), F.max(F.struct("size", "by")).alias("top"))
+    mixed = size.filter("top.size < all").select("run", "k", F.col("top.by").alias("main"),
+                                                 F.floor((F.col("all") - F.col("top.size")) / CHUNK).alias("homes"))
+    members = _dealt(named, mixed).withColumn("away", F.col("by") != F.col("main")).join(nodes.drop("rep"), "node")
+    members = members.withColumn("x", F.pmod(F.xxhash64("node"), F.floor(F.col("k") / CHUNK) + 1)).withColumn(
+        "y", F.pmod(F.xxhash64("node", F.lit(1)), F.col("homes") + 1))
+    cols = ["run", "node", "by", "n", "sketch"]
+    zero = F.lit(0).cast("long")
+    guests = members.select(*cols, "x", F.explode(F.sequence(zero, "homes")).alias("ty"), "y", "away").select(
+        *cols, "x", F.col("ty").alias("y"), (F.col("away") & (F.col("ty") == F.col("y"))).alias("home"), F.lit(True).alias("guest"))
+    homes = members.filter(F.col("away") & (F.col("k") >= CHUNK)).select(
+        *cols, F.explode(F.sequence(zero, F.floor(F.col("k") / CHUNK))).alias("tx"), "x", "y").filter("tx <> x").select(
+        *cols, F.col("tx").alias("x"), "y", F.lit(True).alias("home"), F.lit(False).alias("guest"))
+    tiles = guests.unionByName(homes).groupBy("run", "x", "y").agg(
+        F.collect_list(F.struct("node", "by", "n", "sketch", "home", "guest")).alias("members")).select("members")
+    return tiles.mapInPandas(_pairs_of_tiles(bar), "a long, b long").distinct()
+
+
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, bar: float) -> DataFrame:
     """The pairs (a, b) of nodes whose sets reach the bar."""
     def side(x: str) -> DataFrame:
