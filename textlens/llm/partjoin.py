@@ -51,7 +51,7 @@ from textlens.operators.components import connected_components
 SHINGLE = 5
 BUCKET_BYTES = 10 << 20
 FLUSH_KEYS = 3_000_000
-CHUNK = 2048
+CHUNK, BULK, PLACE_ROWS = 2048, 64, 4096
 BITMAP_BITS = 1 << 23
 _U = np.uint64
 _C = [_U(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
@@ -307,48 +307,79 @@ def _within(n: np.ndarray, m: np.ndarray, bits: np.ndarray, top: int) -> np.ndar
     return 100 * (s - d) >= top * (s + d)
 
 
+def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many bits the sketches of two rows differ, folded to the smaller size."""
+    d = np.zeros(len(x), np.int64)
+    shape = np.array([(len(a), len(b)) for a, b in zip(x, y)], np.int64).reshape(-1, 2)
+    for lx, ly in np.unique(shape, axis=0):
+        at = np.flatnonzero((shape == (lx, ly)).all(axis=1))
+        size = int(min(lx, ly))
+        d[at] = np.bitwise_count(_rows_of(list(x[at]), size) ^ _rows_of(list(y[at]), size)).sum(axis=1, dtype=np.int64)
+    return d
+
+
 def _may_link(bar: float):
     """The exact bound on rows of two sets."""
     top = _percent(bar)
 
     @F.pandas_udf("boolean")
     def possible(n: pd.Series, m: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
-        out = np.zeros(len(n), bool)
-        n, m = n.to_numpy(np.int64), m.to_numpy(np.int64)
-        x, y = x.to_numpy(object), y.to_numpy(object)
-        shape = np.array([(len(a), len(b)) for a, b in zip(x, y)], np.int64).reshape(-1, 2)
-        for lx, ly in np.unique(shape, axis=0):
-            at = np.flatnonzero((shape == (lx, ly)).all(axis=1))
-            size = int(min(lx, ly))
-            d = np.bitwise_count(_rows_of(list(x[at]), size) ^ _rows_of(list(y[at]), size)).sum(axis=1, dtype=np.int64)
-            out[at] = _within(n[at], m[at], d, top)
-        return pd.Series(out)
+        return pd.Series(_within(n.to_numpy(np.int64), m.to_numpy(np.int64), _distance(x.to_numpy(object), y.to_numpy(object)), top))
     return possible
 
 
 def _pairs_of_tiles(bar: float):
-    """Pairs (home, guest) of a tile, of different components, that the bounds allow."""
+    """Pairs (home, guest) of a tile, of different components, that the bounds allow; tiles of up to ``BULK`` rows many at a time."""
     top, strip = _percent(bar), 128
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for members in frame["members"]:
-                node, group, n = (np.array([m[c] for m in members]) for c in ("node", "by", "n"))
-                home, guest = (np.flatnonzero([m[c] for m in members]) for c in ("home", "guest"))
-                if not len(home) or not len(guest):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[tuple[int, int]] = set()
+
+        def new(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+            pairs = set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())) - sent
+            if pairs:
+                if len(sent) > 2_000_000:
+                    sent.clear()
+                sent.update(pairs)
+                both = np.array(sorted(pairs), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+
+        for batch in batches:
+            lists = batch.column(0)
+            rows = lists.flatten()
+            node, group, n, home, guest = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("node", "by", "n", "home", "guest"))
+            bits = rows.field("sketch").to_numpy(zero_copy_only=False)
+            size = np.asarray(lists.value_lengths())
+            start = np.cumsum(size) - size
+            few = np.flatnonzero(size <= BULK)
+            for k in range(0, len(few), BULK):
+                s, at = size[few[k:k + BULK]], start[few[k:k + BULK]]
+                grid = s * s
+                place = np.arange(grid.sum()) - np.repeat(np.cumsum(grid) - grid, grid)
+                wide, base = np.repeat(s, grid), np.repeat(at, grid)
+                i, j = base + place // wide, base + place % wide
+                # two homes that are guests too would come twice
+                ok = home[i] & guest[j] & (group[i] != group[j]) & ~(home[j] & guest[i] & (i > j))
+                ok &= _within(n[i], n[j], np.zeros(len(i), np.int64), top)
+                i, j = i[ok], j[ok]
+                once = np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]), axis=1, return_index=True)[1]
+                i, j = i[once], j[once]
+                ok = _within(n[i], n[j], _distance(bits[i], bits[j]), top)
+                yield from new(node[i[ok]], node[j[ok]])
+            for t in np.flatnonzero(size > BULK):
+                mine = np.arange(start[t], start[t] + size[t])
+                sketches = _folded(list(bits[mine]))
+                hosts, others = np.flatnonzero(home[mine]), np.flatnonzero(guest[mine])
+                if not len(others):
                     continue
-                bits = _folded([m["sketch"] for m in members])
-                found = []
-                for k in range(0, len(home), strip):
-                    own = home[k:k + strip]
-                    d = np.zeros((len(own), len(guest)), np.int64)
-                    for w in range(bits.shape[1]):
-                        d += np.bitwise_count(bits[own, w][:, None] ^ bits[guest, w][None])
-                    ok = _within(n[own][:, None], n[guest][None], d, top) & (group[own][:, None] != group[guest][None])
-                    i, j = np.nonzero(ok)
-                    a, b = node[own[i]], node[guest[j]]
-                    found.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0))
-                yield pd.DataFrame(np.concatenate(found), columns=["a", "b"])
+                for k in range(0, len(hosts), strip):
+                    own = hosts[k:k + strip]
+                    d = np.zeros((len(own), len(others)), np.int64)
+                    for w in range(sketches.shape[1]):
+                        d += np.bitwise_count(sketches[own, w][:, None] ^ sketches[others, w][None])
+                    ok = _within(n[mine[own]][:, None], n[mine[others]][None], d, top)
+                    i, j = np.nonzero(ok & (group[mine[own]][:, None] != group[mine[others]][None]))
+                    yield from new(node[mine[own[i]]], node[mine[others[j]]])
     return run
 
 
@@ -374,6 +405,8 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     # a run is named by its members: the same on every attempt (two runs of one name would only be compared together)
     wide = cut_lineage(runs.select(F.xxhash64("members").alias("run"), F.size("members").alias("k"),
                                    F.explode("members").alias("node")), "wide")
+    central = wide.groupBy("node").agg(F.count(F.lit(1)).alias("runs"))
+    wide = cut_lineage(wide.join(central, "node"), "central")
     stars = _star_pairs(wide, nodes, bar)
     first = cut_lineage(_verified(docs, nodes, stars, bar), "links")
     comp = cut_lineage(connected_components(first, "a", "b").withColumnRenamed("component", "c"), "comp")
@@ -397,9 +430,8 @@ def _dealt(members: DataFrame, per_run: DataFrame) -> DataFrame:
 
 def _star_pairs(wide: DataFrame, nodes: DataFrame, bar: float) -> DataFrame:
     """Each run's members with its leaders: the member in most runs, and the one of the smallest hash."""
-    central = wide.groupBy("node").agg(F.count(F.lit(1)).alias("by"))
-    lead = wide.join(central, "node").groupBy("run").agg(
-        F.max("k").alias("k"), F.max(F.struct("by", "node"))["node"].alias("x"),
+    lead = wide.groupBy("run").agg(
+        F.max("k").alias("k"), F.max(F.struct("runs", "node"))["node"].alias("x"),
         F.min(F.struct(F.xxhash64("node").alias("h"), "node"))["node"].alias("y"))
     lead = lead.select("run", "k", F.explode(F.array_distinct(F.array("x", "y"))).alias("lead"))
     pairs = _dealt(wide, lead).filter("node <> lead").select(
@@ -418,24 +450,29 @@ def _cross_pairs(wide: DataFrame, comp: DataFrame, nodes: DataFrame, bar: float)
     Homes, those outside the run's largest component, meet all its members, the
     guests.  Both are dealt into chunks; a tile is one chunk of homes and one of guests.
     """
-    named = wide.join(comp, "node", "left").select("run", "k", "node", F.coalesce("c", "node").alias("by"))
-    size = named.groupBy("run", "by").agg(F.count(F.lit(1)).alias("size"), F.max("k").alias("k"))
-    size = size.groupBy("run").agg(F.max("k").alias("k"), F.sum("size").alias("all"), F.max(F.struct("size", "by")).alias("top"))
+    named = wide.join(comp, "node", "left").select("run", "k", "node", "runs", F.coalesce("c", "node").alias("by"))
+    size = named.groupBy("run", "by").agg(F.count(F.lit(1)).alias("size"), F.max("k").alias("k"), F.max("runs").alias("runs"))
+    size = size.groupBy("run").agg(F.max("k").alias("k"), F.sum("size").alias("all"), F.max(F.struct("size", "runs", "by")).alias("top"))
     mixed = size.filter("top.size < all").select("run", "k", F.col("top.by").alias("main"),
                                                  F.floor((F.col("all") - F.col("top.size")) / CHUNK).alias("homes"))
-    members = _dealt(named, mixed).withColumn("away", F.col("by") != F.col("main")).join(nodes.drop("rep"), "node")
+    mixed = cut_lineage(mixed, "mixed")
+    # runs of one largest component meet in as many places as their rows need: a task sends a pair once
+    load = mixed.groupBy("main").agg(F.floor(F.sum(F.col("k") * (F.col("homes") + 1)) / PLACE_ROWS).alias("salts"))
+    mixed = mixed.join(load, "main").withColumn("salt", F.pmod(F.xxhash64("run"), F.col("salts") + 1)).drop("salts")
+    members = _dealt(named.drop("runs"), mixed).withColumn("away", F.col("by") != F.col("main")).join(nodes.drop("rep"), "node")
     members = members.withColumn("x", F.pmod(F.xxhash64("node"), F.floor(F.col("k") / CHUNK) + 1)).withColumn(
         "y", F.pmod(F.xxhash64("node", F.lit(1)), F.col("homes") + 1))
-    cols = ["run", "node", "by", "n", "sketch"]
+    cols = ["run", "main", "salt", "node", "by", "n", "sketch"]
     zero = F.lit(0).cast("long")
     guests = members.select(*cols, "x", F.explode(F.sequence(zero, "homes")).alias("ty"), "y", "away").select(
         *cols, "x", F.col("ty").alias("y"), (F.col("away") & (F.col("ty") == F.col("y"))).alias("home"), F.lit(True).alias("guest"))
     homes = members.filter(F.col("away") & (F.col("k") >= CHUNK)).select(
         *cols, F.explode(F.sequence(zero, F.floor(F.col("k") / CHUNK))).alias("tx"), "x", "y").filter("tx <> x").select(
         *cols, F.col("tx").alias("x"), "y", F.lit(True).alias("home"), F.lit(False).alias("guest"))
-    tiles = guests.unionByName(homes).groupBy("run", "x", "y").agg(
+    place = F.xxhash64("main", "salt", "x", "y").alias("place")
+    tiles = guests.unionByName(homes).select("*", place).drop("main", "salt").repartition("place").groupBy("place", "run", "x", "y").agg(
         F.collect_list(F.struct("node", "by", "n", "sketch", "home", "guest")).alias("members")).select("members")
-    return tiles.mapInPandas(_pairs_of_tiles(bar), "a long, b long").distinct()
+    return tiles.mapInArrow(_pairs_of_tiles(bar), "a long, b long").distinct()
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, bar: float) -> DataFrame:
