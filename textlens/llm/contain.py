@@ -65,6 +65,11 @@ def _text(size: int) -> Column:
     return F.concat_ws(" ", *(f"w{i}" for i in range(size)))
 
 
+def _same_row(a: str, b: str) -> Column:
+    """Rows of one text under one id, null ids included."""
+    return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.text_key") == F.col(f"{b}.text_key"))
+
+
 def contained(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
               item_col: str = "item_id", item_text_col: str = "text", bar: float = 0.75,
               size: int = SHINGLE) -> DataFrame:
@@ -90,13 +95,14 @@ def contained(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text
     # a document with fewer shingles than an item needs cannot hold it
     found = (hashes.join(signature, "h").filter(F.greatest(F.col("n_words") - (size - 1), F.lit(1)) >= F.col("need"))
              .select("doc_id", "text_key", "item_id").distinct())
-    key = F.struct("doc_id", "text_key")
-    # read twice: written, so that the documents are searched once
-    found = cut_lineage(found.select(F.to_json(key).alias("row"), "item_id"), "found")
-    texts = (docs.withColumn("row", F.to_json(key)).join(found.select("row").distinct(), "row", "left_semi"))
-    held = _shingles(texts, "text", size, "doc_id", "text_key", "row", short=short).select("doc_id", "text_key", "row", _text(size).alias("shingle"))
+    # read three times: written, so that the documents are searched once and numbers of a known size meet their texts
+    found = cut_lineage(found, "found")
+    rows = cut_lineage(found.select("doc_id", "text_key").distinct(), "rows")
+    texts = docs.alias("d").join(rows.alias("r"), _same_row("d", "r"), "left_semi")
+    held = _shingles(texts, "text", size, "doc_id", "text_key", short=short).select("doc_id", "text_key", _text(size).alias("shingle"))
     common = (held.join(own.select("shingle", "item_id", "n_item", "need"), "shingle").distinct()
-              .groupBy("doc_id", "text_key", "row", "item_id", "n_item", "need").agg(F.count(F.lit(1)).alias("n_common"))
-              .filter("n_common >= need").join(found, ["row", "item_id"], "left_semi"))
+              .groupBy("doc_id", "text_key", "item_id", "n_item", "need").agg(F.count(F.lit(1)).alias("n_common"))
+              .filter("n_common >= need"))
+    common = common.alias("c").join(found.alias("f"), _same_row("c", "f") & (F.col("c.item_id") == F.col("f.item_id")), "left_semi")
     return common.select("doc_id", "text_key", "item_id", "n_item", "n_common",
                          (F.col("n_common") / F.col("n_item")).alias("containment"))
