@@ -14,10 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlens.llm import contain, mixing, nbsvm, partjoin, shards
-from textlens.llm.common import cut_lineage, table
+from textlens.llm.common import bitmap, cut_lineage, marked, table
 from textlens.llm.queries import QUALITY_BAR, quality_model
 from textlens.session import apply_defaults
 
+BITMAP_BITS = 1 << 23
+
 
 def _name(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
@@ -68,14 +70,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     def keys(rows: str) -> DataFrame:
         return texts.filter(rows).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
 
+    bit = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")), F.lit(BITMAP_BITS))
+    bits = bitmap(texts.withColumn("_bit", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(BITMAP_BITS))), "_bit", BITMAP_BITS)
     rows, own = _aside(docs, "_id", "_key")
+    # a bitmap of fixed size lets most texts stay where they are; only those that it marks meet the exact keys
+    clear = rows.filter(~marked(bits)(bit)).select(*own)
+    rows = rows.filter(marked(bits)(bit))
     same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
     left = rows.join(keys("goes"), same, "left_anti")
     again = cut_lineage(keys("not goes and rows > 1"), "again")
     if again.isEmpty():
-        return left.select(*own)
+        return clear.unionByName(left.select(*own))
     one = left.join(again, same, "left_semi").withColumn("_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_key"])
-    return left.join(again, same, "left_anti").select(*own).unionByName(one.select(*own))
+    return clear.unionByName(left.join(again, same, "left_anti").select(*own)).unionByName(one.select(*own))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

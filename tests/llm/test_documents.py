@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from textlens.llm.common import bitmap, marked
 from textlens.llm import contain, licenses, mixing, nbsvm, partjoin, pii, shards, superkmer
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -209,6 +210,21 @@ def test_decontamination(spark, docs, rows, empty):
     assert contain.contained(empty, bench).count() == 0 and contain.contained(docs, bench.limit(0)).count() == 0
 
 
+def test_rows_with_candidates_are_named_by_numbers(spark):
+    """What is found meets the documents as two numbers a row, so that it stays small enough to be sent to them."""
+    docs = spark.createDataFrame([(1, "one two three four five six"), (None, "one two three four five"), (None, None)],
+                                 "doc_id long, text string")
+    got = contain.contained(docs.union(docs), spark.createDataFrame([(7, "one two three four five")], "item_id long, text string"))
+    assert "to_json" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.doc_id or 0, r.item_id) for r in got.collect()) == [(0, 7), (1, 7)]
+
+
+def test_a_bitmap_marks_its_positions(spark):
+    bits = bitmap(spark.createDataFrame([(0,), (9,), (40000,), (65535,)], "p long"), "p", 1 << 16)
+    got = spark.range(1 << 16).filter(marked(bits)("id")).collect()
+    assert sorted(r.id for r in got) == [0, 9, 40000, 65535]
+
+
 def test_short_items_are_found_inside_long_documents(spark):
     texts = {1: "zero one two three four five six seven", 2: "one two three", 3: "one two four three five six", 4: "One\tTWO three",
              5: "two", 6: "zero two zero", 7: None, 8: "", 9: "x " * 4000 + "one two three " + "y " * 4000}
