@@ -4,6 +4,7 @@ import os
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -198,3 +199,16 @@ def test_ranks_count_rows_in_order(spark):
     assert [(x, i) for _, x, i in got] == sorted(((x, i) for i, x in rows), key=lambda r: (-r[0], r[1]))
     assert [n for n, _, _ in got] == list(range(1, 501))
     assert with_rank(df.limit(0), [F.asc("x")]).count() == 0
+
+
+def test_words_are_hashed_once_a_batch(spark, monkeypatch):
+    """The task's slots are those of ``hashed_slots``; a repeated word is hashed once."""
+    texts = ["good good bad", "", "bad é 漢字 good", "good"]
+    lists = [t.split() for t in texts]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "id long, t array<string>")
+    want = [r.s for r in df.select("id", F.sort_array(sco.hashed_slots("t")).alias("s")).orderBy("id").collect()]
+    asked, md5 = [], sco.hashlib.md5
+    monkeypatch.setattr(sco.hashlib, "md5", lambda w: asked.append(w) or md5(w))
+    got = sco.slots_of(pa.array([[], *lists], pa.list_(pa.string())).slice(1)).to_pylist()
+    assert [sorted(x) for x in got] == want and len(asked) == 4
+    assert sco.slots_of(pa.array([[]], pa.list_(pa.string()))).to_pylist() == [[]]

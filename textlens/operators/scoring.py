@@ -18,6 +18,7 @@ confidence``.  There are two kinds:
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 from collections.abc import Callable, Iterator, Sequence
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlens.constants import LABELS
-from textlens.functions.text import N_SLOTS, clean_text, hashed_slots, with_bigrams, word_tokens
+from textlens.functions.text import N_SLOTS, SLOT_BITS, clean_text, hashed_slots, with_bigrams, word_tokens
 from textlens.session import cut_lineage
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -137,11 +138,21 @@ def rows_of(slots: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(slots)), np.diff(ends)), values
 
 
+def slots_of(tokens: pa.Array) -> pa.Array:
+    """``hashed_slots`` of lists of words: each word of a batch is hashed once, however often it occurs."""
+    ends = tokens.offsets.to_numpy()
+    words = tokens.values.slice(ends[0], ends[-1] - ends[0]).cast(pa.binary()).dictionary_encode()
+    heads = np.array([int.from_bytes(hashlib.md5(w).digest()[:3]) for w in words.dictionary.to_pylist()], np.int32)
+    slots = (heads >> (24 - SLOT_BITS))[words.indices.to_numpy()] if len(heads) else heads
+    return pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), pa.array(slots, pa.int32()))
+
+
 @dataclass
 class HashedModel:
     """A linear model over hashed terms; ``weights`` is N_SLOTS x labels.
 
-    Without ``idf`` a text's features are the counts of its words; with it they
+    Without ``idf`` a text's features are the counts of its words, which are
+    hashed in the task, each once a batch; with it they
     are sublinear TF-IDF weights of its 1-2-grams, L2-normalised, where a slot
     of idf 0 is unknown.
     """
@@ -155,10 +166,10 @@ class HashedModel:
 
     def features(self, text: Column) -> Column:
         tokens = tokens_of(text)
-        return hashed_slots(tokens if self.idf is None else with_bigrams(tokens))
+        return tokens if self.idf is None else hashed_slots(with_bigrams(tokens))
 
     def predict(self, slots: pa.Array) -> np.ndarray:
-        row, slot = rows_of(slots)
+        row, slot = rows_of(slots_of(slots) if self.idf is None else slots)
         x = np.ones(len(slot))
         if self.idf is not None:
             row, slot, tf = counted(row, slot)
@@ -316,7 +327,7 @@ def lexicon_weights(labelled: DataFrame, text: str = "text", label: str = "label
 def lexicon_model(labelled: DataFrame, text: str = "text", label: str = "label_id", n_labels: int = len(LABELS),
                   min_df: int = 2, version: str = "lexicon-v1") -> HashedModel:
     """``lexicon_weights`` by slot instead of by term: one aggregation, N_SLOTS rows at most to the driver."""
-    docs = labelled.select(F.col(label).alias("_y"), F.array_distinct(hashed_slots(tokens_of(clean_text(F.col(text))))).alias("_s"))
+    docs = labelled.select(F.col(label).alias("_y"), F.array_distinct(hashed_slots(F.array_distinct(tokens_of(clean_text(F.col(text)))))).alias("_s"))
     per = docs.select("_y", F.explode(F.concat(F.array(F.lit(-1)), F.coalesce("_s", F.array().cast("array<int>")))).alias("slot"))
     per = per.groupBy("slot").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("_y") == i).alias(f"n{i}") for i in range(n_labels)])
     got = per.filter((F.col("n") >= min_df) | (F.col("slot") < 0)).toArrow()
