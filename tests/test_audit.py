@@ -1,9 +1,13 @@
 """M6 (FIXTURES §4): threshold inclusive, agreement dropped, earlier rounds
 excluded, top_n 0 = no limit."""
 
+import re
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from textlens.operators.audit import audit_candidates
+from textlens.operators.scoring import IteratorScorer
 
 
 def fake_scorer(spark, table):
@@ -56,3 +60,15 @@ def test_audit_csv_round_trip(spark, tmp_folder):
     third = audit_csv(spark, f"file://{corpus}", [], sc, f"file://{tmp_folder}/rounds", stamp="t3")
     rows = pd.concat(pd.read_csv(p) for p in glob.glob(os.path.join(third.replace("file://", ""), "*.csv")))
     assert rows["text"].tolist() == ["seen before"]
+
+
+def test_each_row_is_scored_once_and_texts_meet_by_keys(spark):
+    """Filters on the prediction are not pushed below it, nor to the earlier rounds; whole texts are not join keys."""
+    rows = spark.createDataFrame([(i, f"some text {i}", "Positive") for i in range(40)], "row_id long, text string, label string")
+    rows = rows.repartition(2, "row_id")
+    seen = spark.createDataFrame([("some text 3",), (None,)], "text string")
+    scorer = IteratorScorer(lambda: None, lambda _, texts: np.tile([0.01, 0.01, 0.98], (len(texts), 1)))
+    out = audit_candidates(rows, scorer, [seen])
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert p.count("ArrowEvalPython") == 1 and not re.search(r"hashpartitioning\(text|Join \[text", p)
+    assert {r.row_id for r in out.collect()} == set(range(40)) - {3}

@@ -94,7 +94,11 @@ class IteratorScorer:
         return run
 
     def column(self, text: Column) -> Column:
-        """Label and confidence of a cleaned text, as one expression."""
+        """Label and confidence of a cleaned text, as one expression.
+
+        Declared non-deterministic: a filter on the results would else be pushed below them, and through
+        joins on the text, and each copy would ask the model anew.
+        """
         load, run = self.load, self._scored()
 
         @F.arrow_udf(SCORED)
@@ -102,7 +106,7 @@ class IteratorScorer:
             model = load()
             for batch in batches:
                 yield run(model, batch)
-        return scored(self.prepare(text))
+        return scored.asNondeterministic()(self.prepare(text))
 
     def columns(self, texts: Column) -> Column:
         """Label and confidence of each of an array of cleaned texts, without taking the array apart."""
