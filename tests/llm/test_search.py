@@ -6,11 +6,13 @@ from collections import defaultdict
 from itertools import permutations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from oracle_check import check
 from textlens.llm import filter_audit, hardneg, topk
+from textlens.llm.vectors import widened
 
 SF = "/root/testdata/sf0.001"
 
@@ -216,3 +218,38 @@ def test_filter_audit(spark, monkeypatch, size):
     assert sorted(rows) == sorted(want)
     assert filter_audit.audit(df.limit(0), lab).count() == 0
     assert {r.good_lost for r in filter_audit.audit(df, lab.limit(0)).collect()} == {0}
+
+
+def test_blocks_of_a_search_are_never_broadcast(spark, monkeypatch):
+    """Copies of packed blocks look small to Spark; a broadcast of them would fill the driver."""
+    rng = np.random.default_rng(9)
+    rows = [(i, (rng.standard_normal(12) / 4).tolist(), "x") for i in range(400)]
+    monkeypatch.setattr(topk, "BLOCK", 60)
+    monkeypatch.setattr(topk, "QUERIES", 2)
+    plans, cut = [], topk.cut_lineage
+    monkeypatch.setattr(topk, "cut_lineage", lambda df, name: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or cut(df, name))
+    got = topk.search(frame(spark, rows))
+    assert plans and not any("Broadcast" in p for p in plans) and any("SortMergeJoin" in p for p in plans)
+    assert got.count() == 8 * 5
+
+
+@pytest.mark.parametrize("dense, next_", [(1, 2), (4, 3), (50, 64)])
+@pytest.mark.parametrize("size", [9, 1 << 12, 1 << 21, 1 << 28])
+def test_scores_of_a_tile_are_exact(monkeypatch, dense, next_, size):
+    """Terms that many and few candidates hold, weights beyond doubles, terms that no candidate holds."""
+    monkeypatch.setattr(topk, "DENSE", dense)
+    monkeypatch.setattr(topk, "NEXT", next_)
+    monkeypatch.setattr(topk, "SCORES", 150)
+    rng = np.random.default_rng(10)
+    some = lambda n, width: [[int(x) * (rng.random() < 0.2 + 0.7 * (i % 3 == 0)) for i, x in enumerate(rng.integers(-size, size, width))] for _ in range(n)]
+    c, q = some(40, 9), some(12, 11)
+    table = lambda ids, v, key: pa.table({"vec_id": pa.array(ids, pa.int64()), "v": pa.array(v, pa.list_(pa.int64())), key: pa.array([0] * len(v), pa.int32())})
+    lists, rows = topk._inverted(table(range(5, 45), c, "cb")), topk._sparse_rows(table(range(12), q, "qb"))
+    tile = [widened(t[k][0]) for t in (lists, rows) for k in ("ids", "starts", "others", "weights")]
+    got = {(int(a), int(b), int(s)) for x in topk._tile(*tile, 3) for a, b, s in zip(*x)}
+    want = set()
+    for i in range(12):
+        best = sorted((-dot(q[i], c[j]), 5 + j) for j in range(40) if 5 + j != i)[:3]
+        want |= {(i, j, -s) for s, j in best}
+    assert got == want

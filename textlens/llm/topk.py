@@ -5,16 +5,21 @@ weights the components as whole numbers, zeros left out.  Candidates are dealt
 into blocks by a hash of their id; a block is an inverted file: the posting
 list (candidate, weight) of every term.  Queries are dealt into blocks of
 sparse rows.  Each pair of a candidate block and a query block is one tile.  In
-a tile, a query's terms are taken one after the other, each scattering weight
-times posting weights into a dense array of scores; the k best of the array
-are selected by partition.  Spark merges the bests of all tiles by query, cut
-to k per query on both sides of the shuffle.
+a tile, scores are added up term by term in a dense array: a term that at least
+one candidate in ``DENSE`` holds has its list laid out as a row, and a group of queries
+takes all such rows by one matrix product (in floats or doubles, where these hold
+every sum exactly); the others are scattered one after the other, weight times
+posting weights.  The k best of the array are selected by partition.  Spark
+merges the bests of all tiles by query, cut to k per query on both sides of the
+shuffle.
 
 Nothing is pruned: every query meets every candidate, once.  Work is queries
-times candidates; what a task holds is one tile (``BLOCK`` candidates or
-``POSTINGS`` weights, ``QUERIES`` queries), whatever the input.  Both sides are
-copied to the tiles of their row or column, so the shuffle grows with
-candidates * query blocks + queries * candidate blocks, in packed numbers.
+times candidates; what a task holds is one tile (``BLOCK`` candidates, ``QUERIES``
+queries, ``POSTINGS`` weights of each, all at most and on average) and ``SCORES``
+scores, whatever the input.  Query blocks are copied to the candidate blocks, which
+are sent once (a few times where there are fewer of them than cores), in the
+narrowest whole numbers that hold them.  No block is ever broadcast: Spark judges
+by the files of the blocks, which are far smaller than what they hold.
 
 Defined results: vectors that are null or hold null or non-finite components,
 and rows with a null id, take no part; an id with several rows counts with its
@@ -35,10 +40,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textlens.llm.common import cut_lineage
-from textlens.llm.vectors import one_per_id
+from textlens.llm.vectors import narrow, one_per_id, widened
+from textlens.session import one_row_batches
 
-#: Rows of a candidate block, weights of one, rows of a query block (on average).
-BLOCK, POSTINGS, QUERIES = 8192, 1 << 21, 512
+#: Rows of a candidate block, weights of a block, rows of a query block (on average).
+BLOCK, POSTINGS, QUERIES = 32768, 1 << 21, 8192
+#: Candidates that share a block at least, on average, where there are fewer blocks than cores.
+SPREAD = 4096
+#: One candidate in so many holds a dense term; scores that a task holds; neighbours whose best is looked at first.
+DENSE, SCORES, NEXT = 4, 1 << 22, 64
 
 _PACKED = "ids binary, starts binary, others binary, weights binary"
 
@@ -61,7 +71,7 @@ def _packed(key: dict, ids: np.ndarray, by: np.ndarray, n: int, others: np.ndarr
     starts = np.searchsorted(by, np.arange(n + 1))
     cols = {"ids": ids, "starts": starts, "others": others, "weights": weights}
     return pa.table({**{k: pa.array([x], pa.int32()) for k, x in key.items()},
-                     **{k: pa.array([np.asarray(x, np.int64).tobytes()], pa.binary()) for k, x in cols.items()}})
+                     **{k: pa.array([narrow(x)], pa.binary()) for k, x in cols.items()}})
 
 
 def _inverted(table: pa.Table) -> pa.Table:
@@ -89,26 +99,61 @@ def best(scores: np.ndarray, k: int, without: int = -1) -> np.ndarray:
     return pick[np.argsort(-scores[pick], kind="stable")[:k]]
 
 
+def _bests(scores: np.ndarray, k: int, without: np.ndarray) -> Iterator[np.ndarray]:
+    """``best`` of every row; the k-th best of the greatest of ``NEXT`` neighbours each is a bar that k scores reach."""
+    n, parts = scores.shape[1], scores.shape[1] // NEXT
+    if parts <= k + 1:
+        yield from (best(s, k, w) for s, w in zip(scores, without))
+        return
+    top = scores[:, :parts * NEXT].reshape(len(scores), parts, NEXT).max(2)
+    bar = np.partition(top, parts - k - 1, axis=1)[:, parts - k - 1]
+    for s, least, w in zip(scores, bar, without):
+        some = np.flatnonzero(s >= least)
+        place = np.searchsorted(some, w) if w >= 0 else -1
+        yield some[best(s[some], k, place if w >= 0 and place < len(some) and some[place] == w else -1)]
+
+
+def _tile(ids, lists, rows, weights, q_ids, q_rows, q_terms, q_weights, k: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(query, candidate, score) of the k best of each query of a tile."""
+    n, own = len(ids), np.searchsorted(ids, q_ids)
+    own = np.where((own < n) & (ids[np.minimum(own, n - 1)] == q_ids), own, -1)
+    held = np.diff(lists)
+    q_row = np.repeat(np.arange(len(q_ids)), np.diff(q_rows))
+    # floats hold the sums of products of rows of these lengths exactly, doubles longer ones
+    square = lambda row, x, size: np.bincount(row, x.astype(np.float64) ** 2, size).max(initial=0)
+    most = square(q_row, q_weights, len(q_ids)) * square(rows, weights, n)
+    kind = np.float32 if most < 2.0 ** 46 else np.float64 if most < 2.0 ** 104 else np.int64
+    dense = np.flatnonzero(held * DENSE >= n) if kind != np.int64 else np.zeros(0, np.int64)
+    place = np.full(len(held) + 1, -1)                          # the last: terms that no candidate holds
+    place[dense] = np.arange(len(dense))
+    laid = np.zeros((len(dense), n), kind)
+    for r, t in enumerate(dense):
+        span = slice(lists[t], lists[t + 1])
+        laid[r, rows[span]] = weights[span]
+    q_terms = np.minimum(q_terms, len(held))
+    at = place[q_terms]
+    sparse = (at < 0) & (q_terms < len(held))
+    step = max(SCORES // max(n, 1), 1)
+    for a in range(0, len(q_ids), step):
+        b = min(a + step, len(q_ids))
+        x = np.zeros((b - a, len(dense)), kind)
+        span = slice(q_rows[a], q_rows[b])
+        some = at[span] >= 0
+        x[q_row[span][some] - a, at[span][some]] = q_weights[span][some]
+        scores = x @ laid
+        for j in np.flatnonzero(sparse[span]) + q_rows[a]:
+            listed = slice(lists[q_terms[j]], lists[q_terms[j] + 1])
+            scores[q_row[j] - a, rows[listed]] += q_weights[j] * weights[listed]
+        for q, pick in zip(range(a, b), _bests(scores, k, own[a:b])):
+            yield np.full(len(pick), q_ids[q]), ids[pick], scores[q - a, pick].astype(np.int64)
+
+
 def _tiles(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                at = lambda c: np.frombuffer(batch[c][i].as_py(), np.int64)
-                ids, lists, rows, weights = at("ids"), at("starts"), at("others"), at("weights")
-                q_ids, q_rows, q_terms, q_weights = at("q_ids"), at("q_starts"), at("q_others"), at("q_weights")
-                own = np.searchsorted(ids, q_ids)
-                scores, found = np.empty(len(ids), np.int64), []
-                for q, query in enumerate(q_ids):
-                    scores[:] = 0
-                    for j in range(q_rows[q], q_rows[q + 1]):
-                        t = q_terms[j]
-                        if t + 1 < len(lists):
-                            span = slice(lists[t], lists[t + 1])
-                            scores[rows[span]] += q_weights[j] * weights[span]
-                    mine = own[q] if own[q] < len(ids) and ids[own[q]] == query else -1
-                    pick = best(scores, k, mine)
-                    found.append((np.full(len(pick), query), ids[pick], scores[pick]))
-                cols = [np.concatenate(c) for c in zip(*found)]
+                tile = [widened(batch[q + c][i]) for q in ("", "q_") for c in ("ids", "starts", "others", "weights")]
+                cols = [np.concatenate(c) for c in zip(*_tile(*tile, k))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["query_id", "vec_id", "score"])
     return run
 
@@ -121,19 +166,25 @@ def search(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "emb
     """
     asked = F.col("vec_id") % 50 == 0 if queries is None else queries
     rows = cut_lineage(one_per_id(vectors, id_col=id_col, vector_col=vector_col, bits=62), "vectors")
-    n = rows.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("v")), F.lit(0)).alias("weights"),
-                 F.count_if(asked).alias("queries")).first()
-    n_c = max(-(-n["rows"] // BLOCK), -(-n["weights"] // POSTINGS), 1)
-    n_q = max(-(-n["queries"] // QUERIES), 1)
+    size = F.size("v")
+    n = rows.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("weights"), F.count_if(asked).alias("queries"),
+                 F.coalesce(F.sum(F.when(asked, size)), F.lit(0)).alias("asked")).first()
+    par = rows.sparkSession.sparkContext.defaultParallelism
+    n_c = max(-(-n["rows"] // BLOCK), -(-n["weights"] // POSTINGS), min(2 * par, n["rows"] // SPREAD), 1)
+    n_q = max(-(-n["queries"] // QUERIES), -(-n["asked"] // POSTINGS), 1)
+    copies = min(-(-2 * par // n_c), n_q)
     block = lambda parts: F.pmod(F.xxhash64(F.lit(parts), "vec_id"), F.lit(parts)).cast("int")
     lists = rows.withColumn("cb", block(n_c)).groupBy("cb").applyInArrow(_inverted, f"cb int, {_PACKED}")
     sparse = rows.filter(asked).withColumn("qb", block(n_q)).groupBy("qb").applyInArrow(_sparse_rows, f"qb int, {_PACKED}")
     sparse = sparse.withColumnsRenamed({c: f"q_{c}" for c in ("ids", "starts", "others", "weights")})
-    # every block is packed once, then copied to its tiles
+    # every block is packed once; then candidate blocks are dealt out, and query blocks copied to each of them
     lists, sparse = cut_lineage(lists, "lists"), cut_lineage(sparse, "queries")
-    tiles = (lists.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))))
-             .join(sparse.withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1)))), ["cb", "qb"]))
-    found = tiles.drop("cb", "qb").mapInArrow(_tiles(k), "query_id long, vec_id long, score long")
+    lists = lists.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    sparse = sparse.withColumn("copy", F.col("qb") % copies).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))))
+    dealt = lambda x: x.repartition(min(n_c * copies, 4096), "cb", "copy")
+    tiles = dealt(sparse).join(dealt(lists).hint("merge"), ["cb", "copy"])
+    found = tiles.drop("cb", "qb", "copy").mapInArrow(_tiles(k), "query_id long, vec_id long, score long")
     ranked = found.selectExpr("query_id", "cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank",
                               "vec_id", "score")
-    return ranked.filter(F.col("rank") <= k)
+    with one_row_batches(rows.sparkSession):
+        return cut_lineage(ranked.filter(F.col("rank") <= k), "best")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,3 +32,16 @@ def one_per_id(df: DataFrame, *, id_col: str, vector_col: str, label_col: str |
     rows = rows.withColumn("v", whole(F.col("v"), bits))
     least = rows.groupBy("vec_id").agg(F.min(F.struct("label", "v")).alias("s"))
     return least.select("vec_id", *([] if label_col is None else [F.col("s.label").alias("label")]), F.col("s.v").alias("v"))
+
+
+def narrow(x: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as hold all of them, and how many these are."""
+    least, most = (int(x.min()), int(x.max())) if len(x) else (0, 0)
+    width = next(w for w in (1, 2, 4, 8) if -(1 << 8 * w - 1) <= least and most < 1 << 8 * w - 1)
+    return bytes([width]) + x.astype(f"<i{width}").tobytes()
+
+
+def widened(data: pa.BinaryScalar) -> np.ndarray:
+    """The numbers of ``narrow``, 8 bytes each."""
+    data = data.as_buffer()
+    return np.frombuffer(data, f"<i{data[0]}", offset=1).astype(np.int64)
