@@ -253,3 +253,25 @@ def test_scores_of_a_tile_are_exact(monkeypatch, dense, next_, size):
         best = sorted((-dot(q[i], c[j]), 5 + j) for j in range(40) if 5 + j != i)[:3]
         want |= {(i, j, -s) for s, j in best}
     assert got == want
+
+
+def test_tiles_of_hard_negatives_are_sent_once(spark, monkeypatch):
+    """No vector is copied for a block that an anchor reads, nothing is broadcast, and Python gets a row at a time."""
+    monkeypatch.setattr(hardneg, "BLOCK", 16)
+    monkeypatch.setattr(hardneg, "ZONES", 4)
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.standard_normal(12).tolist(), str(i % 3)) for i in range(2000)]
+    made, plans, cut = {}, [], hardneg.cut_lineage
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        made.setdefault(name, []).append((cut(df, name), df.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
+        return made[name][-1][0]
+
+    monkeypatch.setattr(hardneg, "cut_lineage", seen)
+    assert hardneg.mine(frame(spark, rows)).count() > 100
+    assert not any("Broadcast" in p for p in plans if "a_v" in p and "MapInArrow" in p)
+    assert {c for name in ("tiles", "near", "chosen", "best") for _, c in made[name]} == {"1"}
+    chosen, tiles = made["chosen"][0][0], made["tiles"][0][0]
+    assert chosen.columns == ["a", "z"] and chosen.count() <= tiles.count() * made["anchors"][0][0].select("a").distinct().count()
+    assert tiles.selectExpr("max(size(blocks))").first()[0] == 4 and tiles.selectExpr("sum(size(blocks))").first()[0] >= 125

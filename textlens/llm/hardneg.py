@@ -16,10 +16,15 @@ windows to the k-th best so far; the zone maps then choose all further blocks.
 Positives are one window without ends over rows of the same label; negatives
 are one window per positive over the other labels.
 
-Zone maps are met by anchors in tiles (``ZONES`` blocks, ``ANCHORS`` anchors), so no
-task holds all of either; what a tile chooses is one packed row of anchors per
-block.  Bounds cut what has structure; on vectors without any, every block is
-chosen for every anchor, and work is anchors times rows.
+Anchors are packed into tiles (``ANCHORS``) and blocks into tiles (``ZONES``), either
+of ``NUMBERS`` numbers at most.  Zone maps meet anchors first, tile by tile, and say
+which tiles of anchors must be copied to which tiles of blocks; there they say it
+once more for every block and anchor.  What is found in a tile lifts the windows
+for its further blocks, and only the best of a tile leave it.  So a task holds
+one tile of either, tiles of blocks are sent once (a few times where there are
+fewer of them than cores), and no vector is copied for a block.  Bounds cut
+what has structure; on vectors without any, every block is chosen for every
+anchor, and work is anchors times rows.
 
 Defined results: rows with a null id, label or vector, or with a null or
 non-finite component, take no part; an id with several rows counts with the
@@ -42,15 +47,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textlens.llm.common import cut_lineage
-from textlens.llm.vectors import one_per_id
+from textlens.llm.vectors import narrow, one_per_id, widened
+from textlens.session import one_row_batches
 
-#: Rows of a block, numbers of a block, blocks and anchors of a tile (both on average).
-BLOCK, NUMBERS, ZONES, ANCHORS = 512, 1 << 21, 1024, 256
+#: Rows of a block, numbers of a block or tile, blocks and anchors of a tile, at most.
+BLOCK, NUMBERS, ZONES, ANCHORS = 512, 1 << 21, 64, 4096
+#: Rows that a task finds before it keeps the best of them.
+FOUND = 1 << 17
 #: The curve runs through the first ``AXES`` components, each cut into 2 ** ``ORDER`` cells: 60 bits, a long.
 AXES, ORDER = 15, 4
 
-_ANCHOR = "anchor long, label string, v array<long>, home long, low array<long>, high array<long>"
-_PACK = "block long, ids binary, labels array<string>, v binary, low binary, high binary"
+_PACK = "tile long, ids binary, labels array<string>, homes binary, v binary, low binary, high binary"
 _FOUND = "anchor long, w int, vec_id long, score long"
 
 
@@ -121,7 +128,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low, high = _zone(x)
         row = {"block": first + made, "ids": _column(table, "vec_id").to_numpy().tobytes(),
                "labels": labels.dictionary.to_pylist(), "codes": labels.indices.to_numpy().astype(np.int32).tobytes(),
-               "v": x.tobytes(), "low": low, "high": high, "asks": _column(table, "asks").to_numpy(zero_copy_only=False).tobytes()}
+               "v": narrow(x.astype(np.int64).ravel()), "low": low, "high": high, "asks": _column(table, "asks").to_numpy(zero_copy_only=False).tobytes()}
         return pa.RecordBatch.from_pylist([row], _BLOCK_SCHEMA)
 
     for batch in batches:
@@ -161,28 +168,55 @@ def blocks(rows: DataFrame, asks: Column) -> DataFrame:
     return cut_lineage(placed.select("vec_id", "label", "v", "asks").mapInArrow(_blocks, _BLOCK), "blocks")
 
 
-def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(row["ids"], np.int64)
-    return ids, np.frombuffer(row["v"], np.float64).reshape(len(ids), -1)
+_TILE_SCHEMA = pa.schema([("z", pa.int64()), ("blocks", pa.list_(pa.int64())), ("ids", pa.list_(pa.binary())),
+                          ("labels", pa.list_(pa.list_(pa.string()))), ("codes", pa.list_(pa.binary())), ("v", pa.list_(pa.binary())),
+                          ("low", pa.list_(pa.binary())), ("high", pa.list_(pa.binary()))])
+_TILE = ("z long, blocks array<long>, ids array<binary>, labels array<array<string>>, codes array<binary>, v array<binary>, "
+         "low array<binary>, high array<binary>")
+
+
+def _tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Puts blocks that follow each other into tiles: one row each."""
+    held, numbers = [], 0
+
+    def out():
+        return pa.RecordBatch.from_pylist([{"z": held[0]["block"], "blocks": [r["block"] for r in held],
+                                            **{c: [r[c] for r in held] for c in _TILE_SCHEMA.names[2:]}}], _TILE_SCHEMA)
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            more = (len(row["v"]) - 1) // row["v"][0]
+            if held and (len(held) == ZONES or numbers + more > NUMBERS):
+                yield out()
+                held, numbers = [], 0
+            held.append(row)
+            numbers += more
+    if held:
+        yield out()
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(anchor, label, v, home) of the rows of each block that ask."""
+    """(anchor, label, v, home, a) of the rows of each block that ask; those of one tile ``a`` follow each other on the curve."""
+    first, tile, n, longest = TaskContext.get().partitionId() << 40, 0, 0, 0
     for batch in batches:
         for row in batch.to_pylist():
-            ids, x = _unpack(row)
+            ids = np.frombuffer(row["ids"], np.int64)
+            x = widened(row["v"]).reshape(len(ids), -1)
             codes = np.frombuffer(row["codes"], np.int32)
             pick = np.flatnonzero(np.frombuffer(row["asks"], bool))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[pick]), pa.array([row["labels"][c] for c in codes[pick]], pa.string()),
-                 pa.array(list(x[pick].astype(np.int64)), pa.list_(pa.int64())), pa.array(np.full(len(pick), row["block"]))],
-                ["anchor", "label", "v", "home"])
-
-
-def _pack(table: pa.Table, block: int, x: np.ndarray, low: np.ndarray, high: np.ndarray, pick: np.ndarray) -> dict:
-    labels = table["label"].take(pa.array(pick)).to_pylist()
-    return {"block": block, "ids": table["anchor"].to_numpy()[pick].tobytes(), "labels": labels,
-            "v": x[pick].tobytes(), "low": low[pick].tobytes(), "high": high[pick].tobytes()}
+            while len(pick):
+                # numbers are counted as they are stored: rows times the longest vector
+                longest = max(longest, x.shape[1])
+                fits = min(ANCHORS, max(NUMBERS // max(longest, 1), 1)) - n
+                if fits <= 0:
+                    tile, n, longest = tile + 1, 0, 0
+                    continue
+                some, pick = pick[:fits], pick[fits:]
+                n += len(some)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[some]), pa.array([row["labels"][c] for c in codes[some]], pa.string()),
+                     pa.array(list(x[some]), pa.list_(pa.int64())), pa.array(np.full(len(some), row["block"])),
+                     pa.array(np.full(len(some), first + tile))], ["anchor", "label", "v", "home", "a"])
 
 
 def _windows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -193,15 +227,47 @@ def _windows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.where(none, np.inf, _matrix(low, width)), np.where(none, -np.inf, _matrix(high, width))
 
 
-_PACK_SCHEMA = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("labels", pa.list_(pa.string())), ("v", pa.binary()),
-                          ("low", pa.binary()), ("high", pa.binary())])
+_PACK_SCHEMA = pa.schema([("tile", pa.int64()), ("ids", pa.binary()), ("labels", pa.list_(pa.string())), ("homes", pa.binary()),
+                          ("v", pa.binary()), ("low", pa.binary()), ("high", pa.binary())])
+
+
+def _packed(key: str):
+    def run(table: pa.Table) -> pa.Table:
+        """The anchors of one tile, or of one block, as one packed row."""
+        low, high = _windows(table)
+        x = _matrix(_column(table, "v"))
+        return pa.Table.from_pylist([{
+            "tile": table[key][0].as_py(), "ids": table["anchor"].to_numpy().tobytes(), "labels": table["label"].to_pylist(),
+            "homes": table["home"].to_numpy().tobytes(), "v": narrow(x.astype(np.int64).ravel()), "low": low.tobytes(),
+            "high": high.tobytes()}], _PACK_SCHEMA)
+    return run
+
 
+class _Asking:
+    """The anchors of a packed row, and their windows."""
 
-def _at_home(table: pa.Table) -> pa.Table:
-    """The anchors of one block as one packed row."""
-    low, high = _windows(table)
-    x = _matrix(_column(table, "v"))
-    return pa.Table.from_pylist([_pack(table, table["home"][0].as_py(), x, low, high, np.arange(len(x)))], _PACK_SCHEMA)
+    def __init__(self, row: dict[str, pa.Scalar]):
+        self.ids, self.homes = (np.frombuffer(row[c].as_buffer(), np.int64) for c in ("ids", "homes"))
+        self.labels, self.of = np.unique(np.array(row["labels"].as_py(), object), return_inverse=True)
+        self.v = widened(row["v"]).astype(np.float64).reshape(len(self.ids), -1)
+        # copied, as what is found lifts the lower ends
+        self.low, self.high = (np.frombuffer(row[c].as_buffer(), np.float64).reshape(len(self.ids), -1).copy() for c in ("low", "high"))
+
+    def needs(self, blocks: list[int], labels: list[list[str]], low: list[bytes], high: list[bytes], same: bool) -> np.ndarray:
+        """Which anchors (rows) must read which blocks of a tile."""
+        # the box of a block ends with its longest vector; beyond, its rows are zero
+        boxes = [[np.frombuffer(b, np.float64) for b in side] for side in (low, high)]
+        width = max(self.v.shape[1], *(len(b) for b in boxes[0]))
+        x = np.pad(self.v, ((0, 0), (0, width - self.v.shape[1])))
+        z_low, z_high = (np.stack([np.pad(b, (0, width - len(b))) for b in side]) for side in boxes)
+        least, most = bounds(x, z_low, z_high)
+        need = np.zeros(least.shape, bool)
+        for w in range(self.low.shape[1]):
+            a, b = self.low[:, w][:, None], self.high[:, w][:, None]
+            need |= (a <= b) & (least <= b) & (most >= a)
+        need &= self.homes[:, None] != np.array(blocks)[None]
+        holds = np.array([[name in held for name in self.labels] for held in map(set, labels)])[:, self.of].T
+        return need & (holds if same else np.array([len(x) for x in labels])[None] > holds)
 
 
 def bounds(a: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,92 +277,115 @@ def bounds(a: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray
 
 
 def _choose(same: bool):
-    def run(anchors: pa.Table, zones: pa.Table) -> pa.Table:
-        """A packed row of anchors for each block of the tile that any of them must read."""
-        if not anchors.num_rows or not zones.num_rows:
-            return _PACK_SCHEMA.empty_table()
-        rows = zones.select(["block", "labels", "low", "high"]).to_pylist()
-        # the box of a block ends with its longest vector; beyond, its rows are zero
-        boxes = [[np.frombuffer(r[c], np.float64) for r in rows] for c in ("low", "high")]
-        x = _matrix(_column(anchors, "v"), max(len(b) for b in boxes[0]))
-        z_low, z_high = (np.stack([np.pad(b, (0, x.shape[1] - len(b))) for b in side]) for side in boxes)
-        least, most = bounds(x, z_low, z_high)
-        low, high = _windows(anchors)
-        need = np.zeros(least.shape, bool)
-        for w in range(low.shape[1]):
-            need |= (low[:, w] <= high[:, w])[:, None] & (least <= high[:, w][:, None]) & (most >= low[:, w][:, None])
-        need &= anchors["home"].to_numpy()[:, None] != np.array([r["block"] for r in rows])[None]
-        own = _column(anchors, "label").dictionary_encode()
-        names = own.dictionary.to_pylist()
-        holds = np.array([[name in held for name in names] for held in (set(r["labels"]) for r in rows)])
-        mine = holds[:, own.indices.to_numpy()].T
-        need &= mine if same else np.array([len(r["labels"]) for r in rows])[None] > mine
-        out = [_pack(anchors, rows[b]["block"], x, low, high, np.flatnonzero(need[:, b])) for b in np.flatnonzero(need.any(0))]
-        return pa.Table.from_pylist(out, _PACK_SCHEMA)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(a, z) of the tiles that must meet."""
+        for batch in batches:
+            keep = []
+            for i in range(batch.num_rows):
+                asking = _Asking({c: batch[f"a_{c}"][i] for c in _PACK_SCHEMA.names[1:]})
+                keep.append(asking.needs(*(batch[c][i].as_py() for c in ("blocks", "labels", "low", "high")), same).any())
+            yield batch.select(["a", "z"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
-def _read(same: bool, k: int):
-    """The k best rows of a block in each window of each anchor that reads it."""
+def _found(asking: _Asking, some: np.ndarray, ids: np.ndarray, codes: np.ndarray, names: list[str], x: np.ndarray,
+           same: bool) -> Iterator[tuple[np.ndarray, ...]]:
+    """(anchor's place, window, id, score) of the rows of a block that lie in a window of one of ``some`` anchors."""
+    a, low, high = asking.v[some], asking.low[some], asking.high[some]
+    width = min(a.shape[1], x.shape[1])
+    scores = a[:, :width] @ x[:, :width].T
+    code = {name: i for i, name in enumerate(names)}
+    own = np.array([code.get(name, -1) for name in asking.labels])[asking.of[some]]
+    empty = low > high
+    inside = scores >= np.where(empty, np.inf, low).min(1)[:, None]
+    inside &= scores <= np.where(empty, -np.inf, high).max(1)[:, None]
+    inside &= (own[:, None] == codes[None]) if same else (own[:, None] != codes[None])
+    r, c = np.nonzero(inside)
+    keep = asking.ids[some][r] != ids[c]
+    r, c = r[keep], c[keep]
+    score = scores[r, c]
+    for w in range(low.shape[1]):
+        of = (score >= low[r, w]) & (score <= high[r, w])
+        yield some[r[of]], np.full(np.count_nonzero(of), w, np.int32), ids[c[of]], score[of]
+
+
+def _read(same: bool, k: int, choose: bool):
+    """The k best rows of a tile of blocks in each window of each anchor that reads one of them; in one block alone, all read it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                ids, x = _unpack(row)
-                asks = np.frombuffer(row["a_ids"], np.int64)
-                a, low, high = (np.frombuffer(row[f"a_{c}"], np.float64).reshape(len(asks), -1) for c in ("v", "low", "high"))
-                width = min(a.shape[1], x.shape[1])
-                scores = a[:, :width] @ x[:, :width].T
-                code = {name: i for i, name in enumerate(row["labels"])}
-                mine = np.array([code.get(name, -1) for name in row["a_labels"]])[:, None] == np.frombuffer(row["codes"], np.int32)[None]
-                counts = (mine if same else ~mine) & (asks[:, None] != ids[None])
-                cols = []
-                for w in range(low.shape[1]):
-                    inside = counts & (scores >= low[:, w][:, None]) & (scores <= high[:, w][:, None])
-                    some = np.flatnonzero(inside.any(1))
-                    value = np.where(inside[some], scores[some], -np.inf)
-                    if value.shape[1] > k:
-                        bar = np.partition(value, value.shape[1] - k, axis=1)[:, value.shape[1] - k]
-                        inside = inside[some] & (value >= bar[:, None])
-                    else:
-                        inside = inside[some]
-                    r, c = np.nonzero(inside)
-                    order = np.lexsort((ids[c], -value[r, c], r))
-                    r, c = r[order], c[order]
-                    nth = np.arange(len(r)) - np.searchsorted(r, r)
-                    r, c = r[nth < k], c[nth < k]
-                    cols.append((asks[some][r], np.full(len(r), w, np.int32), ids[c], value[r, c].astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*cols)], ["anchor", "w", "vec_id", "score"])
+            for i in range(batch.num_rows):
+                asking = _Asking({c: batch[f"a_{c}"][i] for c in _PACK_SCHEMA.names[1:]})
+                blocks, ids, labels, codes, vectors, *boxes = (batch[c][i].as_py() for c in _TILE_SCHEMA.names[1:])
+                need = asking.needs(blocks, labels, *boxes, same) if choose else asking.homes[:, None] == np.array(blocks)[None]
+                held, more, n = [], [], 0
+                for b in np.flatnonzero(need.any(0)):
+                    of = np.frombuffer(ids[b], np.int64)
+                    x = widened(vectors[b]).reshape(len(of), -1).astype(np.float64)
+                    rows = list(_found(asking, np.flatnonzero(need[:, b]), of, np.frombuffer(codes[b], np.int32), labels[b], x, same))
+                    more += rows
+                    n += sum(len(r[0]) for r in rows)
+                    if n > FOUND:
+                        held, more, n = _kept(asking, held + more, k), [], 0
+                r, w, vec, score = _kept(asking, held + more, k)[0]
+                yield pa.RecordBatch.from_arrays([pa.array(asking.ids[r]), pa.array(w, pa.int32()), pa.array(vec, pa.int64()),
+                                                  pa.array(score.astype(np.int64))], ["anchor", "w", "vec_id", "score"])
     return run
 
 
+def _kept(asking: _Asking, rows: list[tuple[np.ndarray, ...]], k: int) -> list[tuple[np.ndarray, ...]]:
+    """The k best of each anchor's window; further ones must reach the last of them."""
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0))
+    r, w, vec, score = (np.concatenate(x) for x in zip(*rows, none))
+    order = np.lexsort((vec, -score, w, r))
+    r, w, vec, score = r[order], w[order], vec[order], score[order]
+    window = r * asking.low.shape[1] + w
+    nth = np.arange(len(r)) - np.searchsorted(window, window)
+    r, w, vec, score, nth = (x[nth < k] for x in (r, w, vec, score, nth))
+    last = nth == k - 1
+    asking.low[r[last], w[last]] = np.maximum(asking.low[r[last], w[last]], score[last])
+    return [(r, w, vec, score)]
+
+
 def _best(found: DataFrame, k: int) -> DataFrame:
     ranked = found.selectExpr("*", "cast(row_number() over (partition by anchor, w order by score desc, vec_id) as int) as rank")
     return ranked.filter(F.col("rank") <= k)
 
 
-def search(anchors: DataFrame, rows: DataFrame, n_anchors: int, n_blocks: int, *, same: bool, k: int) -> DataFrame:
+def search(anchors: DataFrame, blocks: DataFrame, tiles: DataFrame, *, same: bool, k: int) -> DataFrame:
     """(anchor, w, vec_id, score, rank): the k best rows of the same label, or of others, in each window.
 
-    ``anchors`` has (anchor, label, v, home, low, high), the windows as arrays of lower and upper ends.
+    ``anchors`` has (anchor, label, v, home, a, low, high), the windows as arrays of lower and upper ends.
     """
-    def read(packs: DataFrame) -> DataFrame:
-        packs = packs.withColumnsRenamed({c: f"a_{c}" for c in ("ids", "labels", "v", "low", "high")})
-        both = packs.join(rows.select("block", "ids", "labels", "codes", "v"), "block")
-        return both.mapInArrow(_read(same, k), _FOUND)
+    spark = anchors.sparkSession
+
+    def packs(rows: DataFrame, key: str) -> DataFrame:
+        rows = rows.groupBy(key).applyInArrow(_packed(key), _PACK)
+        return cut_lineage(rows.withColumnsRenamed({c: f"a_{c}" for c in _PACK_SCHEMA.names[1:]}), "packs")
 
-    near = cut_lineage(read(anchors.groupBy("home").applyInArrow(_at_home, _PACK)), "near")
+    # packed rows hold far more than their files show: none is broadcast
+    home = packs(anchors, "home").withColumnRenamed("tile", "block")
+    one = blocks.select("block", F.array("block").alias("blocks"), *[F.array(c).alias(c) for c in ("ids", "labels", "codes", "v", "low", "high")])
+    with one_row_batches(spark):
+        near = cut_lineage(home.hint("merge").join(one, "block").mapInArrow(_read(same, k, False), _FOUND), "near")
     # k rows in a window: further ones must reach the last of them
     bars = near.groupBy("anchor", "w").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("bar")).filter(F.col("n") >= k)
     bars = bars.groupBy("anchor").agg(F.map_from_entries(F.collect_list(F.struct("w", "bar"))).alias("bars"))
     lifted = anchors.join(bars, "anchor", "left").withColumn("low", F.transform(
         "low", lambda x, i: F.greatest(x, F.try_element_at("bars", i)))).drop("bars")
-    n_a, n_z = max(-(-n_anchors // ANCHORS), 1), max(-(-n_blocks // ZONES), 1)
-    lifted = (lifted.withColumn("a", F.pmod(F.xxhash64("anchor"), F.lit(n_a)).cast("int"))
-              .withColumn("z", F.explode(F.sequence(F.lit(0), F.lit(n_z - 1)))))
-    zones = (rows.select("block", "labels", "low", "high").withColumn("z", F.pmod(F.xxhash64("block"), F.lit(n_z)).cast("int"))
-             .withColumn("a", F.explode(F.sequence(F.lit(0), F.lit(n_a - 1)))))
-    chosen = lifted.groupBy("a", "z").cogroup(zones.groupBy("a", "z")).applyInArrow(_choose(same), _PACK)
-    return _best(near.unionByName(read(cut_lineage(chosen, "chosen"))), k)
+    asking = packs(lifted, "a").withColumnRenamed("tile", "a")
+    names = [r["a"] for r in asking.select("a").collect()]          # one number for ANCHORS anchors
+    if not names:
+        return _best(near, k)
+    zones = tiles.select("z", "blocks", "labels", "low", "high").withColumn("a", F.explode(F.array(*map(F.lit, names)).cast("array<long>")))
+    par, n_z = spark.sparkContext.defaultParallelism, tiles.count()
+    copies = min(-(-2 * par // max(n_z, 1)), len(names))
+    dealt = lambda x: x.repartition(min(n_z * copies, 4096), "z", "copy")
+    with one_row_batches(spark):
+        chosen = cut_lineage(zones.hint("merge").join(asking, "a").mapInArrow(_choose(same), "a long, z long"), "chosen")
+        sent = chosen.join(asking.hint("merge"), "a").withColumn("copy", F.pmod(F.xxhash64("a"), F.lit(copies)).cast("int"))
+        met = dealt(sent).join(dealt(tiles.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))).hint("merge"), ["z", "copy"])
+        found = met.mapInArrow(_read(same, k, True), _FOUND)
+        return cut_lineage(_best(near.unionByName(found), k), "best")
 
 
 def mine(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
@@ -309,20 +398,20 @@ def mine(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embed
     asks = F.col("vec_id") % 50 == 0 if anchors is None else anchors
     table = cut_lineage(one_per_id(vectors, id_col=id_col, vector_col=vector_col, label_col=label_col, bits=52), "vectors")
     rows = blocks(table, asks)
-    asking = cut_lineage(rows.mapInArrow(_anchors, "anchor long, label string, v array<long>, home long"), "anchors")
-    n_anchors, n_blocks = asking.count(), rows.count()
+    with one_row_batches(vectors.sparkSession):
+        asking = cut_lineage(rows.mapInArrow(_anchors, "anchor long, label string, v array<long>, home long, a long"), "anchors")
+        tiles = cut_lineage(rows.drop("asks").mapInArrow(_tiled, _TILE), "tiles")
     ends = 1 << 53                                  # beyond any score
     first = asking.withColumns({"low": F.array(F.lit(-ends)), "high": F.array(F.lit(ends))})
-    near = cut_lineage(search(first, rows, n_anchors, n_blocks, same=True, k=positives)
-                       .select("anchor", (F.col("rank") - 1).alias("w"), F.col("vec_id").alias("positive_id"),
-                               F.col("score").alias("positive_score")), "positives")
+    near = search(first, rows, tiles, same=True, k=positives).select(
+        "anchor", (F.col("rank") - 1).alias("w"), F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))
     score = F.col("positive_score")
     # low * p <= 100 * n <= high * p in whole numbers
     windows = near.groupBy("anchor").agg(F.sort_array(F.collect_list(F.struct(
         "w", (-F.floor(-score * low / F.lit(100).cast("decimal(3,0)"))).cast("long").alias("low"),
         F.floor(score * high / F.lit(100).cast("decimal(3,0)")).cast("long").alias("high")))).alias("s"))
-    second = asking.join(windows, "anchor").select("anchor", "label", "v", "home", F.col("s.low").alias("low"), F.col("s.high").alias("high"))
-    found = search(second, rows, n_anchors, n_blocks, same=False, k=negatives)
+    second = asking.join(windows, "anchor").select("anchor", "label", "v", "home", "a", F.col("s.low").alias("low"), F.col("s.high").alias("high"))
+    found = search(second, rows, tiles, same=False, k=negatives)
     return found.join(near, ["anchor", "w"]).select(
         F.col("anchor").alias("anchor_id"), "positive_id", "rank", F.col("vec_id").alias("negative_id"), "positive_score",
         F.col("score").alias("negative_score"))

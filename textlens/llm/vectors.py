@@ -41,7 +41,7 @@ def narrow(x: np.ndarray) -> bytes:
     return bytes([width]) + x.astype(f"<i{width}").tobytes()
 
 
-def widened(data: pa.BinaryScalar) -> np.ndarray:
+def widened(data: pa.BinaryScalar | bytes) -> np.ndarray:
     """The numbers of ``narrow``, 8 bytes each."""
-    data = data.as_buffer()
+    data = data if isinstance(data, bytes) else data.as_buffer()
     return np.frombuffer(data, f"<i{data[0]}", offset=1).astype(np.int64)
